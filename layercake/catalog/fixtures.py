@@ -12,103 +12,97 @@ derived from all orders and all lines; none leaves rows out.
   name, and every entry moves on by one position.
 """
 
-from pyspark.sql import functions as F
+from layercake.schemas import RAW_TRACKS
 
 # Fixed value: offset of the ids that only batch 3 has.
 NEW_ID = 1_000_000_000_000
 
+# The columns read. Declaring them spares a job per table that
+# would look them up in the file footers.
+_COLUMNS = {
+    "orders": "o_orderkey long, o_orderstatus string, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, "
+    "l_quantity double",
+    "part": "p_partkey long, p_name string, p_brand string",
+    "supplier": "s_suppkey long, s_name string",
+}
+
 
 def _read(spark, sf_dir, name):
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(_COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def playlists(spark, sf_dir):
-    orders = _read(spark, sf_dir, "orders")
-    key = F.col("o_orderkey")
-    return orders.select(
-        key.alias("pid"),
-        F.col("o_orderpriority").alias("name"),
-        F.when(F.col("o_orderstatus") == "O", "true").otherwise("false").alias("collaborative"),
-        F.when(key % 3 != 0, F.col("o_orderstatus")).alias("description"),
+    return _read(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS pid",
+        "o_orderpriority AS name",
+        "if(o_orderstatus = 'O', 'true', 'false') AS collaborative",
+        "if(o_orderkey % 3 = 0, NULL, o_orderstatus) AS description",
     )
 
 
 def tracks(spark, sf_dir):
-    lines = _read(spark, sf_dir, "lineitem")
-    part = _read(spark, sf_dir, "part")
-    supplier = _read(spark, sf_dir, "supplier")
+    lines = _read(spark, sf_dir, "lineitem").withColumnsRenamed(
+        {"l_partkey": "p_partkey", "l_suppkey": "s_suppkey"}
+    )
     return (
-        lines.join(part, F.col("l_partkey") == F.col("p_partkey"))
-        .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
-        .select(
-            F.col("l_orderkey").alias("pid"),
-            F.col("l_linenumber").cast("long").alias("pos"),
-            F.concat(F.lit("track:"), F.col("l_partkey").cast("string")).alias("track_uri"),
-            F.col("p_name").alias("track_name"),
-            F.concat(
-                F.lit("album:"), "p_brand", F.lit(":"), F.col("l_suppkey").cast("string")
-            ).alias("album_uri"),
-            F.concat("p_brand", F.lit(" "), "s_name").alias("album_name"),
-            F.concat(F.lit("artist:"), F.col("l_suppkey").cast("string")).alias("artist_uri"),
-            F.col("s_name").alias("artist_name"),
-            (F.col("l_quantity").cast("long") * 1000).alias("duration_ms"),
+        lines.join(_read(spark, sf_dir, "part"), "p_partkey")
+        .join(_read(spark, sf_dir, "supplier"), "s_suppkey")
+        .selectExpr(
+            "l_orderkey AS pid",
+            "CAST(l_linenumber AS BIGINT) AS pos",
+            "'track:' || p_partkey AS track_uri",
+            "p_name AS track_name",
+            "'album:' || p_brand || ':' || s_suppkey AS album_uri",
+            "p_brand || ' ' || s_name AS album_name",
+            "'artist:' || s_suppkey AS artist_uri",
+            "s_name AS artist_name",
+            "CAST(l_quantity AS BIGINT) * 1000 AS duration_ms",
         )
     )
 
 
-def _second_id():
-    pid = F.col("pid")
-    return F.when(pid % 2 == 0, pid).otherwise(-pid - 1)
-
-
-def _third_id():
-    pid = F.col("pid")
-    return F.when(pid % 3 == 0, pid).when(pid % 3 == 1, -pid - 1).otherwise(pid + NEW_ID)
+_SECOND_ID = "if(pid % 2 = 0, pid, -pid - 1) AS pid"
+_THIRD_ID = f"CASE pid % 3 WHEN 0 THEN pid WHEN 1 THEN -pid - 1 ELSE pid + {NEW_ID} END AS pid"
 
 
 def playlists_2(spark, sf_dir):
-    return playlists(spark, sf_dir).withColumns(
-        {
-            "pid": _second_id(),
-            "name": F.concat("name", F.lit(" v2")),
-            "description": F.when(F.col("pid") % 4 != 0, F.col("description")),
-        }
+    return playlists(spark, sf_dir).selectExpr(
+        _SECOND_ID,
+        "name || ' v2' AS name",
+        "collaborative",
+        "if(pid % 4 = 0, NULL, description) AS description",
     )
 
 
 def tracks_2(spark, sf_dir):
-    def from_position(first, column, suffix):
-        return F.when(
-            F.col("pos") >= first, F.concat(column, F.lit(suffix))
-        ).otherwise(F.col(column))
-
-    return tracks(spark, sf_dir).withColumns(
-        {
-            "pid": _second_id(),
-            "track_uri": from_position(5, "track_uri", ":live"),
-            "track_name": from_position(5, "track_name", " (live)"),
-            "album_uri": from_position(5, "album_uri", ":live"),
-            "album_name": from_position(5, "album_name", " (live)"),
-            "artist_uri": from_position(7, "artist_uri", ":guest"),
-            "artist_name": from_position(7, "artist_name", " (guest)"),
-            "duration_ms": F.col("duration_ms") + 1,
-        }
+    return tracks(spark, sf_dir).selectExpr(
+        _SECOND_ID,
+        "pos",
+        "if(pos >= 5, track_uri || ':live', track_uri) AS track_uri",
+        "if(pos >= 5, track_name || ' (live)', track_name) AS track_name",
+        "if(pos >= 5, album_uri || ':live', album_uri) AS album_uri",
+        "if(pos >= 5, album_name || ' (live)', album_name) AS album_name",
+        "if(pos >= 7, artist_uri || ':guest', artist_uri) AS artist_uri",
+        "if(pos >= 7, artist_name || ' (guest)', artist_name) AS artist_name",
+        "duration_ms + 1 AS duration_ms",
     )
 
 
 def playlists_3(spark, sf_dir):
-    return playlists(spark, sf_dir).withColumns(
-        {
-            "pid": _third_id(),
-            "name": F.when(F.col("pid") % 5 != 0, F.col("name")),
-            "collaborative": F.lit("true"),
-        }
+    return playlists(spark, sf_dir).selectExpr(
+        _THIRD_ID, "if(pid % 5 = 0, NULL, name) AS name", "'true' AS collaborative", "description"
     )
 
 
 def tracks_3(spark, sf_dir):
-    return tracks(spark, sf_dir).withColumns({"pid": _third_id(), "pos": F.col("pos") + 1})
+    columns = [f.name for f in RAW_TRACKS if f.name not in ("pid", "pos")]
+    return tracks(spark, sf_dir).selectExpr(_THIRD_ID, "pos + 1 AS pos", *columns)
+
 
+# Raw inputs by batch number.
+PLAYLISTS = {1: playlists, 2: playlists_2, 3: playlists_3}
+TRACKS = {1: tracks, 2: tracks_2, 3: tracks_3}
 
 # The same definitions for the SQL side, as common table expressions.
 CTES = f"""

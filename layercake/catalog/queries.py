@@ -13,6 +13,7 @@ from layercake.sources import (
     preview,
     read_json,
     read_table,
+    stage,
     storage_report,
     write_table,
 )
@@ -22,16 +23,22 @@ PLAYLIST = 996
 NEW_NAME = "GYM WORKOUT"
 
 
-def _silver(spark, sf_dir, batch):
-    raw_playlists = {1: fx.playlists, 2: fx.playlists_2, 3: fx.playlists_3}[batch]
-    raw_tracks = {1: fx.tracks, 2: fx.tracks_2, 3: fx.tracks_3}[batch]
-    return silver.build(raw_playlists(spark, sf_dir), raw_tracks(spark, sf_dir))
+def _table(spark, sf_dir, name, batch=1):
+    """One silver table of one batch."""
+    raw = fx.PLAYLISTS if name == "playlists" else fx.TRACKS
+    return getattr(silver, name)(raw[batch](spark, sf_dir))
 
 
-def _merged(spark, sf_dir, names):
-    """The named silver tables after batch 2 was upserted into batch 1."""
-    old, new = _silver(spark, sf_dir, 1), _silver(spark, sf_dir, 2)
-    return {name: upsert.upsert_table(name, old[name], new[name]) for name in names}
+def _merged(spark, sf_dir, name):
+    """One silver table after batch 2 was upserted into batch 1."""
+    return upsert.upsert_table(
+        name, _table(spark, sf_dir, name, 1), _table(spark, sf_dir, name, 2)
+    )
+
+
+def _merged_by_key(spark, sf_dir, name):
+    """One silver table after batch 3 was merged into batch 1 with MERGE semantics."""
+    return upsert.merge_table(name, _table(spark, sf_dir, name, 1), _table(spark, sf_dir, name, 3))
 
 
 # Sources and sinks
@@ -153,58 +160,45 @@ def gold_playlists_build(spark, sf_dir):
     )
 
 
+def _dimensions(spark, sf_dir, table=_table):
+    return [table(spark, sf_dir, name) for name in upsert.DIMENSIONS]
+
+
 def gold_tracks_build(spark, sf_dir):
-    s = _silver(spark, sf_dir, 1)
-    return gold.tracks_build(s["playlist_tracks"], s["songs"], s["albums"], s["artists"])
+    return gold.tracks_build(silver_playlist_tracks(spark, sf_dir), *_dimensions(spark, sf_dir))
 
 
 def gold_tracks_fanout(spark, sf_dir):
-    s = _silver(spark, sf_dir, 1)
-    return gold.tracks_fanout(s["playlist_tracks"], s["songs"], s["albums"], s["artists"])
+    return gold.tracks_fanout(silver_playlist_tracks(spark, sf_dir), *_dimensions(spark, sf_dir))
 
 
 def gold_playlists_rebuild(spark, sf_dir):
-    s = _merged(spark, sf_dir, ["playlists", "playlist_tracks"])
-    return gold.playlists_rebuild(s["playlist_tracks"], s["playlists"])
+    return gold.playlists_rebuild(
+        _merged(spark, sf_dir, "playlist_tracks"), _merged(spark, sf_dir, "playlists")
+    )
 
 
 def gold_tracks_rebuild(spark, sf_dir):
-    s = _merged(spark, sf_dir, ["songs", "albums", "artists", "playlist_tracks"])
-    return gold.tracks_rebuild(s["playlist_tracks"], s["songs"], s["albums"], s["artists"])
+    return gold.tracks_rebuild(
+        _merged(spark, sf_dir, "playlist_tracks"), *_dimensions(spark, sf_dir, _merged)
+    )
 
 
 # Upserts
 
 
-def _merge(name):
-    return lambda spark, sf_dir: _merged(spark, sf_dir, [name])[name]
-
-
-def merge_generic(spark, sf_dir):
-    tables = {n: _silver(spark, sf_dir, 1)[n] for n in ("playlists", "playlist_tracks")}
-    return upsert.merge_silver(
-        tables, fx.playlists_3(spark, sf_dir), fx.tracks_3(spark, sf_dir)
-    )["playlist_tracks"]
-
-
-def merge_generic_playlists(spark, sf_dir):
-    tables = {n: _silver(spark, sf_dir, 1)[n] for n in ("playlists", "playlist_tracks")}
-    return upsert.merge_silver(
-        tables, fx.playlists_3(spark, sf_dir), fx.tracks_3(spark, sf_dir)
-    )["playlists"]
+def _query(table, name):
+    return lambda spark, sf_dir: table(spark, sf_dir, name)
 
 
 def merge_partial_columns(spark, sf_dir):
-    tables = {n: _silver(spark, sf_dir, 1)[n] for n in ("playlists", "playlist_tracks")}
-    merged = upsert.merge_silver(
-        tables, fx.playlists_3(spark, sf_dir), fx.tracks_3(spark, sf_dir)
-    )
-    return gold.playlists_merge(
-        gold_playlists_build(spark, sf_dir),
-        merged["playlist_tracks"],
-        merged["playlists"],
-        gold.MERGE_COLUMNS,
+    before = stage(spark, gold_playlists_build(spark, sf_dir), "gold-before")
+    source = gold.merge_source(
+        _merged_by_key(spark, sf_dir, "playlist_tracks"),
+        _merged_by_key(spark, sf_dir, "playlists"),
     )
+    fresh = stage(spark, source, "gold-fresh")
+    return gold.playlists_merge(before, fresh, gold.MERGE_COLUMNS)
 
 
 def patch_then_merge(spark, sf_dir):
@@ -216,11 +210,12 @@ def patch_then_merge(spark, sf_dir):
 
 def three_batches(spark, sf_dir):
     """gold.playlists after batches 1, 2 and 3 were applied in turn."""
-    tables = {}
-    for name in ("playlists", "playlist_tracks"):
-        merged = _merged(spark, sf_dir, [name])[name]
-        batch = _silver(spark, sf_dir, 3)[name]
-        tables[name] = upsert.upsert_table(name, merged, batch, unique=True)
+    tables = {
+        name: upsert.upsert_table(
+            name, _merged(spark, sf_dir, name), _table(spark, sf_dir, name, 3), unique=True
+        )
+        for name in ("playlists", "playlist_tracks")
+    }
     return gold.playlists_rebuild(tables["playlist_tracks"], tables["playlists"])
 
 
@@ -249,13 +244,13 @@ QUERIES = {
     "gold_tracks_fanout": gold_tracks_fanout,
     "gold_playlists_rebuild": gold_playlists_rebuild,
     "gold_tracks_rebuild": gold_tracks_rebuild,
-    "merge_songs": _merge("songs"),
-    "merge_albums": _merge("albums"),
-    "merge_artists": _merge("artists"),
-    "merge_playlists": _merge("playlists"),
-    "merge_slots": _merge("playlist_tracks"),
-    "merge_generic": merge_generic,
-    "merge_generic_playlists": merge_generic_playlists,
+    "merge_songs": _query(_merged, "songs"),
+    "merge_albums": _query(_merged, "albums"),
+    "merge_artists": _query(_merged, "artists"),
+    "merge_playlists": _query(_merged, "playlists"),
+    "merge_slots": _query(_merged, "playlist_tracks"),
+    "merge_generic": _query(_merged_by_key, "playlist_tracks"),
+    "merge_generic_playlists": _query(_merged_by_key, "playlists"),
     "merge_partial_columns": merge_partial_columns,
     "patch_then_merge": patch_then_merge,
     "three_batches": three_batches,

@@ -10,10 +10,12 @@ only set the flag when it says so.
 from functools import reduce
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from layercake.operators.dedup import keep_first, keep_least
+from layercake.operators.dedup import keep_least
 
 _SEEN = "__seen"
+_MASK = "__mask"
 
 
 def _all(conditions):
@@ -71,6 +73,29 @@ def insert_missing(old, new, keys, small_batch=False):
     return old.unionByName(fresh, allowMissingColumns=True)
 
 
+def _with_plain_keys(df, keys):
+    """Keys without NULLs, plus a bit mask of those that were NULL.
+
+    Equality on these columns treats NULL keys as equal, and unlike ``<=>`` it
+    lets the join use the layout and order the deduplication left behind.
+    """
+    types = {f.name: f.dataType for f in df.schema.fields}
+    mask = sum(
+        (F.when(F.col(k).isNull(), F.lit(1 << i)).otherwise(F.lit(0)) for i, k in enumerate(keys)),
+        F.lit(0),
+    )
+    # The stand-ins for a NULL; the mask tells them from real keys.
+    filled = {
+        k: F.coalesce(
+            F.col(k), F.lit("" if isinstance(types[k], T.StringType) else 0).cast(types[k])
+        )
+        for k in keys
+    }
+    return df.select(
+        mask.alias(_MASK), *[filled[c].alias(c) if c in filled else F.col(c) for c in df.columns]
+    )
+
+
 def upsert_non_null(old, new, keys, old_unique=False, small_batch=False):
     """Upsert where a non-NULL batch value replaces the stored one, column by column.
 
@@ -85,30 +110,46 @@ def upsert_non_null(old, new, keys, old_unique=False, small_batch=False):
         updated = joined.select(*[F.coalesce("__n_" + c, c).alias(c) for c in old.columns])
         return updated.unionByName(_absent(batch, old, keys, null_safe=True, small_batch=True))
 
-    has_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    no_null = _all([F.col(k).isNotNull() for k in keys])
-    stored = old.filter(no_null)
+    # Both sides are unique once deduplicated, so a hot key cannot skew the join,
+    # and it needs no exchange beyond the two of the deduplication.
+    plain = [*keys, _MASK]
+    stored = _with_plain_keys(old, keys)
     if not old_unique:
-        stored = keep_least(stored, keys)
-    batch = _renamed(keep_least(new.filter(no_null), keys), "__n_")
-    merged = stored.join(batch, _equal(keys, "__n_"), "full_outer").select(
-        *[F.coalesce("__n_" + c, c).alias(c) for c in old.columns]
+        stored = keep_least(stored, plain)
+    batch = _renamed(keep_least(_with_plain_keys(new, keys), plain), "__n_")
+    joined = stored.join(batch, _equal(plain, "__n_"), "full_outer")
+    mask = F.coalesce("__n_" + _MASK, _MASK)
+    stored_wins = (F.col(_MASK) > 0) & F.col("__n_" + _MASK).isNotNull()
+    return joined.select(
+        *[
+            F.when(mask.bitwiseAND(F.lit(1 << keys.index(c))) == 0, F.coalesce("__n_" + c, c)).alias(c)
+            if c in keys
+            else F.when(stored_wins, F.col(c)).otherwise(F.coalesce("__n_" + c, c)).alias(c)
+            for c in old.columns
+        ]
     )
-    # Both filters reach the scan, where file statistics skip data without NULLs.
-    unmatched = keep_first([old.filter(has_null), new.filter(has_null)], keys)
-    return merged.unionByName(unmatched)
 
 
-def merge_into(target, source, keys, update_columns, insert_columns=None, small_batch=False):
+def merge_into(
+    target,
+    source,
+    keys,
+    update_columns,
+    insert_columns=None,
+    source_unique=False,
+    small_batch=False,
+):
     """MERGE: set ``update_columns`` on matched rows, insert the other source rows.
 
     A NULL in the source overwrites. Every target row of a key is updated; the
     source is reduced to one row per key. Columns not inserted are NULL. A full
     outer join would express this too, but neither broadcasts nor is split when a
-    target key is hot; a left join and an anti join can do both.
+    target key is hot; a left join and an anti join can do both. They read the
+    inputs twice, so pass stored or staged tables rather than long plans.
     """
     insert_columns = update_columns if insert_columns is None else insert_columns
-    source = keep_least(source, keys, for_join=not small_batch)
+    if not source_unique:
+        source = keep_least(source, keys, for_join=not small_batch)
     marked = _renamed(source, "__s_").withColumn(_SEEN, F.lit(True))
     if small_batch:
         marked = F.broadcast(marked)

@@ -92,15 +92,22 @@ def tracks_fanout(entries, songs, albums, artists):
 MERGE_COLUMNS = ["playlist_id", "total_duration_ms", "name", "collaborative", "description"]
 
 
-def playlists_merge(gold, entries, playlists, columns=None, small_batch=False):
-    """MERGE fresh summaries into an existing gold.playlists.
+def merge_source(entries, playlists):
+    """Fresh summaries with one row per playlist, to be merged into gold.playlists.
+
+    Silver playlists kept up by MERGE may still repeat an id; one row is used.
+    """
+    return playlists_rebuild(entries, keep_least(playlists, ["playlist_id"]))
+
+
+def playlists_merge(gold, fresh, columns=None):
+    """MERGE ``merge_source`` rows into an existing gold.playlists.
 
     By default every column is set. With ``MERGE_COLUMNS`` the counts of a known
     playlist keep their old value and those of a new one are NULL.
     """
     columns = GOLD["playlists"] if columns is None else columns
-    fresh = playlists_rebuild(entries, keep_least(playlists, ["playlist_id"]))
-    return merge_into(gold, fresh, ["playlist_id"], columns, small_batch=small_batch)
+    return merge_into(gold, fresh, ["playlist_id"], columns, source_unique=True)
 
 
 def _split(table, changed, small_batch):

@@ -36,18 +36,26 @@ def upsert_silver(tables, raw_playlists, raw_tracks, unique=(), small_batch=Fals
     }
 
 
-def merge_silver(tables, raw_playlists, raw_tracks, small_batch=False):
-    """The MERGE form: only playlists and playlist_tracks change.
+# The tables a MERGE batch changes, with the keys it matches on.
+MERGE_KEYS = {"playlists": ["playlist_id"], "playlist_tracks": ENTRY_MERGE_KEYS}
+
+
+def merge_table(name, old, new, small_batch=False):
+    """The new version of one silver table under MERGE.
 
     Entries are keyed by playlist and track, so a moved track changes position
     instead of taking another entry's place, and NULLs of the batch overwrite.
     """
-    keys = {"playlists": ["playlist_id"], "playlist_tracks": ENTRY_MERGE_KEYS}
+    return merge_into(old, new, MERGE_KEYS[name], SILVER[name], small_batch=small_batch)
+
+
+def merge_silver(tables, raw_playlists, raw_tracks, small_batch=False):
+    """The two silver tables a MERGE batch changes; the other three stay as they are."""
     batch = {
         "playlists": silver.playlists(raw_playlists),
         "playlist_tracks": silver.playlist_tracks(raw_tracks),
     }
     return {
-        name: merge_into(tables[name], batch[name], keys[name], SILVER[name], small_batch=small_batch)
-        for name in keys
+        name: merge_table(name, tables[name], batch[name], small_batch=small_batch)
+        for name in MERGE_KEYS
     }
