@@ -23,7 +23,12 @@ def _all(conditions):
 
 
 def _renamed(df, prefix):
-    return df.select(*[F.col(c).alias(prefix + c) for c in df.columns])
+    return df.withColumnsRenamed({c: prefix + c for c in df.columns})
+
+
+def _newest(column):
+    """The batch's value if it has one, else the stored value."""
+    return f"coalesce(`__n_{column}`, `{column}`)"
 
 
 def _equal(keys, prefix, null_safe=False):
@@ -79,20 +84,15 @@ def _with_plain_keys(df, keys):
     Equality on these columns treats NULL keys as equal, and unlike ``<=>`` it
     lets the join use the layout and order the deduplication left behind.
     """
-    types = {f.name: f.dataType for f in df.schema.fields}
-    mask = sum(
-        (F.when(F.col(k).isNull(), F.lit(1 << i)).otherwise(F.lit(0)) for i, k in enumerate(keys)),
-        F.lit(0),
-    )
     # The stand-ins for a NULL; the mask tells them from real keys.
-    filled = {
-        k: F.coalesce(
-            F.col(k), F.lit("" if isinstance(types[k], T.StringType) else 0).cast(types[k])
-        )
-        for k in keys
-    }
-    return df.select(
-        mask.alias(_MASK), *[filled[c].alias(c) if c in filled else F.col(c) for c in df.columns]
+    stand_in = {f.name: "''" if isinstance(f.dataType, T.StringType) else "0" for f in df.schema}
+    mask = " + ".join(f"if(`{k}` IS NULL, {1 << i}, 0)" for i, k in enumerate(keys))
+    return df.selectExpr(
+        f"{mask} AS {_MASK}",
+        *[
+            f"coalesce(`{c}`, {stand_in[c]}) AS `{c}`" if c in keys else f"`{c}`"
+            for c in df.columns
+        ],
     )
 
 
@@ -107,7 +107,7 @@ def upsert_non_null(old, new, keys, old_unique=False, small_batch=False):
     if old_unique and small_batch:
         batch = keep_least(new, keys)
         joined = old.join(F.broadcast(_renamed(batch, "__n_")), _equal(keys, "__n_"), "left")
-        updated = joined.select(*[F.coalesce("__n_" + c, c).alias(c) for c in old.columns])
+        updated = joined.selectExpr(*[f"{_newest(c)} AS `{c}`" for c in old.columns])
         return updated.unionByName(_absent(batch, old, keys, null_safe=True, small_batch=True))
 
     # Both sides are unique once deduplicated, so a hot key cannot skew the join,
@@ -118,13 +118,12 @@ def upsert_non_null(old, new, keys, old_unique=False, small_batch=False):
         stored = keep_least(stored, plain)
     batch = _renamed(keep_least(_with_plain_keys(new, keys), plain), "__n_")
     joined = stored.join(batch, _equal(plain, "__n_"), "full_outer")
-    mask = F.coalesce("__n_" + _MASK, _MASK)
-    stored_wins = (F.col(_MASK) > 0) & F.col("__n_" + _MASK).isNotNull()
-    return joined.select(
+    stored_wins = f"{_MASK} > 0 AND __n_{_MASK} IS NOT NULL"
+    return joined.selectExpr(
         *[
-            F.when(mask.bitwiseAND(F.lit(1 << keys.index(c))) == 0, F.coalesce("__n_" + c, c)).alias(c)
+            f"if({_newest(_MASK)} & {1 << keys.index(c)} = 0, {_newest(c)}, NULL) AS `{c}`"
             if c in keys
-            else F.when(stored_wins, F.col(c)).otherwise(F.coalesce("__n_" + c, c)).alias(c)
+            else f"if({stored_wins}, `{c}`, {_newest(c)}) AS `{c}`"
             for c in old.columns
         ]
     )

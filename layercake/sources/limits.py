@@ -3,22 +3,20 @@
 from pyspark.sql import functions as F
 
 # The largest batch that is broadcast to every executor.
-MAX_BROADCAST_ROWS = 2_000_000
-MAX_BROADCAST_BYTES = 256 * 1024 * 1024
+MAX_BROADCAST_ROWS = 250_000
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def fits_broadcast(df, max_rows=MAX_BROADCAST_ROWS, max_bytes=MAX_BROADCAST_BYTES):
-    """True if ``df`` is proven to stay within both limits.
+    """True if ``df``, a stored or staged table, stays within both limits.
 
-    The scan stops soon after ``max_rows`` rows; only two numbers come back.
+    Rows are counted from file metadata; only a table within that limit is read,
+    for the bytes its values take. Two numbers come back to the driver.
     """
+    if df.count() > max_rows:
+        return False
     width = F.lit(0).cast("long")
     for name, kind in df.dtypes:
         size = F.octet_length(name) if kind in ("string", "binary") else F.lit(8)
         width = width + F.coalesce(size.cast("long"), F.lit(0))
-    rows, size = (
-        df.limit(max_rows + 1)
-        .agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("b"))
-        .first()
-    )
-    return rows <= max_rows and size <= max_bytes
+    return (df.agg(F.sum(width)).first()[0] or 0) <= max_bytes
