@@ -66,8 +66,8 @@ _SECOND_ID = "if(pid % 2 = 0, pid, -pid - 1) AS pid"
 _THIRD_ID = f"CASE pid % 3 WHEN 0 THEN pid WHEN 1 THEN -pid - 1 ELSE pid + {NEW_ID} END AS pid"
 
 
-def playlists_2(spark, sf_dir):
-    return playlists(spark, sf_dir).selectExpr(
+def _playlists_2(raw):
+    return raw.selectExpr(
         _SECOND_ID,
         "name || ' v2' AS name",
         "collaborative",
@@ -75,8 +75,8 @@ def playlists_2(spark, sf_dir):
     )
 
 
-def tracks_2(spark, sf_dir):
-    return tracks(spark, sf_dir).selectExpr(
+def _tracks_2(raw):
+    return raw.selectExpr(
         _SECOND_ID,
         "pos",
         "if(pos >= 5, track_uri || ':live', track_uri) AS track_uri",
@@ -89,20 +89,26 @@ def tracks_2(spark, sf_dir):
     )
 
 
-def playlists_3(spark, sf_dir):
-    return playlists(spark, sf_dir).selectExpr(
+def _playlists_3(raw):
+    return raw.selectExpr(
         _THIRD_ID, "if(pid % 5 = 0, NULL, name) AS name", "'true' AS collaborative", "description"
     )
 
 
-def tracks_3(spark, sf_dir):
+def _tracks_3(raw):
     columns = [f.name for f in RAW_TRACKS if f.name not in ("pid", "pos")]
-    return tracks(spark, sf_dir).selectExpr(_THIRD_ID, "pos + 1 AS pos", *columns)
+    return raw.selectExpr(_THIRD_ID, "pos + 1 AS pos", *columns)
 
 
-# Raw inputs by batch number.
-PLAYLISTS = {1: playlists, 2: playlists_2, 3: playlists_3}
-TRACKS = {1: tracks, 2: tracks_2, 3: tracks_3}
+def playlists_batch(raw, n):
+    """Batch ``n`` of the raw playlists, derived from batch 1."""
+    return {1: lambda df: df, 2: _playlists_2, 3: _playlists_3}[n](raw)
+
+
+def tracks_batch(raw, n):
+    """Batch ``n`` of the raw tracks, derived from batch 1."""
+    return {1: lambda df: df, 2: _tracks_2, 3: _tracks_3}[n](raw)
+
 
 # The same definitions for the SQL side, as common table expressions.
 CTES = f"""

@@ -23,22 +23,35 @@ PLAYLIST = 996
 NEW_NAME = "GYM WORKOUT"
 
 
-def _table(spark, sf_dir, name, batch=1):
+def _raw(spark, sf_dir):
+    return {"playlists": fx.playlists(spark, sf_dir), "tracks": fx.tracks(spark, sf_dir)}
+
+
+def _stored(spark, sf_dir):
+    """The raw inputs with the tracks written out.
+
+    For queries that read the tracks four times or more: as in a lake, they then
+    scan the columns they need instead of repeating the join the tracks come from.
+    """
+    raw = _raw(spark, sf_dir)
+    return {**raw, "tracks": stage(spark, raw["tracks"], "raw-tracks")}
+
+
+def _table(raw, name, batch=1):
     """One silver table of one batch."""
-    raw = fx.PLAYLISTS if name == "playlists" else fx.TRACKS
-    return getattr(silver, name)(raw[batch](spark, sf_dir))
+    if name == "playlists":
+        return silver.playlists(fx.playlists_batch(raw["playlists"], batch))
+    return getattr(silver, name)(fx.tracks_batch(raw["tracks"], batch))
 
 
-def _merged(spark, sf_dir, name):
+def _merged(raw, name):
     """One silver table after batch 2 was upserted into batch 1."""
-    return upsert.upsert_table(
-        name, _table(spark, sf_dir, name, 1), _table(spark, sf_dir, name, 2)
-    )
+    return upsert.upsert_table(name, _table(raw, name, 1), _table(raw, name, 2))
 
 
-def _merged_by_key(spark, sf_dir, name):
+def _merged_by_key(raw, name):
     """One silver table after batch 3 was merged into batch 1 with MERGE semantics."""
-    return upsert.merge_table(name, _table(spark, sf_dir, name, 1), _table(spark, sf_dir, name, 3))
+    return upsert.merge_table(name, _table(raw, name, 1), _table(raw, name, 3))
 
 
 # Sources and sinks
@@ -65,7 +78,7 @@ def replace_in_place(spark, sf_dir):
     lake = Lake(spark, new_folder(spark, "replace-in-place"))
     table = "silver/playlists"
     lake.publish({table: silver.playlists(fx.playlists(spark, sf_dir))})
-    batch = silver.playlists(fx.playlists_2(spark, sf_dir))
+    batch = silver.playlists(fx.playlists_batch(fx.playlists(spark, sf_dir), 2))
     lake.publish({table: upsert.upsert_table("playlists", lake.read(table), batch)})
     return lake.read(table)
 
@@ -116,7 +129,7 @@ def point_lookup(spark, sf_dir):
 
 def patch_rows(spark, sf_dir):
     return update_where(
-        fx.playlists_2(spark, sf_dir),
+        fx.playlists_batch(fx.playlists(spark, sf_dir), 2),
         F.col("pid") == PLAYLIST,
         {"name": F.lit(NEW_NAME), "collaborative": F.lit("True")},
     )
@@ -135,7 +148,7 @@ def table_preview(spark, sf_dir):
 
 
 def union_by_name(spark, sf_dir):
-    fewer = silver.albums(fx.tracks_2(spark, sf_dir)).drop("album_name")
+    fewer = silver.albums(fx.tracks_batch(fx.tracks(spark, sf_dir), 2)).drop("album_name")
     return silver_albums(spark, sf_dir).unionByName(fewer, allowMissingColumns=True)
 
 
@@ -160,42 +173,48 @@ def gold_playlists_build(spark, sf_dir):
     )
 
 
-def _dimensions(spark, sf_dir, table=_table):
-    return [table(spark, sf_dir, name) for name in upsert.DIMENSIONS]
+def _entries_and_dimensions(raw, table):
+    return [table(raw, name) for name in ("playlist_tracks", *upsert.DIMENSIONS)]
 
 
 def gold_tracks_build(spark, sf_dir):
-    return gold.tracks_build(silver_playlist_tracks(spark, sf_dir), *_dimensions(spark, sf_dir))
+    return gold.tracks_build(*_entries_and_dimensions(_stored(spark, sf_dir), _table))
 
 
 def gold_tracks_fanout(spark, sf_dir):
-    return gold.tracks_fanout(silver_playlist_tracks(spark, sf_dir), *_dimensions(spark, sf_dir))
+    return gold.tracks_fanout(*_entries_and_dimensions(_stored(spark, sf_dir), _table))
 
 
 def gold_playlists_rebuild(spark, sf_dir):
-    return gold.playlists_rebuild(
-        _merged(spark, sf_dir, "playlist_tracks"), _merged(spark, sf_dir, "playlists")
-    )
+    raw = _raw(spark, sf_dir)
+    return gold.playlists_rebuild(_merged(raw, "playlist_tracks"), _merged(raw, "playlists"))
 
 
 def gold_tracks_rebuild(spark, sf_dir):
-    return gold.tracks_rebuild(
-        _merged(spark, sf_dir, "playlist_tracks"), *_dimensions(spark, sf_dir, _merged)
-    )
+    return gold.tracks_rebuild(*_entries_and_dimensions(_stored(spark, sf_dir), _merged))
 
 
 # Upserts
 
 
-def _query(table, name):
-    return lambda spark, sf_dir: table(spark, sf_dir, name)
+def _upsert(name):
+    return lambda spark, sf_dir: _merged(_raw(spark, sf_dir), name)
+
+
+def merge_generic(spark, sf_dir):
+    return _merged_by_key(_stored(spark, sf_dir), "playlist_tracks")
+
+
+def merge_generic_playlists(spark, sf_dir):
+    return _merged_by_key(_raw(spark, sf_dir), "playlists")
 
 
 def merge_partial_columns(spark, sf_dir):
-    before = stage(spark, gold_playlists_build(spark, sf_dir), "gold-before")
+    raw = _stored(spark, sf_dir)
+    built = gold.playlists_build(_table(raw, "playlist_tracks"), _table(raw, "playlists"))
+    before = stage(spark, built, "gold-before")
     source = gold.merge_source(
-        _merged_by_key(spark, sf_dir, "playlist_tracks"),
-        _merged_by_key(spark, sf_dir, "playlists"),
+        _merged_by_key(raw, "playlist_tracks"), _merged_by_key(raw, "playlists")
     )
     fresh = stage(spark, source, "gold-fresh")
     return gold.playlists_merge(before, fresh, gold.MERGE_COLUMNS)
@@ -210,10 +229,9 @@ def patch_then_merge(spark, sf_dir):
 
 def three_batches(spark, sf_dir):
     """gold.playlists after batches 1, 2 and 3 were applied in turn."""
+    raw = _raw(spark, sf_dir)
     tables = {
-        name: upsert.upsert_table(
-            name, _merged(spark, sf_dir, name), _table(spark, sf_dir, name, 3), unique=True
-        )
+        name: upsert.upsert_table(name, _merged(raw, name), _table(raw, name, 3), unique=True)
         for name in ("playlists", "playlist_tracks")
     }
     return gold.playlists_rebuild(tables["playlist_tracks"], tables["playlists"])
@@ -244,13 +262,13 @@ QUERIES = {
     "gold_tracks_fanout": gold_tracks_fanout,
     "gold_playlists_rebuild": gold_playlists_rebuild,
     "gold_tracks_rebuild": gold_tracks_rebuild,
-    "merge_songs": _query(_merged, "songs"),
-    "merge_albums": _query(_merged, "albums"),
-    "merge_artists": _query(_merged, "artists"),
-    "merge_playlists": _query(_merged, "playlists"),
-    "merge_slots": _query(_merged, "playlist_tracks"),
-    "merge_generic": _query(_merged_by_key, "playlist_tracks"),
-    "merge_generic_playlists": _query(_merged_by_key, "playlists"),
+    "merge_songs": _upsert("songs"),
+    "merge_albums": _upsert("albums"),
+    "merge_artists": _upsert("artists"),
+    "merge_playlists": _upsert("playlists"),
+    "merge_slots": _upsert("playlist_tracks"),
+    "merge_generic": merge_generic,
+    "merge_generic_playlists": merge_generic_playlists,
     "merge_partial_columns": merge_partial_columns,
     "patch_then_merge": patch_then_merge,
     "three_batches": three_batches,

@@ -34,11 +34,12 @@ def duck():
 @pytest.fixture(scope="module")
 def batches(spark, tmp_path_factory):
     root = tmp_path_factory.mktemp("batches")
+    playlists, tracks = fx.playlists(spark, SF_DIR), fx.tracks(spark, SF_DIR)
     paths = {}
     for n in (1, 2, 3):
         paths[n] = (str(root / f"p{n}"), str(root / f"t{n}"))
-        export_json(fx.PLAYLISTS[n](spark, SF_DIR), paths[n][0])
-        export_json(fx.TRACKS[n](spark, SF_DIR), paths[n][1])
+        export_json(fx.playlists_batch(playlists, n), paths[n][0])
+        export_json(fx.tracks_batch(tracks, n), paths[n][1])
     return paths
 
 
@@ -107,7 +108,7 @@ def test_patched_batch(spark, duck, batches, tmp_path):
 def test_point_update_of_both_layers(spark, duck, batches, tmp_path, capsys):
     lake = Lake(spark, str(tmp_path / "lake"))
     patch = {"name": "'GYM WORKOUT'", "collaborative": "true"}
-    jobs.ingest_bronze(lake, *[f[1](spark, SF_DIR) for f in (fx.PLAYLISTS, fx.TRACKS)])
+    jobs.ingest_bronze(lake, fx.playlists(spark, SF_DIR), fx.tracks(spark, SF_DIR))
     jobs.build_silver(lake)
     jobs.point_update(lake, "playlist_id = 996", patch)
     assert "gold/playlists: no such table" in capsys.readouterr().out
