@@ -34,8 +34,12 @@ def storage_report(lake, layers=LAYERS, all_versions=False):
 
 
 def preview(df, order_by, n=10):
-    """The first ``n`` rows by the given columns (a top-n, never a full sort)."""
-    return df.orderBy(*[F.col(c).asc_nulls_last() for c in order_by]).limit(n)
+    """The first ``n`` rows by the given columns (a top-n, never a full sort).
+
+    The other columns decide between equal rows, so the result is always the same.
+    """
+    columns = [*order_by, *[c for c in df.columns if c not in order_by]]
+    return df.orderBy(*[F.col(c).asc_nulls_last() for c in columns]).limit(n)
 
 
 def preview_tables(lake, tables, n=13):
