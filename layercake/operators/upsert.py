@@ -147,8 +147,15 @@ def merge_into(
     inputs twice, so pass stored or staged tables rather than long plans.
     """
     insert_columns = update_columns if insert_columns is None else insert_columns
+    # Rows with a NULL key match nothing and are inserted as they are. Set apart,
+    # they leave both joins the same source, whose shuffle Spark then does once.
+    no_null = _all([F.col(k).isNotNull() for k in keys])
+    loose, source = source.filter(~no_null), source.filter(no_null)
     if not source_unique:
-        source = keep_least(source, keys, for_join=not small_batch)
+        loose, source = (
+            keep_least(loose, keys),
+            keep_least(source, keys, for_join=not small_batch),
+        )
     marked = _renamed(source, "__s_").withColumn(_SEEN, F.lit(True))
     if small_batch:
         marked = F.broadcast(marked)
@@ -162,7 +169,8 @@ def merge_into(
             for c in target.columns
         ]
     )
-    inserted = _absent(source, target, keys, null_safe=False, small_batch=small_batch).select(
+    absent = _absent(source, target, keys, null_safe=False, small_batch=small_batch)
+    inserted = absent.unionByName(loose).select(
         *[
             (F.col(c) if c in insert_columns else F.lit(None)).cast(types[c]).alias(c)
             for c in target.columns

@@ -2,6 +2,7 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from layercake.catalog import fixtures as fx
 from layercake.catalog.oracles import ORACLES
@@ -74,6 +75,17 @@ def test_three_batches(spark, duck, batches, tmp_path, monkeypatch, small):
     full = gold.tracks_rebuild(s["playlist_tracks"], s["songs"], s["albums"], s["artists"])
     assert rows(lake.read("gold/playlist_tracks")) == rows(full)
 
+    # Keys are unique, none is lost, and gold adds up to silver.
+    for name, keys in SILVER_KEYS.items():
+        assert s[name].dropDuplicates(keys).count() == s[name].count()
+        first = silver.build(fx.playlists(spark, SF_DIR), fx.tracks(spark, SF_DIR))[name]
+        assert first.join(s[name], keys, "left_anti").isEmpty()
+    listed = s["playlist_tracks"].join(s["playlists"], "playlist_id", "left_semi")
+    assert (
+        listed.agg(F.sum("duration_ms")).first()[0]
+        == lake.read("gold/playlists").agg(F.sum("total_duration_ms")).first()[0]
+    )
+
     # Applying a batch again changes nothing.
     before = {t: rows(lake.read(t)) for t in lake.entries()}
     jobs.upsert_batch(lake, *batches[3])
