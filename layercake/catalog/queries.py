@@ -202,7 +202,7 @@ def _upsert(name):
 
 
 def merge_generic(spark, sf_dir):
-    return _merged_by_key(_stored(spark, sf_dir), "playlist_tracks")
+    return _merged_by_key(_raw(spark, sf_dir), "playlist_tracks")
 
 
 def merge_generic_playlists(spark, sf_dir):
