@@ -54,7 +54,7 @@ def _shaped_like(df, target):
     )
 
 
-def _absent(batch, target, keys, null_safe, small_batch):
+def _absent(batch, target, keys, null_safe, small_batch, target_unique=False):
     """Rows of ``batch`` whose key no row of ``target`` has."""
     stored = _renamed(target.select(*keys), "__t_")
     if small_batch:
@@ -63,7 +63,8 @@ def _absent(batch, target, keys, null_safe, small_batch):
         wanted = F.broadcast(batch.select(*keys))
         stored = stored.join(wanted, _equal(keys, "__t_", null_safe), "left_semi")
         stored = F.broadcast(stored.distinct())
-    else:
+    elif not target_unique:
+        # Combined before the shuffle, so that a hot key is sent once per task.
         stored = stored.distinct()
     return batch.join(stored, _equal(keys, "__t_", null_safe), "left_anti")
 
@@ -74,7 +75,9 @@ def insert_missing(old, new, keys, small_batch=False):
     Stored rows pass through untouched; only the batch is deduplicated.
     """
     fresh = keep_least(new, keys)
-    fresh = _absent(fresh, old, keys, null_safe=True, small_batch=small_batch)
+    fresh = _absent(
+        fresh, old, keys, null_safe=True, small_batch=small_batch, target_unique=True
+    )
     return old.unionByName(fresh, allowMissingColumns=True)
 
 
