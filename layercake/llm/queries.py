@@ -34,3 +34,5 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op10_quality_rules": op10_quality_rules,
 }
+
+ORACLES = {}

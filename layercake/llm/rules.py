@@ -25,13 +25,16 @@ LETTERS = np.zeros(256, bool)
 LETTERS[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
 ENDS = np.zeros(256, bool)
 ENDS[[ord(c) for c in ".!?"]] = True
-DIGITS = np.zeros(256, bool)
-DIGITS[48:58] = True
 WINDOW = 8
 
+# Where the estimate starts: on bad and on good texts, how often a rule votes bad, abstains and
+# votes good. The first is for rules that only look for a fault.
+FAULT_START = np.array([[0.3, 0.69, 0.01], [0.005, 0.985, 0.01]])
+VOTE_START = np.array([[0.4, 0.35, 0.25], [0.05, 0.25, 0.7]])
+
 STATS = [
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-    "n_distinct", "n_same_next", "n_upper", "n_letters", "n_ends", "n_digits",
+    "n_distinct", "n_same_next", "n_upper", "n_letters", "n_ends", "n_symbol_words",
 ]
 
 
@@ -71,9 +74,12 @@ def measure(column):
         rows = slice(at, end)
         out["n_words"][rows] = np.diff(first)
         out["word_chars"][rows] = per_row(~words.SPACES[data] & ((data & 0xC0) != 0x80))
-        for name, kind in (("n_symbols", SYMBOLS), ("n_upper", UPPER), ("n_ends", ENDS), ("n_digits", DIGITS)):
+        for name, kind in (("n_symbols", SYMBOLS), ("n_upper", UPPER), ("n_ends", ENDS)):
             out[name][rows] = per_row(kind[data])
         out["n_letters"][rows] = per_row(LETTERS[data] & ((data & 0xC0) != 0x80))
+        marked = np.concatenate([[0], np.cumsum(SYMBOLS[data])])
+        marked = np.concatenate([[0], np.cumsum(marked[ends] > marked[starts])])
+        out["n_symbol_words"][rows] = np.diff(marked[first])
         for i in range(end - at):
             own = hashes[first[i] : first[i + 1]]
             out["n_repeat_words"][at + i] = _repeat_words(own)
@@ -119,10 +125,11 @@ def votes():
     return {
         "word_length": vote(never, (mean < 2) | (mean > 15), F.col("n_words") > 0),
         "symbols": vote(never, F.col("n_symbols") / n > 0.1, F.col("n_words") >= 5),
+        "marked_words": vote(never, F.col("n_symbol_words") / n > 0.1, F.col("n_words") >= 5),
         "capitals": vote(never, F.col("n_upper") / letters > 0.35, enough),
         "same_word": vote(never, F.col("n_same_next") / n > 0.1, enough),
         "variety": vote(never, F.col("n_distinct") / F.sqrt(n) < 1.5, enough),
-        "letters": vote(never, F.col("n_letters") / chars < 0.6, F.col("n_words") > 0),
+        "letters": vote(never, F.col("n_letters") / chars < 0.85, F.col("n_words") > 0),
         "repeats": vote(never, F.col("n_repeat_words") / n > 0.3, F.col("n_words") >= 16),
         "sentences": vote(
             (F.col("n_ends") / n > 0.02) & (F.col("n_ends") / n < 0.35),
@@ -144,7 +151,8 @@ def estimate(patterns, counts, rounds=200, prior=0.8):
     """
     patterns, counts = np.asarray(patterns, np.int64), np.asarray(counts, float)
     rules = patterns.shape[1]
-    rates = np.tile(np.array([[0.3, 0.5, 0.2], [0.005, 0.395, 0.6]])[:, None, :], (1, rules, 1))
+    faults = ~(patterns == 1).any(axis=0) if len(counts) else np.zeros(rules, bool)
+    rates = np.where(faults[None, :, None], FAULT_START[:, None, :], VOTE_START[:, None, :])
     share, post = prior, np.zeros(len(counts))
     onehot = np.stack([patterns == v for v in (-1, 0, 1)], axis=2).astype(float)
     for _ in range(rounds if len(counts) else 0):
@@ -154,7 +162,7 @@ def estimate(patterns, counts, rounds=200, prior=0.8):
         weight = np.stack([counts * (1 - new), counts * new])
         rates = np.einsum("cp,prv->crv", weight, onehot) + 0.5
         rates /= rates.sum(axis=2, keepdims=True)
-        share = float(np.clip(weight[1].sum() / counts.sum(), 0.01, 0.99))
+        share = float(np.clip(weight[1].sum() / max(counts.sum(), 1), 0.01, 0.99))
         done, post = np.abs(new - post).max() < 1e-9, new
         if done:
             break
@@ -179,8 +187,11 @@ def judge(docs, id_col="doc_id", text_col="text", threshold=0.5):
     voted = found.withColumns({f"vote_{r}": e.cast("int") for r, e in rules.items()})
     voted = voted.withColumn("base_failed", base_failed())
     names = [f"vote_{r}" for r in rules]
-    seen = voted.groupBy(*names).count().toPandas()  # at most 3 ** len(rules) rows
-    post, _, _ = estimate(seen[names].to_numpy(), seen["count"].to_numpy())
+    # At most 3 ** len(rules) rows. Texts that fail the base rule are out whatever the votes
+    # say, and would only teach the rules to find those texts again.
+    weight = F.count_if(~F.col("base_failed")).alias("weight")
+    seen = voted.groupBy(*names).agg(weight).toPandas()
+    post, _, _ = estimate(seen[names].to_numpy(), seen["weight"].to_numpy())
     # A pattern is a number in base 3, its posterior an entry of one array literal.
     codes = ((seen[names].to_numpy(dtype=np.int64) + 1) * 3 ** np.arange(len(names))).sum(axis=1)
     by_code = pd.DataFrame({"code": codes.astype(np.int64), "quality": post})
