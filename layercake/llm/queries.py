@@ -2,14 +2,34 @@
 
 from pyspark.sql import functions as F
 
-from layercake.llm import decontaminate, rules
-from layercake.llm.common import ship, table
+from layercake.llm import decontaminate, langid, quality, rules, toxicity
+from layercake.llm.common import crc_of, ship, table
 
 
 def _sha256(text):
     return F.sha2(F.encode(text, "utf-8"), 256)
 
 
+def op1_toxicity(spark, sf_dir):
+    ship(spark)
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels)
+    return toxicity.score(docs, model)
+
+
+def op4_quality_classifier(spark, sf_dir):
+    ship(spark)
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = crc_of("doc_id") % 5 == 0
+    model = quality.fit(docs, labels.where(~held_out))
+    return quality.score(docs, model).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 def op8_decontamination(spark, sf_dir):
     ship(spark)
     found = decontaminate.verdicts(
@@ -22,6 +42,14 @@ def op8_decontamination(spark, sf_dir):
     )
 
 
+def op9_language_id(spark, sf_dir):
+    ship(spark)
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_of("doc_id") % 4 == 2
+    model = langid.fit(docs.where(~held_out))
+    return langid.identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op10_quality_rules(spark, sf_dir):
     ship(spark)
     return rules.judge(table(spark, sf_dir, "documents")).select(
@@ -31,6 +59,9 @@ def op10_quality_rules(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
+    "op4_quality_classifier": op4_quality_classifier,
+    "op9_language_id": op9_language_id,
     "op8_decontamination": op8_decontamination,
     "op10_quality_rules": op10_quality_rules,
 }
