@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from layercake.llm import decontaminate, langid, quality, rules, toxicity
+from layercake.llm import decontaminate, langid, lines, quality, rules, toxicity
 from layercake.llm.common import crc_of, ship, table
 
 
@@ -17,6 +17,14 @@ def op1_toxicity(spark, sf_dir):
     return toxicity.score(docs, model)
 
 
+def op3_line_dedup(spark, sf_dir):
+    ship(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = lines.apply(lines.insert(None, docs), docs)
+    kept = F.coalesce("text", F.lit(""))
+    return found.select("doc_id", "n_lines", "n_dropped", _sha256(kept).alias("kept_sha256"))
+
+
 def op4_quality_classifier(spark, sf_dir):
     ship(spark)
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -60,10 +68,33 @@ def op10_quality_rules(spark, sf_dir):
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op3_line_dedup": op3_line_dedup,
     "op4_quality_classifier": op4_quality_classifier,
     "op9_language_id": op9_language_id,
     "op8_decontamination": op8_decontamination,
     "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLES = {}
+LINE_DEDUP = r"""
+WITH lines AS (
+    SELECT doc_id, pos, line,
+        translate(trim(line, e' \t\n\x0b\x0c\r'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM (
+        SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS pos
+        FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)
+    )
+),
+owners AS (
+    SELECT key, min(doc_id) AS owner FROM lines WHERE length(key) >= 10 AND doc_id IS NOT NULL
+    GROUP BY key HAVING count(DISTINCT doc_id) > 1
+),
+marked AS (
+    SELECT l.doc_id, l.pos, l.line, o.owner IS NOT NULL AND o.owner <> l.doc_id AS gone
+    FROM lines l LEFT JOIN owners o ON l.key = o.key
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+ORACLES = {"op3_line_dedup": LINE_DEDUP}
