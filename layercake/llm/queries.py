@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from layercake.llm import decontaminate, langid, lines, quality, rules, toxicity
+from layercake.llm import decontaminate, jaccard, langid, lines, quality, rules, toxicity
 from layercake.llm.common import crc_of, ship, table
 
 
@@ -17,6 +17,11 @@ def op1_toxicity(spark, sf_dir):
     return toxicity.score(docs, model)
 
 
+def op2_jaccard_join(spark, sf_dir):
+    ship(spark)
+    return jaccard.deduplicate(table(spark, sf_dir, "documents"))
+
+
 def op3_line_dedup(spark, sf_dir):
     ship(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -68,6 +73,7 @@ def op10_quality_rules(spark, sf_dir):
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_line_dedup": op3_line_dedup,
     "op4_quality_classifier": op4_quality_classifier,
     "op9_language_id": op9_language_id,
