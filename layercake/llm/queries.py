@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from layercake.llm import decontaminate, jaccard, langid, lines, quality, rules, toxicity
+from layercake.llm import decontaminate, jaccard, langid, lines, quality, rules, toxicity, urls
 from layercake.llm.common import crc_of, ship, table
 
 
@@ -43,6 +43,20 @@ def op4_quality_classifier(spark, sf_dir):
     )
 
 
+# The rules that go before the method.
+URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
+
+
+def op6_url_filter(spark, sf_dir):
+    labels = table(spark, sf_dir, "labels")
+    bad = F.when((F.col("quality") == 1) & (F.col("toxic") == 0), 0).otherwise(1)
+    outcomes = labels.where("quality is not null and toxic is not null").select(
+        F.col("doc_id").alias("page_id"), bad.alias("bad")
+    )
+    found = urls.judge(table(spark, sf_dir, "pages"), outcomes, URL_RULES)
+    return found.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op8_decontamination(spark, sf_dir):
     ship(spark)
     found = decontaminate.verdicts(
@@ -76,6 +90,7 @@ QUERIES = {
     "op2_jaccard_join": op2_jaccard_join,
     "op3_line_dedup": op3_line_dedup,
     "op4_quality_classifier": op4_quality_classifier,
+    "op6_url_filter": op6_url_filter,
     "op9_language_id": op9_language_id,
     "op8_decontamination": op8_decontamination,
     "op10_quality_rules": op10_quality_rules,
@@ -103,4 +118,81 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
-ORACLES = {"op3_line_dedup": LINE_DEDUP}
+URL_FILTER = r"""
+WITH split1 AS (
+    SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+),
+split2 AS (SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS raw FROM split1),
+own AS (
+    SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path
+    FROM split2
+),
+labelled AS (
+    SELECT o.host, CASE WHEN l.quality = 1 AND l.toxic = 0 THEN 0 ELSE 1 END AS bad
+    FROM own o JOIN labels l ON l.doc_id = o.page_id WHERE l.quality IS NOT NULL AND l.toxic IS NOT NULL
+),
+named AS (
+    SELECT *, string_split(bare, '.') AS parts FROM (
+        SELECT DISTINCT host, regexp_replace(host, ':[0-9]*$', '') AS bare FROM own
+    )
+),
+two AS (
+    SELECT *, array_to_string(parts[-2:], '.') AS last2, array_to_string(parts[-3:], '.') AS last3,
+        regexp_matches(bare, '^[0-9.]+$') OR starts_with(bare, '[') OR len(parts) < 2 AS address FROM named
+),
+levels AS (
+    SELECT host,
+        CASE WHEN address THEN bare WHEN last2 IN ({suffixes}) THEN last3 ELSE last2 END AS domain,
+        CASE WHEN address THEN '' WHEN last2 IN ({suffixes}) THEN last2 ELSE parts[-1] END AS suffix
+    FROM two
+),
+hosts AS (
+    SELECT host, domain, suffix, count(*)::DOUBLE AS n, sum(bad)::DOUBLE AS bad
+    FROM labelled JOIN levels USING (host) GROUP BY ALL
+),
+base AS (SELECT (coalesce(sum(bad), 0) + 1) / (coalesce(sum(n), 0) + 2) AS mean FROM hosts),
+s0 AS (
+    SELECT suffix, n, bad, (SELECT mean FROM base) AS mean
+    FROM (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY suffix)
+),
+s1 AS (SELECT {strength} AS s FROM s0),
+s2 AS (SELECT suffix, (bad + s * mean) / (n + s) AS mean FROM s0, s1),
+d0 AS (
+    SELECT domain, n, bad, mean FROM (
+        SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY ALL
+    ) JOIN s2 USING (suffix)
+),
+d1 AS (SELECT {strength} AS s FROM d0),
+d2 AS (SELECT domain, (bad + s * mean) / (n + s) AS mean FROM d0, d1),
+h0 AS (SELECT host, n, bad, mean FROM hosts JOIN d2 USING (domain)),
+h1 AS (SELECT {strength} AS s FROM h0),
+h2 AS (
+    SELECT host, m AS mean, sqrt(m * (1 - m) / (n + s + 1)) AS spread
+    FROM (SELECT host, n, s, (bad + s * mean) / (n + s) AS m FROM h0, h1)
+),
+judged AS (
+    SELECT page_id, o.host, path,
+        CASE WHEN (o.host = 'example.net' OR ends_with(o.host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+             WHEN (o.host = 'example.com' OR ends_with(o.host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+             WHEN (o.host = 'org' OR ends_with(o.host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+             WHEN (o.host = 'net' OR ends_with(o.host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule,
+        coalesce(h2.mean, d2.mean, (SELECT mean FROM base)) AS mean,
+        coalesce(h2.spread, sqrt(d2.mean * (1 - d2.mean) / (1 + (SELECT s FROM h1))),
+            sqrt((SELECT mean * (1 - mean) FROM base) / (1 + (SELECT s FROM h1)))) AS spread
+    FROM own o LEFT JOIN levels v ON v.host = o.host LEFT JOIN h2 ON h2.host = o.host
+        LEFT JOIN d2 ON d2.domain = v.domain
+)
+SELECT page_id, host, path, rule,
+    CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+         WHEN mean - {z} * spread > {limit} THEN 'block' ELSE 'allow' END AS verdict
+FROM judged
+""".format(
+    suffixes=", ".join(f"'{s}'" for s in urls.SUFFIXES),
+    strength="1 / least(0.5::DOUBLE, greatest(0.001::DOUBLE, coalesce(sum((bad - n * mean) ** 2 - n * mean * (1 - mean))"
+    " / nullif(sum(n * (n - 1) * mean * (1 - mean)), 0), 0.001::DOUBLE))) - 1",
+    z=urls.Z,
+    limit=urls.LIMIT,
+)
+
+ORACLES = {"op3_line_dedup": LINE_DEDUP, "op6_url_filter": URL_FILTER}
