@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from layercake.llm import decontaminate, jaccard, langid, lines, quality, rules, toxicity, urls
+from layercake.llm import decontaminate, jaccard, langid, lines, quality, rules, secrets, toxicity, urls
 from layercake.llm.common import crc_of, ship, table
 
 
@@ -57,6 +57,19 @@ def op6_url_filter(spark, sf_dir):
     return found.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op7_secret_scan(spark, sf_dir):
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+
+    def number(kind):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", *(number(k) for k in secrets.KINDS),
+        _sha256(secrets.listed("base")).alias("base_sha256"),
+        secrets.listed("spans").alias("spans"),
+    )
+
+
 def op8_decontamination(spark, sf_dir):
     ship(spark)
     found = decontaminate.verdicts(
@@ -91,6 +104,7 @@ QUERIES = {
     "op3_line_dedup": op3_line_dedup,
     "op4_quality_classifier": op4_quality_classifier,
     "op6_url_filter": op6_url_filter,
+    "op7_secret_scan": op7_secret_scan,
     "op9_language_id": op9_language_id,
     "op8_decontamination": op8_decontamination,
     "op10_quality_rules": op10_quality_rules,
