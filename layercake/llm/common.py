@@ -5,7 +5,9 @@ import tempfile
 import zipfile
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from layercake.sources.workspace import new_folder
 
@@ -54,3 +56,30 @@ def ship(spark):
             out.write(source, source.relative_to(root).as_posix())
     context.addPyFile(archive)
     context._layercake_sent = True
+
+
+def attach(docs, text_col, fields, values):
+    """``docs`` with new columns that Python makes from its texts, batch by batch.
+
+    ``values(column)`` returns an array for each of ``fields``. Columns of ``docs`` pass
+    through under numbered names, so none can clash with another; one that has the name
+    of a new column is replaced.
+    """
+    names = [c for c in docs.columns if c == text_col or c not in {f.name for f in fields}]
+    at = f"c{names.index(text_col)}"
+    inner = docs.select(*(docs[f"`{c}`"].alias(f"c{i}") for i, c in enumerate(names)))
+    made = [f"n{i}" for i in range(len(fields))]
+    schema = T.StructType(
+        [*inner.schema.fields, *(T.StructField(n, f.dataType) for n, f in zip(made, fields, strict=True))]
+    )
+
+    def run(batches):
+        for batch in batches:
+            arrays = [*batch.columns, *values(batch.column(at))]
+            yield pa.RecordBatch.from_arrays(arrays, [*batch.schema.names, *made])
+
+    out = inner.mapInArrow(run, schema)
+    return out.select(
+        *(F.col(f"c{i}").alias(c) for i, c in enumerate(names) if c not in {f.name for f in fields}),
+        *(F.col(n).alias(f.name) for n, f in zip(made, fields, strict=True)),
+    )

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from layercake.llm import words
+from layercake.llm.common import attach
 
 WINDOW = 13
 SEED_WORDS = 4
@@ -23,8 +24,10 @@ BLOCK_CHARS = 8_000_000
 SHARD_BYTES = 4_000_000
 
 # A match: words [start, start + length) of the document are words [at, at + length)
-# of the item; `whole` says whether that covers a window.
-MATCH = "array<struct<item:string,start:int,at:int,length:int>>"
+# of the item.
+MATCH = pa.list_(
+    pa.struct([("item", pa.string()), ("start", pa.int32()), ("at", pa.int32()), ("length", pa.int32())])
+)
 
 
 def tokens(column, limit=words.SLICE_BYTES):
@@ -75,7 +78,7 @@ def _member(values, among):
 
 
 def shard_matches(block, hashes, first):
-    """Matches of a shard: (row, item, start, at, length, size of the window), longest first per place.
+    """Matches of a shard: (row, item, start, at, length).
 
     ``hashes`` are the words of the shard and ``first`` each row's first word. Rows are
     kept apart by a number that no benchmark word has.
@@ -126,7 +129,7 @@ def shard_matches(block, hashes, first):
             while low < len(order) and sorted_keys[low].startswith(head):
                 p, own = order[low], sorted_keys[low]
                 length = _common(own, query)
-                found.append((int(doc_row[p]), item, int(doc_word[p]), at, length, size))
+                found.append((int(doc_row[p]), item, int(doc_word[p]), at, length))
                 low += 1
     return found
 
@@ -157,32 +160,18 @@ def _maximal(found):
     return kept
 
 
-def _matched(block):
-    def run(batches):
-        held = block.value
-        for batch in batches:
-            counts = np.zeros(batch.num_rows, np.int64)
-            matches = [[] for _ in range(batch.num_rows)]
-            for at, end, hashes, first in tokens(batch.column("text"), SHARD_BYTES):
-                counts[at:end] = np.diff(first)
-                for row, item, start, offset, length, _ in shard_matches(held, hashes, first):
-                    matches[at + row].append((item, start, offset, length))
-            before = batch.column("matches").to_pylist()
-            out = []
-            for old, new in zip(before, matches, strict=True):
-                out.append(
-                    (old or [])
-                    + [
-                        {"item": held.names[i], "start": s, "at": o, "length": n}
-                        for i, s, o, n in _maximal(new)
-                    ]
-                )
-            columns = {c: batch.column(c) for c in batch.schema.names}
-            columns["n_words"] = pa.array(counts, pa.int64())
-            columns["matches"] = pa.array(out, batch.schema.field("matches").type)
-            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
-
-    return run
+def _found(block, column):
+    """Number of words, and matches, of every text of an Arrow column."""
+    counts = np.zeros(len(column), np.int64)
+    matches = [[] for _ in range(len(column))]
+    for at, end, hashes, first in tokens(column, SHARD_BYTES):
+        counts[at:end] = np.diff(first)
+        for row, *match in shard_matches(block, hashes, first):
+            matches[at + row].append(match)
+    named = [
+        [{"item": block.names[i], "start": s, "at": o, "length": n} for i, s, o, n in _maximal(own)] for own in matches
+    ]
+    return [pa.array(counts), pa.array(named, MATCH)]
 
 
 def blocks(benchmark, id_col="item_id", text_col="text", block_chars=BLOCK_CHARS, window=WINDOW):
@@ -204,29 +193,40 @@ def blocks(benchmark, id_col="item_id", text_col="text", block_chars=BLOCK_CHARS
         yield Block(names, texts, window)
 
 
-def matches(docs, benchmark, id_col="doc_id", text_col="text", item_col="item_id", item_text="text",
-            window=WINDOW, block_chars=BLOCK_CHARS):
-    """``id_col``, ``n_words`` and ``matches`` for every row of ``docs``.
+def attach_matches(docs, benchmark, text_col="text", item_col="item_id", item_text="text", window=WINDOW,
+                   block_chars=BLOCK_CHARS):
+    """``docs`` with ``n_words`` and ``matches`` as new last columns.
 
     A match is a run of words that a document and an item share, at least ``window``
     words long or the whole of a shorter item, and as long as the words agree: ``item``,
     the first word in the document (``start``) and in the item (``at``), and ``length``.
-    Null and empty texts have no words. Repeated rows and ids are kept; a null id is
-    carried along. Other columns of ``docs`` are not looked at. An empty benchmark
+    Null and empty texts have no words. All rows are kept, repeated ones too; other columns
+    pass through, but those with the names of new ones are replaced. An empty benchmark
     leaves all documents without a match, an empty table gives an empty result.
     """
     spark = docs.sparkSession
-    out = docs.select(
-        F.col(id_col).alias("id"),
-        F.col(text_col).alias("text"),
-        F.lit(0).cast("long").alias("n_words"),
-        F.lit(None).cast(MATCH).alias("matches"),
-    )
-    schema = T.StructType([T.StructField(f.name, f.dataType) for f in out.schema])
+    fields = [
+        T.StructField("n_words", T.LongType()),
+        T.StructField("matches", T.ArrayType(T.StructType([
+            T.StructField("item", T.StringType()), T.StructField("start", T.IntegerType()),
+            T.StructField("at", T.IntegerType()), T.StructField("length", T.IntegerType()),
+        ]))),
+    ]
     held = list(blocks(benchmark, item_col, item_text, block_chars, window)) or [Block([], [], window)]
-    for block in held:  # one pass over the same task's rows after the other, without a shuffle
-        out = out.mapInArrow(_matched(spark.sparkContext.broadcast(block)), schema)
-    return out.select(F.col("id").alias(id_col), "n_words", "matches")
+    out = docs
+    for k, block in enumerate(held):  # one pass over a task's rows after the other, without a shuffle
+        value = spark.sparkContext.broadcast(block)
+        before = out.withColumnRenamed("matches", "matches before") if k else out
+        out = attach(before, text_col, fields, lambda column, value=value: _found(value.value, column))
+        if k:
+            out = out.withColumn("matches", F.concat("matches before", "matches")).drop("matches before")
+    return out
+
+
+def matches(docs, benchmark, id_col="doc_id", text_col="text", **options):
+    """``id_col``, ``n_words`` and ``matches`` for every row of ``docs``, as ``attach_matches`` has them."""
+    own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return attach_matches(own, benchmark, **options).select(F.col("id").alias(id_col), "n_words", "matches")
 
 
 def verdicts(found, limit=20):

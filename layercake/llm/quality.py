@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from layercake.llm import words
-from layercake.llm.common import bounded_sample
+from layercake.llm.common import attach, bounded_sample
 
 BUCKETS = 1 << 18
 DIM = 16
@@ -137,25 +137,22 @@ def scores(table, bias, column):
     return 1 / (1 + np.exp(-np.clip(out + bias, -500, 500)))
 
 
-def _scoring(held):
-    def run(batches):
-        table, bias = held.value
-        for batch in batches:
-            found = scores(table, bias, batch.column("text"))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found)], ["id", "score"])
+def attach_score(docs, model, text_col="text"):
+    """``docs`` with ``score``, the probability of label 1, as a new last column.
 
-    return run
+    Null and empty texts have no part and get what the bias says. All rows are kept, repeated
+    ones too; other columns pass through, but one called ``score`` is replaced. An empty
+    table gives an empty result.
+    """
+    held = docs.sparkSession.sparkContext.broadcast(collapse(model))
 
+    def values(column):
+        return [pa.array(scores(*held.value, column))]
 
-def score(docs, model, id_col="doc_id", text_col="text"):
-    """``id_col`` and ``score``, the probability of label 1, for every row of ``docs``.
+    return attach(docs, text_col, [T.StructField("score", T.DoubleType())], values)
 
-    Null and empty texts have no part and get what the bias says. Repeated rows and null ids
-    are kept; other columns are not looked at. An empty table gives an empty result.
-    """
-    held = docs.sparkSession.sparkContext.broadcast(collapse(model))
-    schema = T.StructType(
-        [T.StructField("id", docs.schema[id_col].dataType), T.StructField("score", T.DoubleType())]
-    )
-    out = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(_scoring(held), schema)
-    return out.withColumnRenamed("id", id_col)
+
+def score(docs, model, id_col="doc_id", text_col="text"):
+    """``id_col`` and ``score`` for every row of ``docs``, as ``attach_score`` has them."""
+    own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return attach_score(own, model).select(F.col("id").alias(id_col), "score")

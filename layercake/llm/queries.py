@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from layercake.llm import decontaminate, jaccard, langid, lines, quality, rules, secrets, toxicity, urls
+from layercake.llm import decontaminate, jaccard, langid, lines, mixing, quality, rules, secrets, toxicity, urls
 from layercake.llm.common import crc_of, ship, table
 
 
@@ -43,6 +43,21 @@ def op4_quality_classifier(spark, sf_dir):
     )
 
 
+# Target shares; a value without one shares in what is left.
+MIX = {
+    "source": {f"src{i}": 0.05 for i in range(20)},
+    "lang": {"en": 0.4, "de": 0.2, "fr": 0.2, "es": 0.2},
+    "topic": {"prose": 0.8, "short": 0.15, "licence": 0.03, "markup": 0.02},
+}
+MIX_FRACTION = 0.3
+
+
+def op5_source_mixing(spark, sf_dir):
+    """All documents with the probability of their cell and whether they were drawn."""
+    found = mixing.mix(table(spark, sf_dir, "documents"), MIX, MIX_FRACTION)
+    return found.select("doc_id", "cell", "probability", "sampled")
+
+
 # The rules that go before the method.
 URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
 
@@ -103,6 +118,7 @@ QUERIES = {
     "op2_jaccard_join": op2_jaccard_join,
     "op3_line_dedup": op3_line_dedup,
     "op4_quality_classifier": op4_quality_classifier,
+    "op5_source_mixing": op5_source_mixing,
     "op6_url_filter": op6_url_filter,
     "op7_secret_scan": op7_secret_scan,
     "op9_language_id": op9_language_id,
