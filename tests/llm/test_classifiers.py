@@ -1,0 +1,174 @@
+"""Toxicity, quality and language: held-out accuracy, the parts, and odd input."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from layercake.llm import langid, quality, toxicity, words
+from layercake.llm.common import crc_of
+from layercake.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    return [spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels")]
+
+
+def test_quality_of_held_out_documents(spark):
+    found = QUERIES["op4_quality_classifier"](spark, SF)
+    assert found.columns == ["doc_id", "held_out", "score", "predicted"]
+    assert found.where("predicted <> if(score >= 0.3, 1, 0) or score < 0 or score > 1").isEmpty()
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    rows = found.where("held_out").join(labels, "doc_id").collect()
+    assert np.mean([r["predicted"] == r["quality"] for r in rows]) > 0.93
+    assert found.count() == 1000
+
+
+def test_quality_learns_from_labels_only_where_told(tables):
+    docs, labels = tables
+    kept = labels.where(crc_of("doc_id") % 5 != 0)
+    flipped = labels.withColumn("quality", F.when(crc_of("doc_id") % 5 == 0, 1 - F.col("quality")).otherwise(F.col("quality")))
+    a, b = quality.fit(docs, kept), quality.fit(docs, flipped.where(crc_of("doc_id") % 5 != 0))
+    assert all((x == y).all() for x, y in zip(a, b))
+
+
+def test_quality_score_is_that_of_the_mean_vector():
+    texts = ["good words here", "bad bad bad", "good text", "bad text !!"] * 5
+    labels = [1, 0, 1, 0] * 5
+    vectors, layer, bias = quality.train(texts, labels)
+    table, offset = quality.collapse((vectors, layer, bias))
+    found = quality.scores(table, offset, words.pa.array([*texts[:4], "", None]))
+    for text, score in zip(texts[:4], found):
+        own, share = quality._text_features(text)
+        logits = (share @ vectors[own]) @ layer + bias
+        p = np.exp(logits) / np.exp(logits).sum()
+        assert score == pytest.approx(p[1], abs=1e-4)
+    assert found[4] == found[5] == pytest.approx(1 / (1 + np.exp(-offset)))
+    assert all((s > 0.5) == bool(y) for s, y in zip(found, labels[:4]))
+
+
+def test_odd_input_has_results(spark, make_docs, odd_rows, tables):
+    docs, labels = make_docs(odd_rows), tables[1]
+    none = labels.limit(0)
+    for model in (quality.fit(docs, none), quality.fit(*tables)):
+        out = quality.attach_score(docs, model)
+        assert out.columns == [*(c for c in docs.columns if c != "score"), "score"]
+        assert out.where("score between 0 and 1").count() == len(odd_rows)
+        assert quality.score(make_docs([]), model).count() == 0
+    for model in (toxicity.fit(docs, none), toxicity.fit(*tables)):
+        out = toxicity.score(docs, model)
+        assert out.where("score between 0 and 1 and not toxic").count() == len(odd_rows)
+        assert toxicity.score(make_docs([]), model).count() == 0
+
+
+def test_toxicity_of_held_out_documents(tables):
+    docs, labels = tables
+    held = crc_of("doc_id") % 3 == 0
+    model = toxicity.fit(docs, labels.where(~held))
+    rows = toxicity.score(docs, model).withColumnRenamed("toxic", "found").join(labels.where(held), "doc_id").collect()
+    clean = [r["found"] for r in rows if r["toxic"] == 0]
+    assert np.mean(clean) < 0.03
+    seen = [r for r in rows if r["toxic"] == 1]
+    assert seen and np.mean([r["score"] for r in seen]) > 5 * np.mean([r["score"] for r in rows if r["toxic"] == 0])
+
+
+def test_later_models_use_earlier_probabilities():
+    pick = np.random.default_rng(2)
+    first = pick.random(600) < 0.3
+    second = first ^ (pick.random(600) < 0.05)  # follows from the first category alone
+    texts = [f"{'idiot' if f else 'fine'} {' '.join(f'w{x}' for x in pick.integers(0, 50, 9))}" for f in first]
+    docs = toxicity.presence(texts)
+    models = toxicity.chain(docs, np.column_stack([first, second]).astype(float), np.arange(600) % 5)
+    assert len(models[0].dense) == 0 and len(models[1].dense) == 1 and models[1].dense[0] > 0
+    p = toxicity.probabilities(models, words.pa.array(["an idiot spoke", "a fine day", "", None]))
+    assert (p[0] > 0.5).all() and (p[1:] < 0.5).all()
+
+
+def test_a_toxic_word_counts_in_a_long_text():
+    clean = [" ".join(f"w{x}" for x in np.random.default_rng(i).integers(0, 99, 60)) for i in range(300)]
+    texts = [t + " moron" if i % 4 == 0 else t for i, t in enumerate(clean)]
+    y = np.array([[i % 4 == 0] for i in range(300)], float)
+    models = toxicity.chain(toxicity.presence(texts), y, np.arange(300) % 5)
+    long = " ".join(clean * 20)
+    p = toxicity.probabilities(models, words.pa.array([long, long + " Moron!"]))[:, 0]
+    assert p[0] < 0.5 < p[1]
+
+
+# Language
+
+
+def phrases(text, learned):
+    """Longest phrases of ``learned`` that ``text`` is cut into, piece by piece, by brute force."""
+    count = 0
+    for at in range(0, len(text), langid.PIECE):
+        piece = text[at : at + langid.PIECE]
+        while piece:
+            size = 1
+            while size < len(piece) and piece[: size + 1] in learned and piece[:size] in learned:
+                size += 1
+            count, piece = count + 1, piece[size:]
+    return count
+
+
+def test_phrases_equal_brute_force():
+    pick = np.random.default_rng(1)
+    text = lambda n: "".join(pick.choice(list("abc é"), n))
+    model = langid.Model({"x": text(300), "y": text(200)})
+    assert model.languages == ["x", "y"]
+    learned = [langid.normalised(t) for t in ("",)]  # the same normal form on both sides
+    assert learned == [""]
+    samples = [text(n) for n in (1, 5, 255, 256, 257, 900)] + ["zz abc", "  ", "ABC É", "a1b2"]
+    texts = {"x": "abcab ééc ab", "y": "ccc ba bb"}
+    model = langid.Model(texts)
+    kinds = model.classes()
+    for sample in samples:
+        raw = "".join(c if c.isalpha() else " " for c in sample.lower())
+        clean = "".join(c for i, c in enumerate(raw) if not (c == " " and i and raw[i - 1] == " "))
+        own = {k: phrases(clean, langid.normalised(t)) * np.log2(len(langid.normalised(t)) + 2) for k, t in texts.items()}
+        names, scores = langid.predict(model, kinds, words.pa.array([sample]))
+        if not any(c.isalpha() for c in sample):
+            assert (names[0], scores[0]) == ("und", 0)
+        else:
+            best = min(own, key=lambda k: (round(own[k], 6), k))
+            assert names[0] == best
+            assert scores[0] == pytest.approx(max(own.values()) / sum(own.values()))
+
+
+def test_automaton_knows_all_substrings_and_no_others():
+    text = "abracadabra abba"
+    moves = langid.suffix_automaton(text)
+
+    def known(word):
+        state = 0
+        for c in word:
+            if c not in moves[state]:
+                return False
+            state = moves[state][c]
+        return True
+
+    for low in range(len(text)):
+        for high in range(low, len(text) + 1):
+            assert known(text[low:high])
+    for word in ("abc", "baa", "aa", "dab b", "c a"):
+        assert known(word) == (word in text)
+
+
+def test_language_of_held_out_documents(spark):
+    found = QUERIES["op9_language_id"](spark, SF)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang")
+    rows = found.where("held_out").join(docs, "doc_id").collect()
+    assert np.mean([r["lang"] == r["lang_pred"] for r in rows]) > 0.98
+    assert found.where("score < 0 or score > 1").isEmpty() and found.count() == 1000
+
+
+def test_language_of_odd_input(spark, make_docs, odd_rows):
+    model = langid.fit(make_docs([(1, "der hund und die katze"), (2, None), (None, "x")], lang="de"))
+    out = langid.identify(make_docs(odd_rows), model).collect()
+    assert len(out) == len(odd_rows)
+    assert {r["lang_pred"] for r in out if r["doc_id"] in (1, 2, 3)} == {"und"}
+    assert {(r["lang_pred"], r["score"]) for r in out if r["doc_id"] == 6} == {("de", 1.0)}
+    empty = langid.fit(make_docs([]))
+    assert {r["lang_pred"] for r in langid.identify(make_docs(odd_rows), empty).collect()} == {"und"}
+    assert langid.identify(make_docs([]), model).count() == 0

@@ -1,0 +1,103 @@
+"""The Jaccard join against brute force over all pairs."""
+
+import itertools
+import random
+import re
+
+import numpy as np
+import pytest
+
+from layercake.llm import jaccard
+from layercake.llm.queries import QUERIES
+from tests.llm.conftest import lower, words
+
+
+def shingle_set(text):
+    own = re.findall(r"[^\x20\x09-\x0D]+", lower(text))
+    return {tuple(own[i : i + 5]) for i in range(max(1, len(own) - 4))} if own else set()
+
+
+def brute(rows):
+    """(doc_id, n_shingles, component_id) of every row."""
+    sets = [(i, shingle_set(t)) for i, t in rows]
+    parent = {i: i for i, _ in sets if i is not None}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for (a, s), (b, t) in itertools.combinations(sets, 2):
+        if a is not None and b is not None and s and t:
+            common = len(s & t)
+            if 100 * common >= 75 * (len(s) + len(t) - common):
+                low, high = sorted((root(a), root(b)))
+                parent[high] = low
+    return sorted(((i, len(s), root(i) if i is not None else None) for i, s in sets), key=repr)
+
+
+def found(docs, **options):
+    return sorted((tuple(r) for r in jaccard.deduplicate(docs, **options).collect()), key=repr)
+
+
+def edited(text, changes, seed):
+    pick, own = random.Random(seed), text.split()
+    for _ in range(changes):
+        own[pick.randrange(len(own))] = f"e{pick.randrange(10**6)}"
+    return " ".join(own)
+
+
+def test_groups_chains_and_shared_passages(make_docs, odd_rows, monkeypatch):
+    # Low limits, so that frequent columns and several chunks occur in few rows.
+    monkeypatch.setattr(jaccard, "FREQUENT", 4)
+    base, passage = words(60, 1, 10**6), words(25, 2, 10**6)
+    rows = [(100 + i, edited(base, i % 5, i)) for i in range(40)]
+    chain = base
+    for i in range(12):  # each is similar to the next, the ends are not
+        chain = edited(chain, 1, 1000 + i)
+        rows.append((200 + i, chain))
+    rows += [(300 + i, f"{words(30 + i, 50 + i, 10**6)} {passage}") for i in range(30)]
+    rows += [(400 + i, " ".join(words(n, 7, 10**6).split()[:n])) for i, n in enumerate(range(1, 12))]
+    rows += odd_rows
+    assert found(make_docs(rows)) == brute(rows)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_random_texts_near_the_bound(make_docs, seed):
+    pick = random.Random(seed)
+    base = [words(pick.randrange(4, 70), seed * 100 + i, 10**6) for i in range(8)]
+    rows = [(i, edited(pick.choice(base), pick.randrange(0, 4), seed * 1000 + i)) for i in range(90)]
+    assert found(make_docs(rows)) == brute(rows)
+
+
+def test_same_id_with_two_texts_is_one_document(make_docs):
+    a, b = words(40, 1, 10**6), words(40, 2, 10**6)
+    rows = [(5, a), (5, b), (3, a), (9, b)]
+    assert {r[2] for r in found(make_docs(rows))} == {3}
+
+
+def test_empty_table(make_docs):
+    assert found(make_docs([])) == []
+
+
+def test_bounds():
+    for n, m in itertools.product(range(1, 60), repeat=2):
+        least = jaccard.needed(n, m)
+        assert 100 * least >= 75 * (n + m - least) and 100 * (least - 1) < 75 * (n + m - least + 1)
+    assert [jaccard.head_size(n) for n in (1, 2, 4, 5, 100)] == [1, 1, 2, 2, 26]
+
+
+def test_overlap_gives_up_early_only_below_the_bound():
+    pick = np.random.default_rng(1)
+    for _ in range(200):
+        a, b = (np.unique(pick.integers(0, 90, pick.integers(1, 80)).astype(np.uint64)) for _ in "ab")
+        common = len(set(a.tolist()) & set(b.tolist()))
+        for least in (0, common, common + 1, 30):
+            assert jaccard.overlap(a, b, least) in ({common} if common >= least else {common, -1})
+
+
+def test_query_equals_brute_force(spark):
+    sf = "/root/testdata/sf0.001"
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
+    result = QUERIES["op2_jaccard_join"](spark, sf).select("doc_id", "n_shingles", "component_id")
+    assert sorted((tuple(r) for r in result.collect()), key=repr) == brute(rows)

@@ -1,0 +1,72 @@
+"""Quality rules: counts against brute force, the estimate against planted truth."""
+
+import re
+from collections import Counter
+
+import numpy as np
+
+from layercake.llm import rules
+from tests.llm.conftest import words
+
+
+def brute(text):
+    text = text or ""
+    own = re.findall(r"[^\x20\x09-\x0D]+", text)
+    windows = Counter(tuple(own[i : i + 8]) for i in range(len(own) - 7))
+    again = set()
+    for i in range(len(own) - 7):
+        if windows[tuple(own[i : i + 8])] > 1:
+            again.update(range(i, i + 8))
+    seen, repeated = set(), 0
+    for line in text.split("\n"):
+        if re.search(r"[^\x20\x09-\x0D]", line):
+            repeated += line in seen
+            seen.add(line)
+    n_symbols = len(re.findall(r"[#*$%&|<>]", text))
+    failed = len(own) < 20 or 100 * len(again) > 30 * len(own)
+    return len(own), sum(map(len, own)), n_symbols, repeated, len(again), failed
+
+
+def test_counts_equal_brute_force(spark, make_docs, odd_rows):
+    rows = odd_rows + [
+        (100, "a b\na b\n a b\n\n\n \nx"),
+        (101, ("one two three four five six seven eight " * 2 + "nine ") * 3),
+        (102, "# * $ % & | < > ### **a** été été"),
+        (103, words(10, 3) + " " + words(10, 4) + "\n" + words(10, 3)),
+    ]
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    found = rules.judge(make_docs(rows)).select("doc_id", *names, "kept").collect()
+    assert sorted(((r[0], *r[1:7]) for r in found), key=repr) == sorted(((i, *brute(t)) for i, t in rows), key=repr)
+    assert not any(r["kept"] for r in found if r["base_failed"])
+
+
+def test_given_documents(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    found = rules.judge(docs).collect()
+    assert all(brute(texts[r["doc_id"]]) == tuple(r[s] for s in rules.STATS[:5]) + (r["base_failed"],) for r in found)
+    good = [r["kept"] or r["base_failed"] for r in found if labels.get(r["doc_id"]) == 1]
+    bad = [r["kept"] for r in found if labels.get(r["doc_id"]) == 0]
+    assert np.mean(good) > 0.99 and np.mean(bad) < 0.1
+
+
+def test_estimate_finds_how_far_rules_are_right():
+    random = np.random.default_rng(4)
+    good = random.random(40_000) < 0.7
+    right = np.array([0.9, 0.8, 0.75, 0.6])
+    votes = np.where(random.random((len(good), 4)) < right, 1, -1) * np.where(good, 1, -1)[:, None]
+    votes[random.random(votes.shape) < 0.2] = 0
+    patterns, inverse, counts = np.unique(votes, axis=0, return_inverse=True, return_counts=True)
+    post, share, rates = rules.estimate(patterns, counts)
+    assert abs(share - 0.7) < 0.03
+    estimated = rates[1, :, 2] / (rates[1, :, 2] + rates[1, :, 0])
+    assert np.abs(estimated - right).max() < 0.05
+    assert ((post[inverse.ravel()] >= 0.5) == good).mean() > 0.9
+
+
+def test_empty_table(make_docs):
+    assert rules.judge(make_docs([])).count() == 0
+    post, share, _ = rules.estimate(np.zeros((0, 3)), [])
+    assert len(post) == 0 and share == 0.8

@@ -1,0 +1,87 @@
+"""URL filter on hand-made rows; whole tables are compared with SQL in test_queries."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from layercake.llm import urls
+from layercake.llm.queries import URL_RULES
+
+
+@pytest.fixture(scope="module")
+def judge(spark):
+    def run(rows, outcomes=(), rules=URL_RULES, **options):
+        pages = spark.createDataFrame([(i, u, "x", 1.0) for i, u in rows], "page_id long, url string, mean string, s double")
+        bad = spark.createDataFrame(list(outcomes), "page_id long, bad int")
+        return {r["page_id"]: r for r in urls.judge(pages, bad, rules, **options).collect()}
+
+    return run
+
+
+def test_hosts_and_paths(judge):
+    rows = [
+        (1, "https://A.Example.NET/En/x?q#f"), (2, "http://h?x=/y"), (3, "no scheme"), (4, None), (5, ""), (6, "://"),
+        (7, "ftp://u@h:80#/p"), (8, "http://a://b/c#d?e"), (9, "http://É.org/a\nb?c"), (10, "x://h/a/../b//"),
+    ]
+    found = judge(rows)
+    expected = {
+        1: ("a.example.net", "/En/x"), 2: ("h", ""), 3: ("", ""), 4: ("", ""), 5: ("", ""), 6: ("", ""),
+        7: ("u@h:80", ""), 8: ("a:", "//b/c"), 9: ("É.org", "/a\nb"), 10: ("h", "/a/../b//"),
+    }
+    assert {i: (r["host"], r["path"]) for i, r in found.items()} == expected
+
+
+def test_longest_rule_wins(judge):
+    rows = [
+        (1, "http://example.net/en/1"), (2, "http://a.example.net/en/1"), (3, "http://example.net/fr/1"),
+        (4, "http://myexample.com/de/"), (5, "http://x.example.com/de/z"), (6, "http://example.org/fr/"),
+        (7, "http://example.net"), (8, "http://net/"), (9, "http://example.org/fr"), (10, "http://example.com/DE/"),
+    ]
+    found = {i: (r["rule"], r["verdict"]) for i, r in judge(rows).items()}
+    none = (None, "allow")
+    assert found == {
+        1: ("example.net/en/", "allow"), 2: ("example.net/en/", "allow"), 3: ("net/", "block"), 4: none,
+        5: ("example.com/de/", "block"), 6: ("org/fr/", "allow"), 7: none, 8: ("net/", "block"), 9: none, 10: none,
+    }
+
+
+def test_registered_domains(spark):
+    hosts = ["a.b.example.com", "example.com", "x.shop.co.uk", "co.uk", "localhost", "10.0.0.1", "10.0.0.1:80", "[::1]", ""]
+    frame = spark.createDataFrame([(h,) for h in hosts], "h string")
+    rows = frame.select(*urls.levels(F.col("h"))).collect()
+    assert [tuple(r) for r in rows] == [
+        ("example.com", "com"), ("example.com", "com"), ("shop.co.uk", "co.uk"), ("co.uk", "co.uk"), ("localhost", ""),
+        ("10.0.0.1", ""), ("10.0.0.1", ""), ("[::1]", ""), ("", ""),
+    ]
+
+
+def test_bad_hosts_are_blocked_and_small_ones_borrow(judge):
+    rows, outcomes = [], []
+
+    def pages(host, n, bad, seen=True):
+        for k in range(n):
+            rows.append((len(rows), f"http://{host}/{k}"))
+            if seen:
+                outcomes.append((rows[-1][0], int(k < bad)))
+
+    for d in range(40):
+        pages(f"www.good{d}.com", 30, 1)
+    for sub in "abcdefgh":
+        pages(f"{sub}.spam.com", 30, 29)
+    pages("new.spam.com", 3, 0, seen=False)  # nothing known but its domain
+    pages("one.other.com", 1, 1)  # a single bad page proves nothing
+    found = judge(rows, outcomes, {})
+    by_host = {}
+    for r in found.values():
+        by_host.setdefault(r["host"], set()).add(r["verdict"])
+    assert by_host["a.spam.com"] == {"block"} and by_host["new.spam.com"] == {"block"}
+    assert by_host["one.other.com"] == {"allow"} and by_host["www.good3.com"] == {"allow"}
+    share = {r["host"]: r["bad_share"] for r in found.values()}
+    assert share["www.good0.com"] < share["one.other.com"] < share["a.spam.com"] < 29 / 30 + 0.01
+
+
+def test_repeated_rows_and_empty_tables(spark, judge):
+    pages = spark.createDataFrame([(1, "http://a.com/"), (1, "http://a.com/"), (None, "http://b.com/")], "page_id long, url string")
+    bad = spark.createDataFrame([(1, 1), (1, 0), (2, None), (None, 1)], "page_id long, bad int")
+    assert urls.judge(pages, bad, URL_RULES).count() == 3
+    assert judge([]) == {}
+    assert urls.judge(pages.limit(0), bad, {}).count() == 0
