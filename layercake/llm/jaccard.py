@@ -186,14 +186,13 @@ def _frequent(sketch):
         sketch.where("col is not null").groupBy("col").agg(F.sum("hits").alias("hits")).where(F.col("hits") >= FREQUENT),
         "jaccard-frequent",
     )
-    least, total = FREQUENT, 0
     by_count = found.groupBy(F.floor(F.log2("hits") * 8).alias("k")).agg(F.count("*").alias("n"), F.min("hits").alias("h"))
+    least, total = 1 << 62, 0
     for row in sorted(by_count.collect(), key=lambda r: -r["k"]):  # a few hundred rows
         total += row["n"]
-        least = row["h"]
         if total > MOST_FREQUENT:
-            least = row["h"] * 2
             break
+        least = row["h"]
     rows = found.where(F.col("hits") >= least).toPandas()
     cols, hits = rows["col"].to_numpy(np.int64).view(np.uint64), rows["hits"].to_numpy(np.int64)
     order = np.lexsort((cols, hits))
@@ -265,8 +264,8 @@ def links(docs, id_col="doc_id", text_col="text", size=SHINGLE, t=SIMILARITY, ro
     heads = heads.withColumn("k", key).withColumn("rows", F.count("*").over(Window.partitionBy("k")))
     heads = heads.where("often or rows > 1").select("col", "doc", "n")
     heads = staged(heads.join(reps, heads["doc"] == reps["rep"], "left_semi"), "jaccard-heads")
-    alone = heads.groupBy("col").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo <> hi").select("col")
-    heads = staged(heads.join(staged(alone, "jaccard-columns"), "col", "left_semi"), "jaccard-heads")
+    shared = heads.groupBy("col").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo <> hi").select("col")
+    heads = staged(heads.join(staged(shared, "jaccard-columns"), "col", "left_semi"), "jaccard-heads")
     ids = staged(heads.select("doc").distinct(), "jaccard-ids")
     texts = given.join(ids, given["id"] == ids["doc"]).select("doc", "text")
     texts = staged(texts, "jaccard-texts")

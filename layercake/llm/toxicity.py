@@ -63,9 +63,18 @@ def select(docs, y):
     counts = [np.zeros(BUCKETS), np.zeros(BUCKETS)]
     for own, label in zip(docs, y):
         counts[int(label)][own] += 1
-    clean, hit = counts[0] + 0.5, counts[1] + 0.5
-    z = (np.log(hit / (y.sum() + 1)) - np.log(clean / ((~y).sum() + 1))) / np.sqrt(1 / hit + 1 / clean)
-    z[counts[1] < 3] = 0
+    clean, hit = counts
+    total, share = hit + clean, y.mean() if len(y) else 0.0
+    gain = np.zeros(BUCKETS)  # log-likelihood ratio of presence and category
+    for seen, expected in (
+        (hit, total * share),
+        (clean, total * (1 - share)),
+        (y.sum() - hit, (len(y) - total) * share),
+        ((~y).sum() - clean, (len(y) - total) * (1 - share)),
+    ):
+        gain += seen * np.log(np.maximum(seen, 1e-9) / np.maximum(expected, 1e-9))
+    z = np.sqrt(np.maximum(2 * gain, 0)) * np.sign(hit - total * share)
+    z[hit < 3] = 0
     best = np.argsort(-z, kind="stable")[:SELECTED]
     chosen = best[z[best] >= LEAST_Z]
     return chosen if len(chosen) >= 8 else best[:64][z[best[:64]] > 0]
