@@ -209,3 +209,39 @@ JOIN ({_artists_12}) r ON e.artist_uri = r.artist_uri""",
         f"entries_123 AS ({_upsert_entries('entries_12', 'entries_3')})",
     ),
 }
+
+_entries_123 = f"entries_123 AS ({_upsert_entries('entries_12', 'entries_3')})"
+_dimensions_123 = [
+    f"songs_12 AS ({_songs_12})",
+    f"albums_12 AS ({_albums_12})",
+    f"artists_12 AS ({_artists_12})",
+    f"songs_123 AS ({_first('songs_12', 'songs_3', _SONG, 'track_uri', 'track_name, duration_ms, album_uri, artist_uri')})",
+    f"albums_123 AS ({_first('albums_12', 'albums_3', _ALBUM, 'album_uri', 'album_name, artist_uri')})",
+    f"artists_123 AS ({_first('artists_12', 'artists_3', _ARTIST, 'artist_uri', 'artist_name')})",
+]
+_tracks_123 = _with(
+    f"""SELECT {_GOLD_TRACKS} FROM entries_123 e
+JOIN songs_123 s ON e.track_uri = s.track_uri
+JOIN albums_123 a ON e.album_uri = a.album_uri
+JOIN artists_123 r ON e.artist_uri = r.artist_uri""",
+    _entries_12,
+    _entries_123,
+    *_dimensions_123,
+)
+
+ORACLES |= {
+    "storage_report": """SELECT layer, tables, true AS has_files, true AS adds_up
+FROM (VALUES ('bronze', 2::BIGINT), ('silver', 5), ('gold', 2), ('total', 9)) AS t(layer, tables)""",
+    # A refresh and a rebuild give the same table, and so do the jobs.
+    "gold_playlists_refresh": ORACLES["three_batches"],
+    "gold_tracks_refresh": _tracks_123,
+    "job_upsert_playlists": ORACLES["three_batches"],
+    "job_upsert_tracks": _tracks_123,
+    "job_merge_playlists": ORACLES["merge_partial_columns"],
+    "point_update_gold": _with(
+        f"""SELECT g.* REPLACE (
+  CASE WHEN playlist_id = {PLAYLIST} THEN '{NEW_NAME}' ELSE name END AS name,
+  CASE WHEN playlist_id = {PLAYLIST} THEN 'true' ELSE collaborative END AS collaborative)
+FROM ({_gold("entries_1", "plists_1", "LEFT")}) g"""
+    ),
+}

@@ -18,9 +18,9 @@ from layercake.sources import (
     write_table,
 )
 
-# The playlist that is looked up and patched, and its new content.
+# The playlist that is looked up and patched, and its new name.
 PLAYLIST = 996
-NEW_NAME = "GYM WORKOUT"
+NEW_NAME = "Late shift"
 
 
 def _raw(spark, sf_dir):
@@ -84,11 +84,19 @@ def replace_in_place(spark, sf_dir):
 
 
 def storage(spark, sf_dir):
+    """What of the report does not depend on the file format: layers, tables, and sums."""
     lake = Lake(spark, new_folder(spark, "storage-report"))
     jobs.ingest_bronze(lake, fx.playlists(spark, sf_dir), fx.tracks(spark, sf_dir))
     jobs.build_silver(lake)
     jobs.build_gold(lake)
-    return storage_report(lake)
+    report = storage_report(lake)
+    parts = report.where("layer <> 'total'").agg(F.sum("bytes").alias("sum"), F.sum("tables").alias("n"))
+    (whole,) = parts.collect()  # one row
+    total = F.col("layer") == "total"
+    adds_up = ~total | ((F.col("bytes") == whole["sum"]) & (F.col("tables") == whole["n"]))
+    return report.select(
+        "layer", "tables", (F.col("size_mib") > 0).alias("has_files"), adds_up.alias("adds_up")
+    )
 
 
 # Bronze and silver
@@ -202,7 +210,10 @@ def _upsert(name):
 
 
 def merge_generic(spark, sf_dir):
-    return _merged_by_key(_raw(spark, sf_dir), "playlist_tracks")
+    """MERGE into a stored table, from a stored batch."""
+    raw = _raw(spark, sf_dir)
+    old, new = (stage(spark, _table(raw, "playlist_tracks", n), f"entries-{n}") for n in (1, 3))
+    return upsert.merge_table("playlist_tracks", old, new)
 
 
 def merge_generic_playlists(spark, sf_dir):
@@ -211,11 +222,11 @@ def merge_generic_playlists(spark, sf_dir):
 
 def merge_partial_columns(spark, sf_dir):
     raw = _stored(spark, sf_dir)
-    built = gold.playlists_build(_table(raw, "playlist_tracks"), _table(raw, "playlists"))
+    old, new = (stage(spark, _table(raw, "playlist_tracks", n), f"entries-{n}") for n in (1, 3))
+    built = gold.playlists_build(old, _table(raw, "playlists"))
     before = stage(spark, built, "gold-before")
-    source = gold.merge_source(
-        _merged_by_key(raw, "playlist_tracks"), _merged_by_key(raw, "playlists")
-    )
+    merged = upsert.merge_table("playlist_tracks", old, new)
+    source = gold.merge_source(merged, _merged_by_key(raw, "playlists"))
     fresh = stage(spark, source, "gold-fresh")
     return gold.playlists_merge(before, fresh, gold.MERGE_COLUMNS)
 
@@ -237,6 +248,77 @@ def three_batches(spark, sf_dir):
     return gold.playlists_rebuild(tables["playlist_tracks"], tables["playlists"])
 
 
+# The jobs, from JSON lines to the table that is current at the end
+
+
+def _lake(spark, sf_dir, *batches):
+    """A lake after the first build and the given upserted batches, and the paths of all batches."""
+    playlists, tracks = _raw(spark, sf_dir).values()
+    paths = {}
+    for n in (1, *batches):
+        paths[n] = (new_folder(spark, f"json-playlists-{n}"), new_folder(spark, f"json-tracks-{n}"))
+        export_json(fx.playlists_batch(playlists, n), paths[n][0])
+        export_json(fx.tracks_batch(tracks, n), paths[n][1])
+    lake = Lake(spark, new_folder(spark, "lake"))
+    jobs.build_lake(lake, *paths[1])
+    return lake, paths
+
+
+def _upserted(spark, sf_dir):
+    """A lake after three batches; the third refreshes gold instead of rebuilding it."""
+    lake, paths = _lake(spark, sf_dir, 2, 3)
+    jobs.upsert_batch(lake, *paths[2])
+    jobs.upsert_batch(lake, *paths[3])
+    return lake
+
+
+def job_upsert_playlists(spark, sf_dir):
+    return _upserted(spark, sf_dir).read("gold/playlists")
+
+
+def job_upsert_tracks(spark, sf_dir):
+    return _upserted(spark, sf_dir).read("gold/playlist_tracks")
+
+
+def job_merge_playlists(spark, sf_dir):
+    lake, paths = _lake(spark, sf_dir, 3)
+    jobs.merge_batch(lake, *paths[3], columns=gold.MERGE_COLUMNS)
+    return lake.read("gold/playlists")
+
+
+def point_update_gold(spark, sf_dir):
+    lake, _ = _lake(spark, sf_dir)
+    patch = {"name": f"'{NEW_NAME}'", "collaborative": "'true'"}
+    jobs.point_update(lake, f"playlist_id = {PLAYLIST}", patch)
+    return lake.read("gold/playlists")
+
+
+def _refresh_inputs(spark, sf_dir, names):
+    """Silver tables after batch 1 and 2 and after batch 3 as well, and the ids of batch 3."""
+    raw = _stored(spark, sf_dir)
+    old = {n: stage(spark, _merged(raw, n), f"silver-{n}") for n in names}
+    new = {n: upsert.upsert_table(n, old[n], _table(raw, n, 3), unique=True) for n in names}
+    new = {n: stage(spark, df, f"silver-{n}") for n, df in new.items()}
+    ids = [_table(raw, n, 3).select("playlist_id") for n in ("playlists", "playlist_tracks")]
+    return old, new, ids[0].unionByName(ids[1])
+
+
+def gold_playlists_refresh(spark, sf_dir):
+    names = ("playlist_tracks", "playlists")
+    old, new, ids = _refresh_inputs(spark, sf_dir, names)
+    return gold.playlists_refresh(
+        gold.playlists_rebuild(*(old[n] for n in names)), ids, *(new[n] for n in names)
+    )
+
+
+def gold_tracks_refresh(spark, sf_dir):
+    names = ("playlist_tracks", *upsert.DIMENSIONS)
+    old, new, ids = _refresh_inputs(spark, sf_dir, names)
+    return gold.tracks_refresh(
+        gold.tracks_rebuild(*(old[n] for n in names)), ids, *(new[n] for n in names)
+    )
+
+
 QUERIES = {
     "scan_json": scan_json,
     "scan_parquet": scan_parquet,
@@ -272,4 +354,10 @@ QUERIES = {
     "merge_partial_columns": merge_partial_columns,
     "patch_then_merge": patch_then_merge,
     "three_batches": three_batches,
+    "gold_playlists_refresh": gold_playlists_refresh,
+    "gold_tracks_refresh": gold_tracks_refresh,
+    "job_upsert_playlists": job_upsert_playlists,
+    "job_upsert_tracks": job_upsert_tracks,
+    "job_merge_playlists": job_merge_playlists,
+    "point_update_gold": point_update_gold,
 }

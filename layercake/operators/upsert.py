@@ -1,10 +1,7 @@
 """Upserts as functions from (stored rows, batch rows) to the new table.
 
-Two routes exist for most of them. The general one shuffles both sides on the
-key and holds for batches of any size. The other is taken with
-``small_batch=True``: the batch is broadcast and the stored table is passed
-through without a shuffle. ``sources.limits.fits_broadcast`` measures a batch;
-only set the flag when it says so.
+Both sides are shuffled on the key; where one is small, Spark itself turns the join
+into a broadcast of it. What is known to be unique is neither deduplicated nor read twice.
 """
 
 from functools import reduce
@@ -54,30 +51,27 @@ def _shaped_like(df, target):
     )
 
 
-def _absent(batch, target, keys, null_safe, small_batch, target_unique=False):
+def _absent(batch, target, keys, null_safe, target_unique=False):
     """Rows of ``batch`` whose key no row of ``target`` has."""
     stored = _renamed(target.select(*keys), "__t_")
-    if small_batch:
-        # No shuffle of the stored keys: those the batch also has are found by
-        # a broadcast semi join, and are at most as many as the batch's own.
-        wanted = F.broadcast(batch.select(*keys))
-        stored = stored.join(wanted, _equal(keys, "__t_", null_safe), "left_semi")
-        stored = F.broadcast(stored.distinct())
-    elif not target_unique:
+    if not target_unique:
         # Combined before the shuffle, so that a hot key is sent once per task.
         stored = stored.distinct()
     return batch.join(stored, _equal(keys, "__t_", null_safe), "left_anti")
 
 
-def insert_missing(old, new, keys, small_batch=False):
+def _check_columns(df, names, what):
+    unknown = [n for n in dict.fromkeys(names) if n not in df.columns]
+    if unknown:
+        raise ValueError(f"no such column of the {what}: {', '.join(unknown)}")
+
+
+def insert_missing(old, new, keys):
     """``keep_first([old, new], keys)`` for an ``old`` that is already unique.
 
     Stored rows pass through untouched; only the batch is deduplicated.
     """
-    fresh = keep_least(new, keys)
-    fresh = _absent(
-        fresh, old, keys, null_safe=True, small_batch=small_batch, target_unique=True
-    )
+    fresh = _absent(keep_least(new, keys), old, keys, null_safe=True, target_unique=True)
     return old.unionByName(fresh, allowMissingColumns=True)
 
 
@@ -99,7 +93,7 @@ def _with_plain_keys(df, keys):
     )
 
 
-def upsert_non_null(old, new, keys, old_unique=False, small_batch=False):
+def upsert_non_null(old, new, keys, old_unique=False):
     """Upsert where a non-NULL batch value replaces the stored one, column by column.
 
     Both sides are reduced to one row per key first. A key with a NULL in it
@@ -107,12 +101,6 @@ def upsert_non_null(old, new, keys, old_unique=False, small_batch=False):
     result has one row per key, so it can be passed back with ``old_unique=True``.
     """
     new = _shaped_like(new, old)
-    if old_unique and small_batch:
-        batch = keep_least(new, keys)
-        joined = old.join(F.broadcast(_renamed(batch, "__n_")), _equal(keys, "__n_"), "left")
-        updated = joined.selectExpr(*[f"{_newest(c)} AS `{c}`" for c in old.columns])
-        return updated.unionByName(_absent(batch, old, keys, null_safe=True, small_batch=True))
-
     # Both sides are unique once deduplicated, so a hot key cannot skew the join,
     # and it needs no exchange beyond the two of the deduplication.
     plain = [*keys, _MASK]
@@ -139,31 +127,46 @@ def merge_into(
     update_columns,
     insert_columns=None,
     source_unique=False,
-    small_batch=False,
+    target_unique=False,
 ):
     """MERGE: set ``update_columns`` on matched rows, insert the other source rows.
 
     A NULL in the source overwrites. Every target row of a key is updated; the
-    source is reduced to one row per key. Columns not inserted are NULL. A full
-    outer join would express this too, but neither broadcasts nor is split when a
-    target key is hot; a left join and an anti join can do both. They read the
-    inputs twice, so pass stored or staged tables rather than long plans.
+    source is reduced to one row per key. Columns not inserted are NULL. Keys and
+    columns must be columns of the target, and of the source, or ``ValueError`` is raised.
+
+    If the target is known to be unique on the keys, no key can be hot, and one full
+    outer join reads each side once. Else a left join and an anti join, which can be
+    split when a target key is hot, read both twice: pass stored tables then.
     """
     insert_columns = update_columns if insert_columns is None else insert_columns
+    for df, what in ((target, "target"), (source, "source")):
+        _check_columns(df, [*keys, *update_columns, *insert_columns], what)
     # Rows with a NULL key match nothing and are inserted as they are. Set apart,
     # they leave both joins the same source, whose shuffle Spark then does once.
     no_null = _all([F.col(k).isNotNull() for k in keys])
+    types = dict((f.name, f.dataType) for f in target.schema.fields)
+    if target_unique:
+        if not source_unique:
+            source = keep_least(source, keys)
+        stored = target.withColumn("__there", F.lit(True))
+        marked = _renamed(source, "__s_").withColumn(_SEEN, F.lit(True))
+        joined = stored.join(marked, _equal(keys, "__s_"), "full_outer")
+        there, seen = F.col("__there").isNotNull(), F.col(_SEEN).isNotNull()
+
+        def value(c):
+            new = F.col("__s_" + c).cast(types[c]) if c in source.columns else F.lit(None).cast(types[c])
+            old = F.when(there & ~seen, F.col(c))
+            updated = new if c in update_columns else F.col(c)
+            inserted = new if c in insert_columns else F.lit(None).cast(types[c])
+            return old.when(there, updated).otherwise(inserted).alias(c)
+
+        return joined.select(*[value(c) for c in target.columns])
     loose, source = source.filter(~no_null), source.filter(no_null)
     if not source_unique:
-        loose, source = (
-            keep_least(loose, keys),
-            keep_least(source, keys, for_join=not small_batch),
-        )
+        loose, source = keep_least(loose, keys), keep_least(source, keys, for_join=True)
     marked = _renamed(source, "__s_").withColumn(_SEEN, F.lit(True))
-    if small_batch:
-        marked = F.broadcast(marked)
     matched = F.col(_SEEN).isNotNull()
-    types = dict((f.name, f.dataType) for f in target.schema.fields)
     updated = target.join(marked, _equal(keys, "__s_"), "left").select(
         *[
             F.when(matched, F.col("__s_" + c).cast(types[c])).otherwise(F.col(c)).alias(c)
@@ -172,7 +175,7 @@ def merge_into(
             for c in target.columns
         ]
     )
-    absent = _absent(source, target, keys, null_safe=False, small_batch=small_batch)
+    absent = _absent(source, target, keys, null_safe=False)
     inserted = absent.unionByName(loose).select(
         *[
             (F.col(c) if c in insert_columns else F.lit(None)).cast(types[c]).alias(c)
@@ -186,8 +189,10 @@ def update_where(df, condition, assignments):
     """UPDATE: set columns where ``condition`` is true; a NULL condition changes nothing.
 
     ``condition`` and the assigned values are Columns or SQL expressions, all
-    evaluated on the row as it was before the update.
+    evaluated on the row as it was before the update. Assigning to a column that
+    ``df`` lacks raises ``ValueError``.
     """
+    _check_columns(df, assignments, "table")
     hit = F.expr(condition) if isinstance(condition, str) else condition
     hit = F.coalesce(hit, F.lit(False))
     types = dict((f.name, f.dataType) for f in df.schema.fields)

@@ -92,51 +92,57 @@ def tracks_fanout(entries, songs, albums, artists):
 MERGE_COLUMNS = ["playlist_id", "total_duration_ms", "name", "collaborative", "description"]
 
 
-def merge_source(entries, playlists):
+def merge_source(entries, playlists, changed=None):
     """Fresh summaries with one row per playlist, to be merged into gold.playlists.
 
-    Silver playlists kept up by MERGE may still repeat an id; one row is used.
+    Silver playlists kept up by MERGE may still repeat an id; one row is used. With
+    ``changed``, a frame of playlist ids, only these are summarised.
     """
+    if changed is not None:
+        _, entries = _split(entries, changed)
+        _, playlists = _split(playlists, changed)
     return playlists_rebuild(entries, keep_least(playlists, ["playlist_id"]))
 
 
-def playlists_merge(gold, fresh, columns=None):
+def playlists_merge(gold, fresh, columns=None, unique=False):
     """MERGE ``merge_source`` rows into an existing gold.playlists.
 
     By default every column is set. With ``MERGE_COLUMNS`` the counts of a known
-    playlist keep their old value and those of a new one are NULL.
+    playlist keep their old value and those of a new one are NULL. ``unique`` says that
+    ``gold`` has one row per playlist.
     """
     columns = GOLD["playlists"] if columns is None else columns
-    return merge_into(gold, fresh, ["playlist_id"], columns, source_unique=True)
+    return merge_into(
+        gold, fresh, ["playlist_id"], columns, source_unique=True, target_unique=unique
+    )
 
 
-def _split(table, changed, small_batch):
+def _split(table, changed):
     """Rows of ``table`` outside and inside the changed playlists."""
     ids = distinct_keys(changed, ["playlist_id"]).withColumnRenamed("playlist_id", "id")
-    if small_batch:
-        ids = F.broadcast(ids)
     same = F.col("playlist_id").eqNullSafe(F.col("id"))
     return table.join(ids, same, "left_anti"), table.join(ids, same, "left_semi")
 
 
-def playlists_refresh(gold, changed, entries, playlists, small_batch=False):
+def playlists_refresh(gold, changed, entries, playlists):
     """``playlists_rebuild`` recomputed only for the ``changed`` playlist ids.
 
     Valid when ``gold`` is itself the rebuild of the silver tables before the
     batch and ``changed`` holds every playlist id of the batch.
     """
-    kept, _ = _split(gold, changed, small_batch)
-    _, touched = _split(entries, changed, small_batch)
-    _, described = _split(playlists, changed, small_batch)
+    kept, _ = _split(gold, changed)
+    _, touched = _split(entries, changed)
+    _, described = _split(playlists, changed)
     return kept.unionByName(playlists_rebuild(touched, described))
 
 
-def tracks_refresh(gold, changed, entries, songs, albums, artists, small_batch=False):
+def tracks_refresh(gold, changed, entries, songs, albums, artists):
     """``tracks_rebuild`` recomputed only for the ``changed`` playlist ids.
 
-    Names of known URIs never change (the stored row wins in every upsert), so
-    entries of other playlists keep the names they have.
+    Valid when ``gold`` is the rebuild of the silver tables before the batch, the batch
+    was an upsert, which keeps the names of known URIs, and every entry had its names:
+    then the entries of other playlists keep the rows they have.
     """
-    kept, _ = _split(gold, changed, small_batch)
-    _, touched = _split(entries, changed, small_batch)
+    kept, _ = _split(gold, changed)
+    _, touched = _split(entries, changed)
     return kept.unionByName(tracks_rebuild(touched, songs, albums, artists))

@@ -8,30 +8,29 @@ from layercake.schemas import ENTRY_MERGE_KEYS, SILVER, SILVER_KEYS
 DIMENSIONS = ("songs", "albums", "artists")
 
 
-def upsert_table(name, old, new, unique=False, small_batch=False):
+def upsert_table(name, old, new, unique=False):
     """The new version of one silver table; its rows are unique on ``SILVER_KEYS``.
 
-    ``unique`` says that ``old`` already is, which spares its deduplication and,
-    for a small batch, its shuffle.
+    ``unique`` says that ``old`` already is, which spares its deduplication.
     """
     keys = SILVER_KEYS[name]
     if name not in DIMENSIONS:
-        merged = upsert_non_null(old, new, keys, old_unique=unique, small_batch=small_batch)
+        merged = upsert_non_null(old, new, keys, old_unique=unique)
     elif unique:
-        merged = insert_missing(old, new, keys, small_batch=small_batch)
+        merged = insert_missing(old, new, keys)
     else:
         merged = keep_first([old, new], keys)
     return merged.select(*SILVER[name])
 
 
-def upsert_silver(tables, raw_playlists, raw_tracks, unique=(), small_batch=False):
+def upsert_silver(tables, raw_playlists, raw_tracks, unique=()):
     """All five silver tables after a batch.
 
     ``unique`` names the stored tables that are unique on their key already.
     """
     batch = silver.build(raw_playlists, raw_tracks)
     return {
-        name: upsert_table(name, tables[name], batch[name], name in unique, small_batch)
+        name: upsert_table(name, tables[name], batch[name], name in unique)
         for name in SILVER
     }
 
@@ -40,22 +39,23 @@ def upsert_silver(tables, raw_playlists, raw_tracks, unique=(), small_batch=Fals
 MERGE_KEYS = {"playlists": ["playlist_id"], "playlist_tracks": ENTRY_MERGE_KEYS}
 
 
-def merge_table(name, old, new, small_batch=False):
+def merge_table(name, old, new, unique=False):
     """The new version of one silver table under MERGE.
 
     Entries are keyed by playlist and track, so a moved track changes position
     instead of taking another entry's place, and NULLs of the batch overwrite.
+    ``unique`` says that ``old`` is unique on these keys.
     """
-    return merge_into(old, new, MERGE_KEYS[name], SILVER[name], small_batch=small_batch)
+    return merge_into(old, new, MERGE_KEYS[name], SILVER[name], target_unique=unique)
 
 
-def merge_silver(tables, raw_playlists, raw_tracks, small_batch=False):
+def merge_silver(tables, raw_playlists, raw_tracks, unique=()):
     """The two silver tables a MERGE batch changes; the other three stay as they are."""
     batch = {
         "playlists": silver.playlists(raw_playlists),
         "playlist_tracks": silver.playlist_tracks(raw_tracks),
     }
     return {
-        name: merge_table(name, tables[name], batch[name], small_batch=small_batch)
+        name: merge_table(name, tables[name], batch[name], name in unique)
         for name in MERGE_KEYS
     }

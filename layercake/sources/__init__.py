@@ -1,13 +1,19 @@
-from layercake.sources.files import export_json, read_if_exists, read_json, read_table, write_table
-from layercake.sources.lake import Lake
-from layercake.sources.limits import fits_broadcast
+from layercake.sources.files import (
+    export_json,
+    read_if_exists,
+    read_json,
+    read_table,
+    with_declared,
+    write_table,
+)
+from layercake.sources.lake import Batch, Lake
 from layercake.sources.report import preview, preview_tables, storage_report
 from layercake.sources.workspace import new_folder, stage
 
 __all__ = [
+    "Batch",
     "Lake",
     "export_json",
-    "fits_broadcast",
     "new_folder",
     "preview",
     "preview_tables",
@@ -16,5 +22,6 @@ __all__ = [
     "read_table",
     "stage",
     "storage_report",
+    "with_declared",
     "write_table",
 ]

@@ -1,12 +1,38 @@
 """Reading and writing single tables in a format chosen at run time."""
 
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-def read_json(spark, path, schema=None):
-    """JSON lines. Without a schema Spark infers one, at the cost of a second pass."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.json(path)
+CORRUPT = "_corrupt_record"
+
+
+def read_json(spark, path, schema=None, keep_corrupt=False):
+    """JSON lines. A line that is no JSON or does not fit the schema fails the read.
+
+    With ``keep_corrupt`` it gives a row with its text in ``_corrupt_record`` (null in all
+    other rows) and nulls for what could not be read. Without a schema Spark infers one,
+    at the cost of a second pass.
+    """
+    reader = spark.read.option("mode", "PERMISSIVE" if keep_corrupt else "FAILFAST")
+    if schema is not None:
+        if keep_corrupt:
+            schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+        reader = reader.schema(schema)
+    found = reader.option("columnNameOfCorruptRecord", CORRUPT).json(path)
+    if keep_corrupt and CORRUPT not in found.columns:
+        found = found.withColumn(CORRUPT, F.lit(None).cast("string"))
+    return found
+
+
+def with_declared(df, schema):
+    """``df`` with the columns of ``schema`` it lacks, as nulls.
+
+    An inferred schema leaves out a column that is null in every line.
+    """
+    missing = {f.name: F.lit(None).cast(f.dataType) for f in schema if f.name not in df.columns}
+    return df.withColumns(missing)
 
 
 def read_table(spark, path, fmt="parquet", schema=None):

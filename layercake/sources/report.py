@@ -9,14 +9,15 @@ TOTAL = "total"
 
 
 def storage_report(lake, layers=LAYERS, all_versions=False):
-    """MiB per layer, then their total, each rounded to two places at the end.
+    """Tables, bytes and MiB per layer, then their total, MiB rounded to two places at the end.
 
     Only the metadata of data files is read. A layer with no table counts as 0.
     Superseded versions are left out unless ``all_versions`` is set.
     """
     spark = lake.spark
     entries = lake.entries()
-    parts = [spark.createDataFrame([(layer, 0) for layer in layers], "layer string, bytes long")]
+    counts = [(a, sum(t.startswith(a + "/") for t in entries), 0) for a in layers]
+    parts = [spark.createDataFrame(counts, "layer string, tables long, bytes long")]
     for layer in layers:
         tables = {t: e for t, e in entries.items() if t.startswith(layer + "/")}
         paths = [f"{lake.root}/{t}" if all_versions else e.path for t, e in tables.items()]
@@ -24,12 +25,23 @@ def storage_report(lake, layers=LAYERS, all_versions=False):
             files = (
                 spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
             )
-            parts.append(files.select(F.lit(layer).alias("layer"), F.col("length").alias("bytes")))
+            parts.append(
+                files.select(
+                    F.lit(layer).alias("layer"),
+                    F.lit(0).cast("long").alias("tables"),
+                    F.col("length").alias("bytes"),
+                )
+            )
     sizes = reduce(lambda a, b: a.unionByName(b), parts)
     return (
         sizes.rollup("layer")
-        .agg(F.round(F.sum("bytes") / F.lit(1024.0 * 1024.0), 2).alias("size_mib"))
-        .select(F.coalesce("layer", F.lit(TOTAL)).alias("layer"), "size_mib")
+        .agg(F.sum("tables").alias("tables"), F.sum("bytes").alias("bytes"))
+        .select(
+            F.coalesce("layer", F.lit(TOTAL)).alias("layer"),
+            "tables",
+            "bytes",
+            F.round(F.col("bytes") / F.lit(1024.0 * 1024.0), 2).alias("size_mib"),
+        )
     )
 
 

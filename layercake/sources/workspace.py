@@ -1,35 +1,29 @@
 """Shared folder for intermediate tables."""
 
-import tempfile
 import uuid
 
 from layercake.sources.files import read_table, write_table
 
-_local = []
-
 
 def _base(spark):
+    """``spark.checkpoint.dir``, else a folder of the session's warehouse."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     configured = configured or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    if not _local:
-        _local.append(tempfile.TemporaryDirectory(prefix="layercake-"))
-    return _local[0].name
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
 
 
 def new_folder(spark, name):
-    """Path of a fresh folder in the place ``spark.checkpoint.dir`` names.
-
-    Only a local session without that setting falls back to a temporary folder.
-    """
+    """Path of a fresh folder in the shared place of the session; see ``_base``."""
     return f"{_base(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(spark, df, name):
-    """Write ``df`` once and return it as a scan, so later steps do not recompute it."""
-    path = new_folder(spark, name)
+def stage(spark, df, name, path=None):
+    """Write ``df`` once and return it as a scan, so later steps do not recompute it.
+
+    ``path`` is a fixed place; what an earlier run left there is replaced.
+    """
+    path = path or new_folder(spark, name)
     write_table(df, path)
     return read_table(spark, path, schema=df.schema)

@@ -10,13 +10,14 @@ from layercake.session import build_session
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests",
         "local[8]",
         **{
             "spark.sql.shuffle.partitions": "8",
             "spark.driver.memory": "8g",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
         },

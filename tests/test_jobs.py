@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from layercake.catalog import fixtures as fx
 from layercake.catalog.oracles import ORACLES
 from layercake.plans import gold, jobs, silver
-from layercake.schemas import GOLD, SILVER, SILVER_KEYS
-from layercake.sources import Lake, export_json
+from layercake.schemas import GOLD, RAW_PLAYLISTS, RAW_TRACKS, SILVER, SILVER_KEYS
+from layercake.sources import Lake, export_json, read_json
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -44,9 +44,18 @@ def batches(spark, tmp_path_factory):
     return paths
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_three_batches(spark, duck, batches, tmp_path, monkeypatch, small):
-    monkeypatch.setattr(jobs, "fits_broadcast", lambda df: small)
+def full_gold(lake):
+    """Both gold tables as a rebuild of the current silver tables gives them."""
+    s = {name: lake.read(f"silver/{name}") for name in SILVER}
+    return {
+        "gold/playlists": rows(gold.playlists_rebuild(s["playlist_tracks"], s["playlists"])),
+        "gold/playlist_tracks": rows(
+            gold.tracks_rebuild(s["playlist_tracks"], s["songs"], s["albums"], s["artists"])
+        ),
+    }
+
+
+def test_three_batches(spark, duck, batches, tmp_path):
     lake = Lake(spark, str(tmp_path / "lake"))
     jobs.build_lake(lake, *batches[1])
     assert rows(lake.read("gold/playlists")) == duck("gold_playlists_build", GOLD["playlists"])
@@ -92,9 +101,111 @@ def test_three_batches(spark, duck, batches, tmp_path, monkeypatch, small):
     assert {t: rows(lake.read(t)) for t in lake.entries()} == before
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_merge_batch(spark, duck, batches, tmp_path, monkeypatch, small):
-    monkeypatch.setattr(jobs, "fits_broadcast", lambda df: small)
+def one_playlist(spark, batches, tmp_path, pid):
+    """A batch of one playlist and its tracks."""
+    paths = str(tmp_path / f"one-p{pid}"), str(tmp_path / f"one-t{pid}")
+    for source, schema, out in zip(batches[3], (RAW_PLAYLISTS, RAW_TRACKS), paths, strict=True):
+        export_json(read_json(spark, source, schema).where(F.col("pid") == pid), out)
+    return paths
+
+
+def test_gold_after_point_updates_of_silver_only(spark, batches, tmp_path):
+    patch = {"name": "'Late shift'"}
+    lake = Lake(spark, str(tmp_path / "lake"))
+    jobs.build_lake(lake, *batches[1])
+    jobs.upsert_batch(lake, *batches[2])
+    jobs.point_update(lake, "playlist_id = 994", patch, ["silver/playlists"])
+    jobs.point_update(lake, "playlist_id = 996", patch)
+    jobs.upsert_batch(lake, *one_playlist(spark, batches, tmp_path, 998))
+    full = full_gold(lake)
+    assert {t: rows(lake.read(t)) for t in full} == full
+    assert jobs._current("gold/playlists", lake.entries())
+
+    jobs.point_update(lake, "true", {"artist_name": "'Anon'"}, ["silver/artists"])
+    jobs.point_update(lake, "playlist_id = 996", patch)
+    jobs.upsert_batch(lake, *one_playlist(spark, batches, tmp_path, 994))
+    full = full_gold(lake)
+    assert {t: rows(lake.read(t)) for t in full} == full
+    names = {r[0] for r in lake.read("gold/playlist_tracks").select("artist_name").collect()}
+    assert names == {"Anon"}
+
+
+def test_name_that_comes_with_a_later_batch(spark, batches, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    jobs.build_lake(lake, *batches[1])
+    jobs.upsert_batch(lake, *batches[2])
+    # The songs lose a key; gold is rebuilt without its entries, and the key comes back.
+    jobs.point_update(lake, "true", {"track_uri": "concat(track_uri, '-old')"}, ["silver/songs"])
+    jobs.upsert_batch(lake, *one_playlist(spark, batches, tmp_path, 998))
+    jobs.upsert_batch(lake, *batches[3])
+    full = full_gold(lake)
+    assert {t: rows(lake.read(t)) for t in full} == full
+
+
+def test_failed_batch_leaves_the_lake_as_it_was(spark, batches, tmp_path, monkeypatch):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    jobs.build_lake(lake, *batches[1])
+    jobs.upsert_batch(lake, *batches[2])
+    before = lake.entries()
+
+    def fail(*args):
+        raise RuntimeError("no gold")
+
+    for name in ("playlists_refresh", "playlists_rebuild", "playlists_merge"):
+        monkeypatch.setattr(gold, name, fail)
+    for job in (jobs.upsert_batch, jobs.merge_batch):
+        with pytest.raises(RuntimeError):
+            job(lake, *batches[3])
+        assert lake.entries() == before
+
+
+def test_merge_keeps_what_is_unique(spark, duck, batches, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    jobs.build_lake(lake, *batches[1])
+    jobs.upsert_batch(lake, *batches[2])
+    before = rows(lake.read("gold/playlists"))
+    jobs.merge_batch(lake, *one_playlist(spark, batches, tmp_path, 996))
+    entries = lake.entries()
+    assert entries["silver/playlists"].unique_on == ("playlist_id",)
+    assert entries["gold/playlists"].unique_on == ("playlist_id",)
+    assert rows(lake.read("gold/playlists")) == full_gold(lake)["gold/playlists"]
+    assert len(set(rows(lake.read("gold/playlists"))) - set(before)) <= 1
+
+
+def test_unreadable_lines(spark, tmp_path):
+    playlists, tracks = tmp_path / "p.json", tmp_path / "t.json"
+    playlists.write_text('{"pid": 1, "name": "a"}\n{"pid": "x3", "name": "b"}\n{"pid": 2, \n')
+    tracks.write_text('{"pid": 1, "track_uri": "t", "pos": 0}\n')
+    lake = Lake(spark, str(tmp_path / "lake"))
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        jobs.build_lake(lake, str(playlists), str(tracks))
+    assert lake.entries() == {}
+    jobs.build_lake(lake, str(playlists), str(tracks), keep_corrupt=True)
+    bronze = lake.read("bronze/playlists")
+    kept = bronze.where("_corrupt_record IS NOT NULL").select("_corrupt_record")
+    assert {r[0] for r in kept.collect()} == {'{"pid": "x3", "name": "b"}', '{"pid": 2, '}
+    assert [r["playlist_id"] for r in lake.read("silver/playlists").collect()] == [1]
+
+
+def test_declared_column_that_is_null_in_every_line(spark, tmp_path):
+    playlists, tracks = tmp_path / "p.json", tmp_path / "t.json"
+    playlists.write_text('{"pid": 1, "name": "a", "extra": 5}\n')
+    tracks.write_text('{"pid": 1, "track_uri": "t", "pos": 0}\n')
+    lake = Lake(spark, str(tmp_path / "lake"))
+    jobs.build_lake(lake, str(playlists), str(tracks), infer_schema=True)
+    assert "extra" in lake.read("bronze/playlists").columns
+    (row,) = lake.read("silver/playlists").collect()
+    assert row["description"] is None and row["name"] == "a"
+
+
+def test_unknown_columns_are_refused(spark, batches, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    jobs.build_lake(lake, *batches[1])
+    with pytest.raises(ValueError, match="nmae"):
+        jobs.point_update(lake, "playlist_id = 996", {"nmae": "'x'"}, ["silver/playlists"])
+
+
+def test_merge_batch(spark, duck, batches, tmp_path):
     lake = Lake(spark, str(tmp_path / "lake"))
     jobs.build_lake(lake, *batches[1])
     jobs.merge_batch(lake, *batches[3], columns=gold.MERGE_COLUMNS)
@@ -111,7 +222,7 @@ def test_patched_batch(spark, duck, batches, tmp_path):
     lake = Lake(spark, str(tmp_path / "lake"))
     jobs.build_lake(lake, *batches[1])
     patched = str(tmp_path / "patched.json")
-    patch = {"name": "'GYM WORKOUT'", "collaborative": "'True'"}
+    patch = {"name": "'Late shift'", "collaborative": "'True'"}
     jobs.patch_batch(spark, batches[2][0], "pid = 996", patch, patched)
     jobs.upsert_batch(lake, patched, batches[2][1])
     assert rows(lake.read("silver/playlists")) == duck("patch_then_merge", SILVER["playlists"])
@@ -119,7 +230,7 @@ def test_patched_batch(spark, duck, batches, tmp_path):
 
 def test_point_update_of_both_layers(spark, duck, batches, tmp_path, capsys):
     lake = Lake(spark, str(tmp_path / "lake"))
-    patch = {"name": "'GYM WORKOUT'", "collaborative": "true"}
+    patch = {"name": "'Late shift'", "collaborative": "true"}
     jobs.ingest_bronze(lake, fx.playlists(spark, SF_DIR), fx.tracks(spark, SF_DIR))
     jobs.build_silver(lake)
     jobs.point_update(lake, "playlist_id = 996", patch)
@@ -130,13 +241,12 @@ def test_point_update_of_both_layers(spark, duck, batches, tmp_path, capsys):
     jobs.point_update(lake, "playlist_id = 998", patch)
     both = lake.entries()
     assert both["silver/playlists"].snapshot == both["gold/playlists"].snapshot
-    assert jobs._gold_is_rebuild(both)
     for table in ("silver/playlists", "gold/playlists"):
         (row,) = lake.read(table).filter("playlist_id = 998").collect()
-        assert (row["name"], row["collaborative"]) == ("GYM WORKOUT", "true")
+        assert (row["name"], row["collaborative"]) == ("Late shift", "true")
     # An update of one layer alone makes the next batch rebuild gold.
     jobs.point_update(lake, "playlist_id = 994", patch, ["silver/playlists"])
-    assert not jobs._gold_is_rebuild(lake.entries())
+    assert not jobs._current("gold/playlists", lake.entries())
     jobs.upsert_batch(lake, *batches[3])
     s = {name: lake.read(f"silver/{name}") for name in ("playlists", "playlist_tracks")}
     full = gold.playlists_rebuild(s["playlist_tracks"], s["playlists"])

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from layercake.sources import (
     Lake,
     export_json,
-    fits_broadcast,
     new_folder,
     preview,
     preview_tables,
@@ -101,34 +100,28 @@ def test_storage_report(spark, lake):
     assert sizes(all_versions=True)["silver"] == pytest.approx(2 * first["silver"], abs=0.011)
 
 
-def test_fits_broadcast_checks_rows_and_bytes(spark):
-    frame = spark.range(10).select("id", F.lit("x" * 100).alias("s"))
-    assert fits_broadcast(frame)
-    assert not fits_broadcast(frame, max_rows=9)
-    assert not fits_broadcast(frame, max_bytes=1079)
-    assert fits_broadcast(frame, max_bytes=1080)
-    assert fits_broadcast(frame.filter("id < 0"), max_rows=0, max_bytes=0)
-
-
 class _Session:
-    """A session with the given setting, as far as the workspace looks at it."""
+    """A session with the given settings, as far as the workspace looks at it."""
 
-    def __init__(self, master, folder):
-        self.conf = {"spark.checkpoint.dir": folder}
+    def __init__(self, **conf):
+        self.conf = conf
         self.sparkContext = self
-        self.master = master
 
     def getCheckpointDir(self):
         return None
 
 
-def test_workspace_follows_the_session_setting(spark):
-    shared = _Session("yarn", "hdfs://shared/tmp/")
-    assert new_folder(shared, "x").startswith("hdfs://shared/tmp/x-")
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        new_folder(_Session("yarn", None), "x")
-    assert new_folder(spark, "x") != new_folder(spark, "x")
-    assert ids(stage(spark, spark.range(3), "y")) == [0, 1, 2]
+def test_folders_follow_the_session():
+    warehouse = {"spark.sql.warehouse.dir": "hdfs:///warehouse"}
+    shared = _Session(**warehouse, **{"spark.checkpoint.dir": "hdfs:///tmp/"})
+    assert new_folder(shared, "x").startswith("hdfs:///tmp/x-")
+    assert new_folder(_Session(**warehouse), "x").startswith("hdfs:///warehouse/_work/x-")
+
+
+def test_a_fixed_place_is_reused(spark, tmp_path):
+    path = str(tmp_path / "fixed")
+    assert stage(spark, spark.range(5), "x", path).count() == 5
+    assert stage(spark, spark.range(3), "x", path).count() == 3
 
 
 def test_write_table_replaces(spark, tmp_path):

@@ -129,15 +129,12 @@ def test_summary_is_spread_by_uri_before_the_playlist(tables):
     assert "track_uri" in lines[1] and "artist_uri" in lines[1] and "album_uri" in lines[1]
 
 
-def test_small_batch_leaves_stored_rows_unshuffled(tables, shuffling):
+def test_merge_into_a_unique_target_reads_each_side_once(tables, shuffling):
     batch = tables.limit(10)
-    for frame in (
-        upsert_non_null(tables, batch, ["playlist_id", "pos"], old_unique=True, small_batch=True),
-        merge_into(tables, batch, ["playlist_id", "track_uri"], tables.columns, small_batch=True),
-    ):
-        plan = plan_of(frame)
-        assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
-        assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    keys = ["playlist_id", "track_uri"]
+    plan = plan_of(merge_into(tables, batch, keys, tables.columns, target_unique=True))
+    assert plan.count("FullOuter") >= 1 and "LeftAnti" not in plan
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
 def test_filters_and_columns_reach_the_scan(tables):

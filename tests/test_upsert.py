@@ -42,11 +42,11 @@ def test_null_in_batch_keeps_or_overwrites(playlists, small):
     old, new = playlists((1, "a", "true", "x")), playlists((1, None, "false", None))
     keys = ["playlist_id"]
     expect(
-        upsert_non_null(old, new, keys, old_unique=small, small_batch=small),
+        upsert_non_null(old, new, keys, old_unique=small),
         (1, "a", "false", "x"),
     )
     expect(
-        merge_into(old, new, keys, SILVER["playlists"], small_batch=small),
+        merge_into(old, new, keys, SILVER["playlists"], target_unique=small),
         (1, None, "false", None),
     )
 
@@ -56,28 +56,27 @@ def test_taken_slot(slots, small):
     old, new = slots((1, 0, "t1", "a1")), slots((1, 0, "t2", None))
     # The entry is replaced, except for what the batch leaves NULL.
     expect(
-        upsert_non_null(old, new, ["playlist_id", "pos"], old_unique=small, small_batch=small),
+        upsert_non_null(old, new, ["playlist_id", "pos"], old_unique=small),
         (1, 0, "t2", "a1"),
     )
     # Keyed by track, both entries share the position.
     expect(
-        merge_into(old, new, ["playlist_id", "track_uri"], old.columns, small_batch=small),
+        merge_into(old, new, ["playlist_id", "track_uri"], old.columns, target_unique=small),
         (1, 0, "t1", "a1"),
         (1, 0, "t2", None),
     )
 
 
-@pytest.mark.parametrize("small", [False, True])
-def test_merge_source_and_target_duplicates(slots, small):
+def test_merge_source_and_target_duplicates(slots):
     keys = ["playlist_id", "track_uri"]
     twice = slots((1, 5, "t1", "a"), (1, 0, "t1", "a"))
     expect(
-        merge_into(slots(), twice, keys, twice.columns, small_batch=small), (1, 0, "t1", "a")
+        merge_into(slots(), twice, keys, twice.columns), (1, 0, "t1", "a")
     )
     old = slots((1, 0, "t1", "a"), (1, 3, "t1", "a"))
     new = slots((1, 7, "t1", "b"))
     expect(
-        merge_into(old, new, keys, old.columns, small_batch=small),
+        merge_into(old, new, keys, old.columns),
         (1, 7, "t1", "b"),
         (1, 7, "t1", "b"),
     )
@@ -89,7 +88,7 @@ def test_merge_partial_columns(spark, small):
     gold = spark.createDataFrame([(1, 2, 5)], schema)
     source = spark.createDataFrame([(1, 9, 8), (2, 3, 4)], schema)
     expect(
-        merge_into(gold, source, ["playlist_id"], ["playlist_id", "dur"], small_batch=small),
+        merge_into(gold, source, ["playlist_id"], ["playlist_id", "dur"], target_unique=small),
         (1, 2, 8),
         (2, None, 4),
     )
@@ -99,7 +98,7 @@ def test_merge_partial_columns(spark, small):
 def test_merge_never_matches_null_keys(playlists, small):
     old, new = playlists((None, "a", "true", "x")), playlists((None, "b", "true", "y"))
     expect(
-        merge_into(old, new, ["playlist_id"], old.columns, small_batch=small),
+        merge_into(old, new, ["playlist_id"], old.columns, target_unique=small),
         (None, "a", "true", "x"),
         (None, "b", "true", "y"),
     )
@@ -113,7 +112,7 @@ def test_upsert_null_keys_keep_one_stored_row(slots, small):
         (1, None, "t2", "b"), (None, None, "t4", "c"), (None, 2, "t5", "a"), (0, 0, "t6", "z")
     )
     expect(
-        upsert_non_null(old, new, keys, old_unique=small, small_batch=small),
+        upsert_non_null(old, new, keys, old_unique=small),
         (1, None, "t1", None),
         (None, 2, "t3", "a"),
         (None, None, "t4", "c"),
@@ -136,7 +135,7 @@ def test_batch_lacking_a_column(spark, slots):
     new = spark.createDataFrame([(1, 0, "t2"), (2, 0, "t3")], "playlist_id long, pos int, track_uri string")
     for unique in (False, True):
         expect(
-            upsert_non_null(old, new, ["playlist_id", "pos"], unique, unique),
+            upsert_non_null(old, new, ["playlist_id", "pos"], unique),
             (1, 0, "t2", "a1"),
             (2, 0, "t3", None),
         )
@@ -147,8 +146,7 @@ def test_keep_first_prefers_stored_row_and_fills_missing_columns(spark):
     new = spark.createDataFrame([("u1",), ("u3",), (None,)], "uri string")
     expected = [("u1", "z"), ("u2", None), ("u3", None), (None, "q")]
     expect(keep_first([old, new], ["uri"]), *expected)
-    for small in (False, True):
-        expect(insert_missing(old, new, ["uri"], small_batch=small), *expected)
+    expect(insert_missing(old, new, ["uri"]), *expected)
 
 
 def test_keep_least_orders_nulls_last(spark):
@@ -223,8 +221,7 @@ def test_upsert_equals_brute_force_by_every_route(spark, seed):
     merged = upsert_non_null(old, new, keys)
     assert rows(merged) == expected
     stored = keep_least(old, keys)
-    for small in (False, True):
-        assert rows(upsert_non_null(stored, new, keys, True, small)) == expected
+    assert rows(upsert_non_null(stored, new, keys, True)) == expected
     # A batch applied twice changes nothing more.
     assert rows(upsert_non_null(merged, new, keys, old_unique=True)) == expected
 
@@ -234,20 +231,36 @@ def test_dimension_routes_agree(spark, seed):
     old, new = _random(spark, seed, 40), _random(spark, seed + 9, 40)
     expected = rows(keep_first([old, new], ["track_uri"]))
     stored = keep_least(old, ["track_uri"])
-    for small in (False, True):
-        assert rows(insert_missing(stored, new, ["track_uri"], small)) == expected
+    assert rows(insert_missing(stored, new, ["track_uri"])) == expected
     assert len({r[2] for r in expected}) == len(expected)
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-def test_merge_equals_brute_force(spark, seed):
+@pytest.mark.parametrize("unique", [False, True])
+def test_merge_equals_brute_force(spark, seed, unique):
     keys, old, new = ["playlist_id", "track_uri"], _random(spark, seed, 60), _random(spark, seed + 9, 40)
+    old = keep_least(old, keys) if unique else old
     source = {(r[0], r[2]): tuple(r) for r in keep_least(new, keys).collect()}
     target = [tuple(r) for r in old.collect()]
     match = lambda r: None not in (r[0], r[2]) and (r[0], r[2]) in source
     expected = [source[r[0], r[2]] if match(r) else r for r in target]
     known = {(r[0], r[2]) for r in target}
     expected += [s for k, s in source.items() if None in k or k not in known]
-    for small in (False, True):
-        merged = merge_into(old, new, keys, old.columns, small_batch=small)
-        assert rows(merged) == sorted(expected, key=repr)
+    merged = merge_into(old, new, keys, old.columns, target_unique=unique)
+    assert rows(merged) == sorted(expected, key=repr)
+
+
+def test_unknown_columns_are_refused(playlists):
+    old = playlists((1, "a", "true", "x"))
+    with pytest.raises(ValueError, match="nmae"):
+        update_where(old, "playlist_id = 1", {"nmae": "'x'"})
+    for keys, update, insert in (
+        (["id"], ["name"], None),
+        (["playlist_id"], ["nmae"], ["name"]),
+        (["playlist_id"], ["name"], ["nmae"]),
+    ):
+        with pytest.raises(ValueError, match="id|nmae"):
+            merge_into(old, old, keys, update, insert)
+    lacking = old.drop("description")
+    with pytest.raises(ValueError, match="description"):
+        merge_into(old, lacking, ["playlist_id"], old.columns)
