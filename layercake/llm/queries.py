@@ -181,25 +181,34 @@ hosts AS (
     SELECT host, domain, suffix, count(*)::DOUBLE AS n, sum(bad)::DOUBLE AS bad
     FROM labelled JOIN levels USING (host) GROUP BY ALL
 ),
-base AS (SELECT (coalesce(sum(bad), 0) + 1) / (coalesce(sum(n), 0) + 2) AS mean FROM hosts),
+base AS (
+    SELECT mean, mean * (1 - mean) / (n + 3) AS var FROM (
+        SELECT (coalesce(sum(bad), 0) + 1) / (coalesce(sum(n), 0) + 2) AS mean, coalesce(sum(n), 0) AS n FROM hosts)
+),
 s0 AS (
-    SELECT suffix, n, bad, (SELECT mean FROM base) AS mean
+    SELECT suffix, n, bad, (SELECT mean FROM base) AS mean, (SELECT var FROM base) AS var
     FROM (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY suffix)
 ),
 s1 AS (SELECT {strength} AS s FROM s0),
-s2 AS (SELECT suffix, (bad + s * mean) / (n + s) AS mean FROM s0, s1),
+s2 AS (
+    SELECT suffix, m AS mean, m * (1 - m) / (n + s + 1) + (s / (n + s)) * (s / (n + s)) * var AS var
+    FROM (SELECT *, (bad + s * mean) / (n + s) AS m FROM s0, s1)
+),
 d0 AS (
-    SELECT domain, n, bad, mean FROM (
+    SELECT domain, n, bad, mean, var FROM (
         SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY ALL
     ) JOIN s2 USING (suffix)
 ),
 d1 AS (SELECT {strength} AS s FROM d0),
-d2 AS (SELECT domain, (bad + s * mean) / (n + s) AS mean FROM d0, d1),
-h0 AS (SELECT host, n, bad, mean FROM hosts JOIN d2 USING (domain)),
+d2 AS (
+    SELECT domain, m AS mean, m * (1 - m) / (n + s + 1) + (s / (n + s)) * (s / (n + s)) * var AS var
+    FROM (SELECT *, (bad + s * mean) / (n + s) AS m FROM d0, d1)
+),
+h0 AS (SELECT host, n, bad, mean, var FROM hosts JOIN d2 USING (domain)),
 h1 AS (SELECT {strength} AS s FROM h0),
 h2 AS (
-    SELECT host, m AS mean, sqrt(m * (1 - m) / (n + s + 1)) AS spread
-    FROM (SELECT host, n, s, (bad + s * mean) / (n + s) AS m FROM h0, h1)
+    SELECT host, m AS mean, m * (1 - m) / (n + s + 1) + (s / (n + s)) * (s / (n + s)) * var AS var
+    FROM (SELECT *, (bad + s * mean) / (n + s) AS m FROM h0, h1)
 ),
 judged AS (
     SELECT page_id, o.host, path,
@@ -208,8 +217,9 @@ judged AS (
              WHEN (o.host = 'org' OR ends_with(o.host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
              WHEN (o.host = 'net' OR ends_with(o.host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule,
         coalesce(h2.mean, d2.mean, (SELECT mean FROM base)) AS mean,
-        coalesce(h2.spread, sqrt(d2.mean * (1 - d2.mean) / (1 + (SELECT s FROM h1))),
-            sqrt((SELECT mean * (1 - mean) FROM base) / (1 + (SELECT s FROM h1)))) AS spread
+        sqrt(coalesce(h2.var, d2.var + d2.mean * (1 - d2.mean) / (1 + (SELECT s FROM h1)),
+            (SELECT var + mean * (1 - mean) * (1 / (1 + (SELECT s FROM s1)) + 1 / (1 + (SELECT s FROM d1))
+                + 1 / (1 + (SELECT s FROM h1))) FROM base))) AS spread
     FROM own o LEFT JOIN levels v ON v.host = o.host LEFT JOIN h2 ON h2.host = o.host
         LEFT JOIN d2 ON d2.domain = v.domain
 )
@@ -220,7 +230,7 @@ FROM judged
 """.format(
     suffixes=", ".join(f"'{s}'" for s in urls.SUFFIXES),
     strength="1 / least(0.5::DOUBLE, greatest(0.001::DOUBLE, coalesce(sum((bad - n * mean) ** 2 - n * mean * (1 - mean))"
-    " / nullif(sum(n * (n - 1) * mean * (1 - mean)), 0), 0.001::DOUBLE))) - 1",
+    " / nullif(sum(n * (n - 1) * mean * (1 - mean)), 0), 0.5::DOUBLE))) - 1",
     z=urls.Z,
     limit=urls.LIMIT,
 )

@@ -55,44 +55,55 @@ def levels(host, suffixes=SUFFIXES):
 
 
 def _strength(groups):
-    """Weight of the prior, in pages: large if groups hardly differ beyond chance."""
+    """Weight of the prior, in pages: large if groups hardly differ beyond chance, else small.
+
+    Where no group has two pages nothing is known of how they differ, and the prior is weak.
+    """
     spare = F.sum(F.pow(F.col("bad") - F.col("n") * F.col("mean"), F.lit(2)) - F.col("n") * F.col("mean") * (1 - F.col("mean")))
     scale = F.sum(F.col("n") * (F.col("n") - 1) * F.col("mean") * (1 - F.col("mean")))
-    share = F.least(F.lit(0.5), F.greatest(F.lit(0.001), F.coalesce(spare / F.nullif(scale, F.lit(0.0)), F.lit(0.001))))
+    share = F.least(F.lit(0.5), F.greatest(F.lit(0.001), F.coalesce(spare / F.nullif(scale, F.lit(0.0)), F.lit(0.5))))
     return groups.agg((1 / share - 1).alias("s")).first()["s"]
 
 
+def _level(groups, key):
+    """Posterior of groups with columns n, bad, and mean and var from the level above.
+
+    The variance is that of the beta posterior, and what the prior's mean itself is unsure of
+    as far as the posterior rests on it.
+    """
+    s = _strength(groups)
+    mean = (F.col("bad") + s * F.col("mean")) / (F.col("n") + s)
+    kept = s / (F.col("n") + s)
+    var = mean * (1 - mean) / (F.col("n") + s + 1) + kept * kept * F.col("var")
+    return groups.select(key, mean.alias("mean"), var.alias("var")), s
+
+
 def reputation(outcomes, suffixes=SUFFIXES):
-    """Posterior of each host from ``outcomes`` (host, bad): ``host``, ``mean`` and ``spread``.
+    """Posteriors from ``outcomes`` (host, bad): of hosts, of unseen hosts by domain, of all others.
 
-    Returns that, the same for domains (``domain``), and what holds where nothing is known.
-    ``bad`` is 0 or 1; rows with a null in either column do not count.
+    The first two have ``mean`` and ``var`` by ``host`` and ``domain``; the last is a pair of
+    numbers. ``bad`` is 0 or 1; rows with a null in either column do not count.
     """
     domain, suffix = levels(F.col("host"), suffixes)
     seen = outcomes.where("host is not null and bad is not null").groupBy("host")
     hosts = seen.agg(F.count("*").alias("n"), F.sum("bad").alias("bad"))
     hosts = staged(hosts.withColumn("domain", domain).withColumn("suffix", suffix), "url-hosts")
     total = hosts.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
-    base = ((total["bad"] or 0) + 1) / ((total["n"] or 0) + 2)
-
-    def level(groups, parent):
-        """Posterior mean, and spread, of groups with a column ``mean`` from the level above."""
-        s = _strength(groups)
-        mean = (F.col("bad") + s * F.col("mean")) / (F.col("n") + s)
-        spread = F.sqrt(mean * (1 - mean) / (F.col("n") + s + 1))
-        return groups.select(*parent, mean.alias("mean"), spread.alias("spread")), s
+    n, bad = total["n"] or 0, total["bad"] or 0
+    base = (bad + 1) / (n + 2)
+    var = base * (1 - base) / (n + 3)
 
     suffixed = hosts.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    suffixed, _ = level(staged(suffixed.withColumn("mean", F.lit(base)), "url-suffixes"), ["suffix"])
+    suffixed = staged(suffixed.withColumn("mean", F.lit(base)).withColumn("var", F.lit(var)), "url-suffixes")
+    suffixed, s0 = _level(suffixed, "suffix")
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    domains = domains.join(suffixed.select("suffix", "mean"), "suffix")
-    domains, _ = level(staged(domains, "url-domains"), ["domain"])
-    owned = hosts.join(domains.select("domain", "mean"), "domain")
-    owned, s = level(staged(owned, "url-owned"), ["host"])
-    # A host without outcomes is as its domain, with the spread of hosts about it.
-    unseen = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (1 + s))
-    domains = domains.select("domain", F.col("mean").alias("d_mean"), unseen.alias("d_spread"))
-    return owned, domains, (base, (base * (1 - base) / (1 + s)) ** 0.5)
+    domains, s1 = _level(staged(domains.join(suffixed, "suffix"), "url-domains"), "domain")
+    owned, s2 = _level(staged(hosts.join(domains, "domain"), "url-owned"), "host")
+    # A host without outcomes is as its domain, and as far off as hosts are from their domains.
+    unseen = F.col("var") + F.col("mean") * (1 - F.col("mean")) / (1 + s2)
+    domains = domains.select("domain", F.col("mean").alias("d_mean"), unseen.alias("d_var"))
+    rest = var + base * (1 - base) * (1 / (1 + s0) + 1 / (1 + s1) + 1 / (1 + s2))
+    return owned, domains, (base, rest)
 
 
 def judge(pages, outcomes, rules, id_col="page_id", url_col="url", suffixes=SUFFIXES, limit=LIMIT, z=Z):
@@ -101,20 +112,20 @@ def judge(pages, outcomes, rules, id_col="page_id", url_col="url", suffixes=SUFF
     ``outcomes`` has the ids of labelled pages and ``bad`` (0 or 1); an id that occurs several
     times counts as often, for each page with it. ``rules`` maps rules to verdicts. A page
     without a rule is blocked if the lower bound of its host's posterior share of bad pages
-    (the mean less ``z`` times the spread) is above ``limit``. Null and odd URLs have an empty
+    (the mean less ``z`` times the deviation) is above ``limit``. Null and odd URLs have an empty
     host and path and are judged as one host. Repeated rows and null ids are kept; other
     columns are not looked at.
     """
     host, path = split_url(F.col(url_col))
     own = pages.select(F.col(id_col).alias("id"), host.alias("host"), path.alias("path"))
     labels = outcomes.select(F.col(id_col).alias("id"), "bad")
-    hosts, domains, (base, spread) = reputation(own.join(labels, "id").select("host", "bad"), suffixes)
+    hosts, domains, (base, rest) = reputation(own.join(labels, "id").select("host", "bad"), suffixes)
     domain, _ = levels(F.col("host"), suffixes)
     # Both tables were written, so that a join can split a hot host.
     known = own.withColumn("domain", domain)
     known = known.join(staged(hosts, "url-reputation"), "host", "left").join(staged(domains, "url-parents"), "domain", "left")
     mean = F.coalesce("mean", "d_mean", F.lit(base))
-    low = mean - z * F.coalesce("spread", "d_spread", F.lit(spread))
+    low = mean - z * F.sqrt(F.coalesce("var", "d_var", F.lit(rest)))
     verdict = F.lit(None).cast("string")
     rule = match_rule(rules, F.col("host"), F.col("path"))
     for name, says in rules.items():
