@@ -104,12 +104,16 @@ class Model:
             root[-1] = 0
             state = np.zeros(len(pieces), np.int64)
             for step in steps:
+                # A phrase starts at the root, where a piece begins and after an unknown letter,
+                # and where the last one cannot go on.
+                begun = (state == 0) & (step < self.width - 1)
                 state = table[state * self.width + step].astype(np.int64)
                 missed = np.flatnonzero(state < 0)
                 if len(missed):
-                    out[k, missed] += 1
+                    begun[missed] = True
                     state[missed] = root[step[missed]]
-        return out + 1
+                out[k] += begun
+        return out
 
 
 def predict(model, classes, column):

@@ -251,8 +251,10 @@ def _change(filters, keys, what):
             getattr(made, what)(hashes)
         return held.assign(filter=[made.blob()], n=held["n"] + (0 if what == "insert" else -len(own)))
 
+    # New names for the columns, as both sides may come from one table.
+    own = keys.select(F.col("shard").alias("s"), F.col("key").alias("key"))
     return (
-        keys.select("shard", "key").groupBy("shard").cogroup(filters.groupBy("shard"))
+        own.groupBy("s").cogroup(filters.groupBy("shard"))
         .applyInPandas(change, _filter_schema())
     )
 

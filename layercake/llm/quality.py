@@ -115,7 +115,8 @@ def fit(docs, labels, id_col="doc_id", text_col="text", label_col="quality", row
     y = bounded_sample(y.where("i is not null and y in (0, 1)"), "i", rows)
     x = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).where("i is not null and t is not null")
     sample = x.join(F.broadcast(y), "i").repartition(1)  # `rows` bounds both the broadcast and the task
-    return unpack(sample.select("i", "t", "y").mapInArrow(_training, "model binary").first()[0])
+    found = sample.select("i", "t", "y").mapInArrow(_training, "model binary").first()
+    return unpack(found[0]) if found else train([], [])
 
 
 def collapse(model):

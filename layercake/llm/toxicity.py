@@ -178,7 +178,8 @@ def fit(docs, labels, id_col="doc_id", text_col="text", label_col="toxic", seeds
     y = bounded_sample(y.where("y = 1"), "k", rows // 2).union(bounded_sample(y.where("y = 0"), "k", rows // 2))
     x = docs.select(F.col(id_col).alias("k"), F.col(text_col).alias("t")).where("k is not null and t is not null")
     sample = x.join(F.broadcast(y), "k").select("i", "t", "y").repartition(1)  # bounded by `rows`
-    flat = unpack(sample.mapInArrow(_training(seeds), "model binary").first()[0])
+    found = sample.mapInArrow(_training(seeds), "model binary").first()
+    flat = unpack(found[0]) if found else []
     models = []
     for k in range(0, len(flat), 4):
         model = Linear(flat[k], len(flat[k + 2]))
