@@ -6,9 +6,9 @@ its transpose holds the overlaps. Size bounds keep it small:
 * Two rows of sizes ``a <= b`` can only be similar if ``4a >= 3b``, and need an overlap of at
   least ``3(a + b) / 7`` (for a similarity of 0.75).
 * With columns in one order for all rows, rare ones first, two similar rows share a column
-  among the first quarter of each (their heads). Only heads are multiplied, in blocks of
-  columns, and overlap counts are added up by pair; a pair whose count cannot reach the
-  bound with all that its heads leave open is discarded.
+  among the first quarter of each (their heads), and the closer their sizes the earlier.
+  Only heads are multiplied, in blocks of columns, and overlap counts are added up by pair;
+  a pair whose count cannot reach the bound with all that comes later is discarded.
 * Pairs that remain are multiplied in full, block of columns by block, and are given up
   as soon as the count so far and the rest of the smaller row stay below the bound.
 
@@ -32,10 +32,11 @@ from layercake.llm.common import staged
 
 SHINGLE = 5
 SIMILARITY = Fraction(3, 4)
-ROUNDS = 4
-LOCAL_COUNT = 4  # a column this frequent in a chunk of a task is counted as possibly frequent
-FREQUENT = 16
+ROUNDS = 2
+LOCAL_COUNT = 2  # a column this frequent in a chunk of a task is counted as possibly frequent
+FREQUENT = 8
 MOST_FREQUENT = 1 << 19  # bounds the broadcast of frequent columns: 8 MB
+SHARED = 8  # columns that a pair has to share among the first ones, if its heads are long enough
 CHUNK = 4_000_000
 BLOCKS = 8
 
@@ -68,7 +69,7 @@ def head_size(n, t=SIMILARITY):
     return n + (t.numerator * n // -t.denominator) + 1
 
 
-def _sketching(size):
+def _sketching(size, t):
     def frequent(held):
         if not held:
             return pa.array([], pa.int64()), pa.array([], pa.int64())
@@ -83,10 +84,12 @@ def _sketching(size):
             for row, own in sets(batch.column("text"), size):
                 sizes[row] = len(own)
                 nodes[row] = blake2b(own.tobytes(), digest_size=16).digest() if len(own) else None
-                if len(own) and nodes[row] not in seen:  # copies count once
-                    seen.add(nodes[row])
-                    held.append(own)
-                    total += len(own)
+                # Copies and near copies count once: they mostly share their least column. Only
+                # columns that may come into a head are counted.
+                if len(own) and own[0] not in seen:
+                    seen.add(own[0])
+                    held.append(own[: 2 * head_size(len(own), t)])
+                    total += len(held[-1])
             n, id_type = batch.num_rows, batch.column("id").type
             schema = pa.schema([("id", id_type), ("n", pa.int64()), ("node", pa.binary()), ("col", pa.int64()), ("hits", pa.int64())])
             yield pa.RecordBatch.from_arrays(
@@ -94,12 +97,10 @@ def _sketching(size):
                 schema=schema,
             )
             if total > CHUNK:
-                values, counts = frequent(held)
-                yield _columns(values, counts, schema)
+                yield _columns(*frequent(held), schema)
                 held, total, seen = [], 0, set()
         if held:
-            values, counts = frequent(held)
-            yield _columns(values, counts, schema)
+            yield _columns(*frequent(held), schema)
 
     return run
 
@@ -115,7 +116,7 @@ def _heading(held, size, t):
     def run(batches):
         often, rank = held.value
         for batch in batches:
-            rows, cols, sizes, common = [], [], [], []
+            rows, cols, sizes, places, common = [], [], [], [], []
             for row, own in sets(batch.column("text"), size):
                 if not len(own):
                     continue
@@ -132,6 +133,7 @@ def _heading(held, size, t):
                 rows.append(np.full(len(first), row))
                 cols.append(own[first].view(np.int64))
                 sizes.append(np.full(len(first), len(own)))
+                places.append(np.arange(1, len(first) + 1))
                 common.append(order[first] >= 0)
             take = pa.array(np.concatenate(rows) if rows else np.zeros(0, np.int64))
             join = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)
@@ -140,9 +142,10 @@ def _heading(held, size, t):
                     pa.array(join(cols, np.int64)),
                     batch.column("id").take(take),
                     pa.array(join(sizes, np.int64).astype(np.int32)),
+                    pa.array(join(places, np.int64).astype(np.int32)),
                     pa.array(join(common, bool)),
                 ],
-                ["col", "doc", "n", "often"],
+                ["col", "doc", "n", "pos", "often"],
             )
 
     return run
@@ -246,7 +249,7 @@ def links(docs, id_col="doc_id", text_col="text", size=SHINGLE, t=SIMILARITY, ro
     given = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     fields = [("id", kind), ("n", T.LongType()), ("node", T.BinaryType()), ("col", T.LongType()), ("hits", T.LongType())]
     schema = T.StructType([T.StructField(*f) for f in fields])
-    sketch = staged(given.mapInArrow(_sketching(size), schema), "jaccard-rows")
+    sketch = staged(given.mapInArrow(_sketching(size, t), schema), "jaccard-rows")
     sizes = sketch.where("n is not null").select("id", "n", "node")
     named = sizes.where("id is not null and n > 0")
     reps = named.groupBy("node").agg(F.min("id").alias("rep"))
@@ -255,14 +258,14 @@ def links(docs, id_col="doc_id", text_col="text", size=SHINGLE, t=SIMILARITY, ro
 
     held = spark.sparkContext.broadcast(_frequent(sketch))
     schema = T.StructType(
-        [T.StructField("col", T.LongType()), T.StructField("doc", kind), T.StructField("n", T.IntegerType()), T.StructField("often", T.BooleanType())]
+        [T.StructField("col", T.LongType()), T.StructField("doc", kind), T.StructField("n", T.IntegerType()), T.StructField("pos", T.IntegerType()), T.StructField("often", T.BooleanType())]
     )
     heads = given.where("id is not null").mapInArrow(_heading(held, size, t), schema)
     # A rare column takes part if it has two rows. A frequent one does in any case; its rows are
     # spread instead of counted together.
     key = F.when(F.col("often"), F.xxhash64("col", "doc")).otherwise(F.col("col"))
     heads = heads.withColumn("k", key).withColumn("rows", F.count("*").over(Window.partitionBy("k")))
-    heads = heads.where("often or rows > 1").select("col", "doc", "n")
+    heads = heads.where("often or rows > 1").select("col", "doc", "n", "pos")
     heads = staged(heads.join(reps, heads["doc"] == reps["rep"], "left_semi"), "jaccard-heads")
     shared = heads.groupBy("col").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo <> hi").select("col")
     heads = staged(heads.join(staged(shared, "jaccard-columns"), "col", "left_semi"), "jaccard-heads")
@@ -270,52 +273,87 @@ def links(docs, id_col="doc_id", text_col="text", size=SHINGLE, t=SIMILARITY, ro
     texts = given.join(ids, given["id"] == ids["doc"]).select("doc", "text")
     texts = staged(texts, "jaccard-texts")
 
-    found, parts = [], ids.select("doc", F.col("doc").alias("part"))
+    known = heads.withColumn("part", F.col("doc"))
     for turn in range(rounds):
-        known = heads.join(parts, "doc")
+        # First the row with fewest rarer columns, which of near copies has least of its own; then any.
+        rank = [F.col("pos")] if turn == 0 else []
         pivots = known.groupBy("col").agg(
             F.min("part").alias("lo"),
             F.max("part").alias("hi"),
-            F.min(F.struct(F.xxhash64("doc", F.lit(turn)).alias("h"), "doc", "n", "part")).alias("p"),
+            F.min(F.struct(*(r.alias("r") for r in rank), F.xxhash64("doc", F.lit(turn)).alias("h"), "doc", "n", "pos", "part")).alias("p"),
         )
         pivots = pivots.where("lo <> hi").select(
-            "col", F.col("p.doc").alias("b"), F.col("p.n").alias("m"), F.col("p.part").alias("cb")
+            "col",
+            F.col("p.doc").alias("b"),
+            F.col("p.n").alias("m"),
+            F.col("p.pos").alias("pos_b"),
+            F.col("p.part").alias("cb"),
         )
         pivots = staged(pivots, "jaccard-pivots")  # written, so that a join can split a hot column
-        paired = known.join(pivots, "col").where(F.col("part") != F.col("cb"))
-        new = staged(_multiplied(_candidates(paired, t), texts, size, t), "jaccard-links")
-        found.append(new.select("a", "b"))
-        parts = staged(_merged(parts, new), "jaccard-parts")
-    known = heads.join(parts, "doc")
+        mixed = known.join(pivots, "col")  # columns of one part have no pair left to find
+        paired = mixed.where((F.col("part") != F.col("cb")) & _possible(t))
+        new = _multiplied(_candidates(paired, t), texts, size, t)
+        merged = components(new.select(F.col("ca").alias("a"), F.col("cb").alias("b")), "jaccard-merged")
+        merged = staged(merged, "jaccard-merged").withColumnsRenamed({"doc": "part", "component": "to"})
+        known = mixed.drop("b", "m", "pos_b", "cb").join(merged, "part", "left")
+        known = known.select("col", "doc", "n", "pos", F.coalesce("to", "part").alias("part"))
+        known = staged(known, "jaccard-known")
+        copies = copies.union(merged.select("part", "to"))
     mixed = known.groupBy("col").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi").select("col")
     known = staged(known.join(staged(mixed, "jaccard-columns"), "col", "left_semi"), "jaccard-rest")
-    other = known.select("col", F.col("doc").alias("b"), F.col("n").alias("m"), F.col("part").alias("cb"))
-    paired = known.join(other, "col").where((F.col("part") != F.col("cb")) & (F.col("doc") < F.col("b")))
-    found.append(_multiplied(_candidates(paired, t), texts, size, t).select("a", "b"))
-    for part in found:
-        copies = copies.union(part)
+    other = known.select(
+        "col", F.col("doc").alias("b"), F.col("n").alias("m"), F.col("pos").alias("pos_b"), F.col("part").alias("cb")
+    )
+    paired = known.join(other, "col")
+    paired = paired.where((F.col("part") != F.col("cb")) & (F.col("doc") < F.col("b")) & _possible(t))
+    new = _multiplied(_candidates(paired, t), texts, size, t)
+    # A part is connected by the links that made it, so a link between parts is enough.
+    copies = copies.union(new.select(F.least("ca", "cb"), F.greatest("ca", "cb")).distinct())
     return sizes.select("id", "n"), copies
 
 
-def _candidates(paired, t):
-    """Pairs whose overlap within the heads leaves them a chance, from a row per common column."""
+def _needed(t):
+    """Least overlap of similar rows of ``n`` and ``m`` columns."""
+    num, den = t.numerator, t.denominator
+    return F.expr(f"({num} * (cast(n as long) + m) + {num + den - 1}) div {num + den}")
+
+
+def _wanted(t):
+    """How many common columns two similar rows have, at least, among the first of both.
+
+    The first `k` beyond those that a row may miss hold `k` of them. Heads bound `k`.
+    """
+    num, den = t.numerator, t.denominator
+    heads = (F.expr(f"{x} - ({num} * cast({x} as long) + {den - 1}) div {den} + 1 - {x}") for x in ("n", "m"))
+    return F.least(F.lit(SHARED), *(h + _needed(t) for h in heads))
+
+
+def _possible(t):
+    """Whether a common column can be among the first of a similar pair: by sizes and its places.
+
+    Columns before it that the other row lacks are missed, and neither row can miss more than
+    it has above what the two need.
+    """
     num, den = t.numerator, t.denominator
     n, m = F.col("n").cast("long"), F.col("m").cast("long")
-    sized = paired.where(den * F.least(n, m) >= num * F.greatest(n, m))
-    counted = sized.groupBy("doc", "n", "b", "m", "part", "cb").agg(F.count("*").alias("shared"))
-    rest = F.greatest(*(F.expr(f"({num} * cast({x} as long) + {den - 1}) div {den} - 1") for x in ("n", "m")))
-    least = F.expr(f"({num} * (cast(n as long) + m) + {num + den - 1}) div {num + den}")
-    kept = counted.where(F.col("shared") + rest >= least)
-    return kept.select(F.col("doc").alias("a"), "b", F.col("part").alias("ca"), "cb").distinct()
+    sized = den * F.least(n, m) >= num * F.greatest(n, m)
+    spare = _wanted(t) - _needed(t)
+    return sized & (F.col("pos") <= n + spare) & (F.col("pos_b") <= m + spare)
 
 
-def _merged(parts, new):
-    """Parts after the links ``new``: each takes the least part it is linked to, twice over."""
-    up = new.select(F.greatest("ca", "cb").alias("part"), F.least("ca", "cb").alias("to"))
-    up = staged(up.groupBy("part").agg(F.min("to").alias("to")), "jaccard-up")
-    again = up.select(F.col("part").alias("to"), F.col("to").alias("next"))
-    up = up.join(again, "to", "left").select("part", F.coalesce("next", "to").alias("to"))
-    return parts.join(up, "part", "left").select("doc", F.coalesce("to", "part").alias("part"))
+def _candidates(paired, t):
+    """Pairs that may be similar, from a row per common column that ``_possible`` lets pass.
+
+    Overlap counts are added up by pair. Up to the last of these columns the count is complete;
+    beyond it the pair has at most what the row that ends first has left.
+    """
+    counted = paired.groupBy("doc", "n", "b", "m", "part", "cb").agg(
+        F.count("*").alias("shared"), F.max("pos").alias("i"), F.max("pos_b").alias("j")
+    )
+    left = F.least(F.col("n") - F.col("i"), F.col("m") - F.col("j"))
+    kept = counted.where(F.col("shared") + left >= _needed(t))
+    kept = kept.where(F.col("shared") >= _wanted(t))
+    return kept.select(F.col("doc").alias("a"), "b", F.col("part").alias("ca"), "cb").distinct()
 
 
 def deduplicate(docs, id_col="doc_id", text_col="text", size=SHINGLE, t=SIMILARITY):
