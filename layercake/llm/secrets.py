@@ -135,10 +135,12 @@ def _z_serial(codes, n):
 def randomness(codes, k):
     """Combined p-value of the tests for numbers 0 to ``k - 1``; small if they are not random."""
     n = F.size(codes).cast("double")
-    tests = F.array(_z_uniform(codes, n, k), _z_runs(codes, n, k), _z_serial(codes, n))
-    logs = F.transform(tests, lambda z: -F.ln(_let(F.abs(z), _two_sided)))
-    half = F.aggregate(logs, F.lit(0.0), lambda s, x: s + x)
-    return _let(half, lambda h: F.exp(-h) * (1 + h + h * h / 2))  # Fisher: chi-squared, six degrees
+    along = F.greatest(F.abs(_z_runs(codes, n, k)), F.abs(_z_serial(codes, n)))
+    # Runs and correlation both look at neighbours and agree often, so of these two the clearer
+    # one counts, at twice its value; Fisher's method takes that and chi-squared as independent.
+    neighbours = F.least(F.lit(1.0), 2 * _let(along, _two_sided))
+    half = -F.ln(_let(F.abs(_z_uniform(codes, n, k)), _two_sided)) - F.ln(neighbours)
+    return _let(half, lambda h: F.exp(-h) * (1 + h))  # chi-squared with four degrees
 
 
 def _tokens(text):
