@@ -79,10 +79,11 @@ def _level(groups, key):
 
 
 def reputation(outcomes, suffixes=SUFFIXES):
-    """Posteriors from ``outcomes`` (host, bad): of hosts, of unseen hosts by domain, of all others.
+    """Posteriors from ``outcomes`` (host, bad): of hosts, of unseen hosts by domain, of hosts of
+    unseen domains by suffix, of all others.
 
-    The first two have ``mean`` and ``var`` by ``host`` and ``domain``; the last is a pair of
-    numbers. ``bad`` is 0 or 1; rows with a null in either column do not count.
+    The first three have a mean and a variance by ``host``, ``domain`` and ``suffix``; the last
+    is a pair of numbers. ``bad`` is 0 or 1; rows with a null in either column do not count.
     """
     domain, suffix = levels(F.col("host"), suffixes)
     seen = outcomes.where("host is not null and bad is not null").groupBy("host")
@@ -96,14 +97,18 @@ def reputation(outcomes, suffixes=SUFFIXES):
     suffixed = hosts.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffixed = staged(suffixed.withColumn("mean", F.lit(base)).withColumn("var", F.lit(var)), "url-suffixes")
     suffixed, s0 = _level(suffixed, "suffix")
+    suffixed = staged(suffixed, "url-suffix-means")
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     domains, s1 = _level(staged(domains.join(suffixed, "suffix"), "url-domains"), "domain")
     owned, s2 = _level(staged(hosts.join(domains, "domain"), "url-owned"), "host")
     # A host without outcomes is as its domain, and as far off as hosts are from their domains.
     unseen = F.col("var") + F.col("mean") * (1 - F.col("mean")) / (1 + s2)
     domains = domains.select("domain", F.col("mean").alias("d_mean"), unseen.alias("d_var"))
+    # One of a domain without outcomes is as its suffix, and as far off as domains are from suffixes, too.
+    unseen = F.col("var") + F.col("mean") * (1 - F.col("mean")) * (1 / (1 + s1) + 1 / (1 + s2))
+    suffixed = suffixed.select("suffix", F.col("mean").alias("s_mean"), unseen.alias("s_var"))
     rest = var + base * (1 - base) * (1 / (1 + s0) + 1 / (1 + s1) + 1 / (1 + s2))
-    return owned, domains, (base, rest)
+    return owned, domains, suffixed, (base, rest)
 
 
 def judge(pages, outcomes, rules, id_col="page_id", url_col="url", suffixes=SUFFIXES, limit=LIMIT, z=Z):
@@ -119,13 +124,14 @@ def judge(pages, outcomes, rules, id_col="page_id", url_col="url", suffixes=SUFF
     host, path = split_url(F.col(url_col))
     own = pages.select(F.col(id_col).alias("id"), host.alias("host"), path.alias("path"))
     labels = outcomes.select(F.col(id_col).alias("id"), "bad")
-    hosts, domains, (base, rest) = reputation(own.join(labels, "id").select("host", "bad"), suffixes)
-    domain, _ = levels(F.col("host"), suffixes)
-    # Both tables were written, so that a join can split a hot host.
-    known = own.withColumn("domain", domain)
+    hosts, domains, tops, (base, rest) = reputation(own.join(labels, "id").select("host", "bad"), suffixes)
+    domain, suffix = levels(F.col("host"), suffixes)
+    # The tables were written, so that a join can split a hot host.
+    known = own.withColumn("domain", domain).withColumn("suffix", suffix)
     known = known.join(staged(hosts, "url-reputation"), "host", "left").join(staged(domains, "url-parents"), "domain", "left")
-    mean = F.coalesce("mean", "d_mean", F.lit(base))
-    low = mean - z * F.sqrt(F.coalesce("var", "d_var", F.lit(rest)))
+    known = known.join(staged(tops, "url-tops"), "suffix", "left")
+    mean = F.coalesce("mean", "d_mean", "s_mean", F.lit(base))
+    low = mean - z * F.sqrt(F.coalesce("var", "d_var", "s_var", F.lit(rest)))
     verdict = F.lit(None).cast("string")
     rule = match_rule(rules, F.col("host"), F.col("path"))
     for name, says in rules.items():

@@ -79,6 +79,27 @@ def test_bad_hosts_are_blocked_and_small_ones_borrow(judge):
     assert share["www.good0.com"] < share["one.other.com"] < share["a.spam.com"] < 29 / 30 + 0.01
 
 
+def test_unseen_domains_borrow_from_their_suffix(judge):
+    rows, outcomes = [], []
+
+    def pages(host, n, bad=None):
+        for k in range(n):
+            rows.append((len(rows), f"http://{host}/{k}"))
+            if bad is not None:
+                outcomes.append((rows[-1][0], int(k < bad)))
+
+    for d in range(60):
+        pages(f"www.fine{d}.com", 10, 0)
+        pages(f"www.evil{d}.bad", 10, 10)
+    pages("www.new.bad", 2)
+    pages("www.new.com", 2)
+    pages("www.new.other", 2)  # nothing known but all pages
+    found = {r["host"]: r for r in judge(rows, outcomes, {}).values()}
+    assert found["www.new.bad"]["bad_share"] > 0.95 and found["www.new.bad"]["verdict"] == "block"
+    assert found["www.new.com"]["bad_share"] < 0.05 and found["www.new.com"]["verdict"] == "allow"
+    assert found["www.new.other"]["bad_share"] == pytest.approx(0.5) and found["www.new.other"]["verdict"] == "allow"
+
+
 def test_repeated_rows_and_empty_tables(spark, judge):
     pages = spark.createDataFrame([(1, "http://a.com/"), (1, "http://a.com/"), (None, "http://b.com/")], "page_id long, url string")
     bad = spark.createDataFrame([(1, 1), (1, 0), (2, None), (None, 1)], "page_id long, bad int")
