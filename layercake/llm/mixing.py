@@ -6,7 +6,8 @@ tokens it has. Documents are then drawn with the probability of their cell, by a
 the id, so a document is drawn or not however the work is split and repeated.
 
 Values without a target of their own are one cell per axis, so the number of cells follows
-the targets and not the data.
+the targets and not the data. Targets that sum to 1 say nothing of them: they then keep the
+share of the tokens that they have, and the targets share the others.
 """
 
 import numpy as np
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 REST = "(rest)"
 ROUNDS = 200
 SALT = "mix"
+NOTHING = 1e-9  # what targets leave to 1 by rounding only
 
 
 def topic_of(text):
@@ -70,6 +72,19 @@ def _cells(frame, axes, targets, weight):
     return frame.withColumns(columns).withColumn("tokens", F.greatest(F.coalesce(weight, F.lit(0)), F.lit(0)).cast("long"))
 
 
+def _shares(target, own, tokens):
+    """Shares of the values ``own`` of an axis with ``tokens``, the last of them ``REST``."""
+    named = np.array([target[v] for v in own[:-1]], float)
+    left = 1 - named.sum()
+    if REST in target:
+        return [*named, target[REST]]
+    if left > NOTHING:
+        return [*named, left]
+    kept = tokens[-1] / tokens.sum() if tokens.sum() > 0 else 0.0
+    named = np.where(tokens[:-1] > 0, named, 0)
+    return [*(named * (1 - kept) / max(named.sum(), NOTHING)), kept]
+
+
 def plan(cells, axes, targets, fraction):
     """Rows (value per axis, tokens, drawn, p) for every cell that has a document."""
     seen = cells.groupBy(*(f"a{i}" for i in range(len(axes)))).agg(F.sum("tokens").alias("tokens"))
@@ -80,9 +95,9 @@ def plan(cells, axes, targets, fraction):
     for row in rows:
         tokens[tuple(index[i][row[f"a{i}"]] for i in range(len(axes)))] = row["tokens"]
     wanted = []
-    for axis, own in zip(axes, values):
-        left = max(0.0, 1 - sum(w for v, w in targets[axis].items() if v != REST))
-        wanted.append([targets[axis].get(v, left) for v in own])
+    for i, (axis, own) in enumerate(zip(axes, values)):
+        others = tuple(a for a in range(tokens.ndim) if a != i)
+        wanted.append(_shares(targets[axis], own, tokens.sum(axis=others)))
     drawn = rake(tokens, wanted, fraction * tokens.sum())
     out = []
     for row in rows:
@@ -102,7 +117,8 @@ def mix(docs, targets, fraction, id_col="doc_id", text_col="text", axes=None, we
     """``docs`` with ``cell``, ``probability`` and ``sampled``, for every row.
 
     ``targets`` maps each axis to shares by value; what they leave to 1 goes to values
-    without a share (also null), as one. ``axes`` maps axes to columns: by default source, language and
+    without a share (also null), as one. If they leave nothing, such values keep their share
+    of the tokens; a share of 0 for ``REST`` leaves them out. ``axes`` maps axes to columns: by default source, language and
     the topic of ``topic_of``. A row weighs ``weight`` tokens, by default its words; rows
     of weight 0, such as empty texts, are never drawn. ``fraction`` is the share of all tokens
     to draw. Rows with the same id are drawn together or not at all, rows with a null id

@@ -58,6 +58,21 @@ def test_odd_rows(make_docs, odd_rows):
         mixing.mix(docs, {"source": {}}, 0.5)
 
 
+def test_null_and_unlisted_values_are_drawn_at_their_share(spark):
+    """Targets that sum to 1 leave a new hot source and rows without a language in."""
+    source, lang = lambda i: "new" if i % 3 == 0 else f"src{i % 20}", lambda i: None if i % 4 == 0 else "en"
+    rows = [(i, words(20, i), lang(i), source(i)) for i in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    drawn = mixing.mix(docs, MIX, 0.2).where("sampled").toPandas()
+    assert abs(len(drawn) / 6000 - 0.2) < 0.02
+    assert abs((drawn.source == "new").mean() - 1 / 3) < 0.04 and abs(drawn.lang.isna().mean() - 1 / 4) < 0.04
+    # Nothing but unlisted values, and the way to leave them out.
+    other = docs.withColumn("source", F.lit(None).cast("string"))
+    assert abs(mixing.mix(other, MIX, 0.2).where("sampled").count() / 6000 - 0.2) < 0.02
+    without = {**MIX, "source": {**MIX["source"], mixing.REST: 0.0}}
+    assert mixing.mix(docs, without, 0.2).where("sampled and source = 'new'").isEmpty()
+
+
 def test_query_equals_raking_by_hand(spark):
     sf = "/root/testdata/sf0.01"
     found = QUERIES["op5_source_mixing"](spark, sf).toPandas()
