@@ -35,11 +35,17 @@ def bounded_sample(df, key, rows):
     Rows are taken by a hash of ``key``. Counting is the only job, and nothing is
     sorted or collected. The bound is an expectation: the spread is its square root.
     """
+    return weighted_sample(df, key, rows).drop("weight")
+
+
+def weighted_sample(df, key, rows):
+    """``bounded_sample`` with a column ``weight``: how many rows of ``df`` each stands for."""
     total = df.count()
     if total <= rows:
-        return df
+        return df.withColumn("weight", F.lit(1.0))
     share = int(rows / total * (1 << 31))
-    return df.where(F.pmod(F.xxhash64(F.col(key)), F.lit(1 << 31)) < share)
+    chosen = df.where(F.pmod(F.xxhash64(F.col(key)), F.lit(1 << 31)) < share)
+    return chosen.withColumn("weight", F.lit((1 << 31) / share if share else 1.0))
 
 
 def ship(spark):

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from layercake.llm import words
-from layercake.llm.common import bounded_sample
+from layercake.llm.common import weighted_sample
 from layercake.llm.quality import pack, unpack
 
 # Words that tell the categories of labelled toxic texts apart; a parameter of `fit`.
@@ -58,7 +58,11 @@ def presence(texts):
 
 
 def select(docs, y):
-    """Buckets whose presence speaks most clearly for the category."""
+    """Buckets whose presence speaks most clearly for the category.
+
+    Rows count once each, also where a class is sampled: how clear a difference between two
+    samples is depends on the rows there are, not on those they stand for.
+    """
     y = y.astype(bool)
     counts = [np.zeros(BUCKETS), np.zeros(BUCKETS)]
     for own, label in zip(docs, y):
@@ -98,17 +102,20 @@ class Linear:
     def _raw(self, rows, cols, dense, n):
         return np.bincount(rows, self.weights[cols], n)[:n] + dense @ self.dense + self.bias
 
-    def fit(self, docs, dense, y, decay=3e-4):
+    def fit(self, docs, dense, y, weight=None, decay=3e-4):
+        """``weight`` is what each row stands for; only ratios count."""
         rows, cols = self._sparse(docs)
         n, k = len(docs), len(self.chosen)
-        self.bias = float(np.log((y.sum() + 0.5) / (n - y.sum() + 0.5)))
+        weight = np.ones(n) if weight is None else weight * (n / weight.sum())
+        hits = (weight * y).sum()
+        self.bias = float(np.log((hits + 0.5) / (n - hits + 0.5)))
         state = np.zeros(k + dense.shape[1] + 1)
         speed, power = np.zeros_like(state), np.zeros_like(state)
         state[-1] = self.bias
         for step in range(1, ROUNDS + 1):  # Adam on the whole sample
             self.weights, self.dense, self.bias = state[:k], state[k:-1], float(state[-1])
             p = 1 / (1 + np.exp(-np.clip(self._raw(rows, cols, dense, n), -50, 50)))
-            off = (p - y) / n
+            off = weight * (p - y) / n
             slope = np.concatenate([np.bincount(cols, off[rows], k)[:k], off @ dense, [off.sum()]])
             slope[:-1] += decay * state[:-1]
             speed = 0.9 * speed + 0.1 * slope
@@ -122,8 +129,9 @@ class Linear:
         return 1 / (1 + np.exp(-np.clip(self._raw(rows, cols, dense, len(docs)), -50, 50)))
 
 
-def chain(docs, labels, folds):
-    """Fit a model per column of ``labels``; ``folds`` has the fold of each text."""
+def chain(docs, labels, folds, weight=None):
+    """Fit a model per column of ``labels``; ``folds`` has the fold and ``weight`` the weight of each text."""
+    weight = np.ones(len(docs)) if weight is None else weight
     before, models = np.zeros((len(docs), 0)), []
     for column in labels.T:
         out = np.zeros(len(docs))
@@ -132,9 +140,9 @@ def chain(docs, labels, folds):
             inside = [d for d, h in zip(docs, held) if not h]
             if held.any() and len(inside):
                 model = Linear(select(inside, column[~held]), before.shape[1])
-                model.fit(inside, before[~held], column[~held])
+                model.fit(inside, before[~held], column[~held], weight[~held])
                 out[held] = model.predict([d for d, h in zip(docs, held) if h], before[held])
-        models.append(Linear(select(docs, column), before.shape[1]).fit(docs, before, column))
+        models.append(Linear(select(docs, column), before.shape[1]).fit(docs, before, column, weight))
         before = np.column_stack([before, out])
     return models
 
@@ -152,11 +160,12 @@ def _training(seeds):
     def run(batches):
         rows = []
         for batch in batches:
-            rows += zip(batch.column("i").to_pylist(), batch.column("t").to_pylist(), batch.column("y").to_pylist())
-        rows.sort(key=lambda r: (r[0], r[1], r[2]))
-        labels = np.array([categories(t, y, seeds) for _, t, y in rows], float).reshape(len(rows), len(seeds) + 2)
+            rows += zip(*(batch.column(c).to_pylist() for c in ("i", "t", "y", "weight")))
+        rows.sort()
+        labels = np.array([categories(t, y, seeds) for _, t, y, _ in rows], float).reshape(len(rows), len(seeds) + 2)
         folds = words.mix(np.array([r[0] for r in rows], np.int64).view(np.uint64)) % np.uint64(FOLDS)
-        models = chain(presence([t for _, t, _ in rows]), labels, folds) if rows else []
+        weight = np.array([r[3] for r in rows], float)
+        models = chain(presence([r[1] for r in rows]), labels, folds, weight) if rows else []
         flat = [x for m in models for x in (m.chosen, m.weights, m.dense, np.array([m.bias]))]
         yield pa.RecordBatch.from_arrays([pa.array([pack(flat)], pa.binary())], ["model"])
 
@@ -167,7 +176,8 @@ def fit(docs, labels, id_col="doc_id", text_col="text", label_col="toxic", seeds
     """The chain for ``seeds`` (lists of words by category), ``coded`` and ``toxic``.
 
     Trained in one task on a sample of about ``rows`` labelled texts, half of them toxic if
-    there are so many. Which categories a labelled toxic text has follows from the seeds it
+    there are so many. Texts weigh what they stand for among all labels, so that scores are
+    probabilities at the ratio of the labels, whatever the size of the table. Which categories a labelled toxic text has follows from the seeds it
     has; the models see words of all kinds and so also learn those that go along with them.
     Rows with a null id, text or label are not used. Texts with the same id share a fold.
     Without any labelled row the model scores everything 0.
@@ -175,9 +185,9 @@ def fit(docs, labels, id_col="doc_id", text_col="text", label_col="toxic", seeds
     seeds = SEEDS if seeds is None else seeds
     y = labels.select(F.xxhash64(id_col).alias("i"), F.col(id_col).alias("k"), F.col(label_col).cast("int").alias("y"))
     y = y.where("k is not null and y in (0, 1)")
-    y = bounded_sample(y.where("y = 1"), "k", rows // 2).union(bounded_sample(y.where("y = 0"), "k", rows // 2))
+    y = weighted_sample(y.where("y = 1"), "k", rows // 2).union(weighted_sample(y.where("y = 0"), "k", rows // 2))
     x = docs.select(F.col(id_col).alias("k"), F.col(text_col).alias("t")).where("k is not null and t is not null")
-    sample = x.join(F.broadcast(y), "k").select("i", "t", "y").repartition(1)  # bounded by `rows`
+    sample = x.join(F.broadcast(y), "k").select("i", "t", "y", "weight").repartition(1)  # bounded by `rows`
     found = sample.mapInArrow(_training(seeds), "model binary").first()
     flat = unpack(found[0]) if found else []
     models = []

@@ -74,6 +74,29 @@ def test_toxicity_of_held_out_documents(tables):
     assert seen and np.mean([r["score"] for r in seen]) > 5 * np.mean([r["score"] for r in rows if r["toxic"] == 0])
 
 
+def test_scores_mean_the_same_where_classes_are_sampled(spark):
+    """Weak evidence at one toxic text in ten: a balanced sample must not flag it."""
+    pick = np.random.default_rng(3)
+    toxic = np.arange(6000) % 10 == 0
+    weak, strong = pick.random(6000) < np.where(toxic, 0.6, 0.12), pick.random(6000) < np.where(toxic, 0.3, 0)
+    rows = [
+        (i, f"{'moderate' if w else ''} {'moron' if s else ''} " + " ".join(f"w{x}" for x in pick.integers(0, 90, 9)), int(t))
+        for i, (t, w, s) in enumerate(zip(toxic, weak, strong))
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int").cache()
+    labels = docs.select("doc_id", "toxic")
+    probe = spark.createDataFrame([(1, "moderate w1"), (2, "moron w1"), (3, "w1 w2")], "doc_id long, text string")
+    found = {}
+    for size in (10_000, 800):  # all labels, and 400 of each class
+        model = toxicity.fit(docs, labels, rows=size)
+        scored = toxicity.score(docs.drop("toxic"), model)
+        mean = scored.agg(F.avg("score")).first()[0]
+        assert mean == pytest.approx(0.1, abs=0.04)
+        found[size] = {r["doc_id"]: r for r in toxicity.score(probe, model).collect()}
+        assert [found[size][i]["toxic"] for i in (1, 2, 3)] == [False, True, False]
+    assert found[800][1]["score"] == pytest.approx(found[10_000][1]["score"], abs=0.1)
+
+
 def test_later_models_use_earlier_probabilities():
     pick = np.random.default_rng(2)
     first = pick.random(600) < 0.3
