@@ -1,6 +1,7 @@
 """Secret scan: patterns, and a battery of randomness tests for what no pattern names.
 
-Long tokens get an encoding from the characters they have. Three tests ask whether a token
+Long tokens get the smallest alphabet that has their characters; so do the parts of a token
+with separators in it, of which the longest that passes counts. Three tests ask whether a token
 could be random text of that encoding: chi-squared for an even use of the alphabet, runs of
 its lower and upper half, and correlation of neighbours. Their p-values are combined, and
 among tokens of like length the Benjamini-Hochberg procedure finds those that are not random,
@@ -26,18 +27,26 @@ LEAST = {"assign": 6, "access": 20, "hex": 24}
 ACCESS_LONG, HEX_LONG = r"AKIA[A-Z0-9]{16,}", r"[0-9a-f]{24,}"
 
 TOKEN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}"
-# Alphabets by encoding, and what tells them; the first that fits counts.
+# Parts of a token that may be a key in a path: between / and +, between - and _, between all four.
+PARTS = (r"[A-Za-z0-9_-]{16,}", r"[A-Za-z0-9+/]{16,}", r"[A-Za-z0-9]{16,}")
+DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+# Alphabets, smallest first, and what tells them; the first that has all characters counts. A key may
+# lack characters of its encoding by chance: the number is the letters of the smallest encoding
+# around the alphabet, by which the bits of a token are counted.
 ENCODINGS = (
-    ("hex", "0123456789abcdef", r"^(?=.*[0-9])(?=.*[a-f])[0-9a-f]+$"),
-    ("HEX", "0123456789ABCDEF", r"^(?=.*[0-9])(?=.*[A-F])[0-9A-F]+$"),
-    ("base32", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", r"^(?=.*[2-7])(?=.*[A-Z])[A-Z2-7]+$"),
-    ("base36", "0123456789abcdefghijklmnopqrstuvwxyz", r"^(?=.*[0-9])(?=.*[a-z])[0-9a-z]+$"),
-    ("BASE36", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ", r"^(?=.*[0-9])(?=.*[A-Z])[0-9A-Z]+$"),
-    ("base64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
-     r"^(?=.*[0-9])(?=.*[A-Z])(?=.*[a-z])[A-Za-z0-9+/]+$"),
-    ("base64url", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_",
-     r"^(?=.*[0-9])(?=.*[A-Z])(?=.*[a-z])[A-Za-z0-9_-]+$"),
-)
+    ("digits", DIGITS, 16, r"^[0-9]+$"),
+    ("hex", DIGITS + "abcdef", 16, r"^[0-9a-f]+$"),
+    ("HEX", DIGITS + "ABCDEF", 16, r"^[0-9A-F]+$"),
+    ("lower", LOWER, 36, r"^[a-z]+$"),
+    ("UPPER", UPPER, 32, r"^[A-Z]+$"),
+    ("base32", UPPER + "234567", 32, r"^[A-Z2-7]+$"),
+    ("base36", DIGITS + LOWER, 36, r"^[0-9a-z]+$"),
+    ("BASE36", DIGITS + UPPER, 36, r"^[0-9A-Z]+$"),
+    ("letters", UPPER + LOWER, 64, r"^[A-Za-z]+$"),
+    ("base64", UPPER + LOWER + DIGITS + "+/", 64, r"^[A-Za-z0-9+/]+$"),
+    ("base64url", UPPER + LOWER + DIGITS + "-_", 64, r"^[A-Za-z0-9_-]+$"),
+    ("mixed", UPPER + LOWER + DIGITS + "+/-_", 66, r"^[A-Za-z0-9+/_-]+$"),
+)
 LEAST_BITS = 80
 FALSE_SHARE = 0.05
 STEPS = 20  # p-values are counted in steps of 1/20 of a power of ten
@@ -144,24 +153,32 @@ def randomness(codes, k):
 
 
 def _tokens(text):
-    """Long tokens of an encoding: array of (start, end, encoding, p)."""
+    """Long tokens and their parts: array of (start, end, encoding, p)."""
 
     def read(s):
         token = F.rtrim(F.substring(text, s["start"] + 1, s["end"] - s["start"]), F.lit("="))
         return F.struct(s["start"].alias("start"), s["end"].alias("end"), token.alias("token"))
 
+    def parts(s):
+        size = F.char_length(s["token"])
+        inner = F.array_distinct(F.concat(*(_found(s["token"], pattern) for pattern in PARTS)))
+        inner = F.filter(inner, lambda i: i["size"] < size)
+        inner = F.transform(inner, lambda i: F.struct(
+            (s["start"] + i["start"]).alias("start"), (s["start"] + i["end"]).alias("end"),
+            F.substring(s["token"], i["start"] + 1, i["size"]).alias("token")))
+        return F.when(s["token"].rlike("[+/_-]"), F.concat(F.array(s), inner)).otherwise(F.array(s))
+
     def infer(s):
         kind = None
-        for name, alphabet, shape in ENCODINGS:
-            own = F.struct(F.lit(name).alias("name"), F.lit(alphabet).alias("letters"))
+        for name, alphabet, around, shape in ENCODINGS:
+            own = F.struct(F.lit(name).alias("name"), F.lit(alphabet).alias("letters"), F.lit(around).alias("around"))
             kind = F.when(s["token"].rlike(shape), own) if kind is None else kind.when(s["token"].rlike(shape), own)
         return F.struct(
             s["start"].alias("start"), s["end"].alias("end"), s["token"].alias("token"), kind.alias("kind")
         )
 
     def enough(s):
-        bits = F.char_length(s["token"]) * F.log2(F.char_length(s["kind"]["letters"]).cast("double"))
-        return s["kind"].isNotNull() & (bits >= LEAST_BITS)
+        return F.char_length(s["token"]) * F.log2(s["kind"]["around"].cast("double")) >= LEAST_BITS
 
     def test(s):
         k = F.char_length(s["kind"]["letters"]).cast("double")
@@ -171,7 +188,8 @@ def _tokens(text):
             s["start"].alias("start"), s["end"].alias("end"), s["kind"]["name"].alias("encoding"), p.alias("p")
         )
 
-    inferred = F.transform(F.transform(_found(text, TOKEN), read), infer)
+    tokens = F.flatten(F.transform(F.transform(_found(text, TOKEN), read), parts))
+    inferred = F.transform(tokens, infer)
     return F.transform(F.filter(inferred, enough), test)
 
 
@@ -224,7 +242,13 @@ def scan(docs, id_col="doc_id", text_col="text", share=FALSE_SHARE):
         free = ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"]))
         return passed & free
 
-    extra = F.transform(F.filter("tokens", random), lambda t: F.struct(
+    def outermost(t):
+        size, over = t["end"] - t["start"], lambda u: (u["start"] < t["end"]) & (t["start"] < u["end"])
+        longer = lambda u: (u["end"] - u["start"] > size) | ((u["end"] - u["start"] == size) & (u["start"] < t["start"]))
+        return ~F.exists("passed", lambda u: over(u) & longer(u))
+
+    found = found.withColumn("passed", F.filter("tokens", random))
+    extra = F.transform(F.filter("passed", outermost), lambda t: F.struct(
         t["start"].alias("start"), F.lit(len(KINDS)).alias("rank"), t["end"].alias("end"), F.lit("random").alias("kind")))
     return found.select(F.col("id").alias(id_col), "base", F.array_sort(F.concat("base", extra)).alias("spans"))
 

@@ -70,6 +70,29 @@ def test_random_keys_are_found_and_regular_tokens_are_not(make_docs):
             assert rows[i][1][start:end] == (real + odd)[i]
 
 
+def test_keys_that_lack_digits_or_cases_and_keys_in_paths_are_found(make_docs):
+    pick, letters = random.Random(11), string.ascii_letters
+    kinds = {
+        "letters": (letters, 32), "lower": (string.ascii_lowercase, 16), "base32": (string.ascii_uppercase + "234567", 16),
+        "base64": (letters + string.digits + "+/", 16), "base64url": (letters + string.digits + "-_", 20),
+        "mixed": (letters + string.digits + "+/-_", 40),
+    }
+    real = [("".join(pick.choices(own, k=size)), kind) for kind, (own, size) in kinds.items() for _ in range(40)]
+    rows = [(i, f"{words(9, i)} {t} {words(5, i)}") for i, (t, _) in enumerate(real)]
+    path = "com/user_data/k9Xv2QmT7bLpZr4WnYc8Hd3F"
+    far = "srv/application_data/configuration_data/production_data/k9Xv2QmT7bLpZr4WnYc8Hd3F"
+    rows += [(900, path), (901, far), (902, "-" * 40), (903, "a_name_that_is_made_of_several_plain_words_and_is_long")]
+    by_id = {i: [s for s in spans if s[3] == "random"] for i, _, spans in found(make_docs(rows))}
+    for kind in kinds:
+        hits = [any(s[0] <= rows[i][1].index(t) and s[2] >= rows[i][1].index(t) + len(t) for s in by_id[i]) for i, (t, k) in enumerate(real) if k == kind]
+        assert sum(hits) / len(hits) > 0.85, kind
+    for i, text in ((900, path), (901, far)):
+        assert any(s[0] <= text.index("k9Xv") and s[2] == len(text) for s in by_id[i])
+    assert not by_id[902] and not by_id[903]
+    for spans in by_id.values():
+        assert all(a[2] <= b[0] for a, b in zip(spans, spans[1:]))
+
+
 def test_added_spans_leave_base_spans_alone(make_docs):
     key = keys("base64", 1, 40)[0]
     ((_, base, spans),) = found(make_docs([(1, f"\U0001f600 token={key} and {key}")]))
