@@ -2,7 +2,21 @@
 
 from pyspark.sql import functions as F
 
-from layercake.llm import decontaminate, jaccard, langid, lines, mixing, quality, rules, secrets, toxicity, urls
+from layercake.llm import (
+    collocation,
+    decontaminate,
+    jaccard,
+    langid,
+    lines,
+    mixing,
+    quality,
+    rules,
+    secrets,
+    sharding,
+    toxicity,
+    urls,
+    whitening,
+)
 from layercake.llm.common import crc_of, ship, table
 
 
@@ -113,6 +127,27 @@ def op10_quality_rules(spark, sf_dir):
     )
 
 
+def op11_embedding_whitening(spark, sf_dir):
+    ship(spark)
+    rows, model = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return whitening.by_component(rows, model)
+
+
+def op12_phrase_collocation(spark, sf_dir):
+    ship(spark)
+    return collocation.phrases(table(spark, sf_dir, "documents"))
+
+
+def op13_sharding(spark, sf_dir):
+    rows = sharding.measured(table(spark, sf_dir, "documents"))
+    return sharding.shard(rows, group_col="group").select(
+        "doc_id", "size", "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_jaccard_join": op2_jaccard_join,
@@ -124,6 +159,9 @@ QUERIES = {
     "op9_language_id": op9_language_id,
     "op8_decontamination": op8_decontamination,
     "op10_quality_rules": op10_quality_rules,
+    "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_phrase_collocation": op12_phrase_collocation,
+    "op13_sharding": op13_sharding,
 }
 
 LINE_DEDUP = r"""
@@ -235,4 +273,43 @@ FROM judged
     limit=urls.LIMIT,
 )
 
-ORACLES = {"op3_line_dedup": LINE_DEDUP, "op6_url_filter": URL_FILTER}
+PHRASES = r"""
+WITH pieces AS (
+    SELECT lang, row_number() OVER () AS id, regexp_extract_all(piece, '[^ \t]+') AS words FROM (
+        SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n\x0b\f\r]')) AS piece
+        FROM documents WHERE text IS NOT NULL
+    )
+),
+grams AS (
+    SELECT lang, words[i:i + size - 1] AS phrase, count(*) AS f FROM (
+        SELECT lang, words, size, unnest(range(1, len(words) - size + 2)) AS i
+        FROM pieces, (VALUES (1), (2), (3)) AS sizes(size)
+    ) GROUP BY ALL
+),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM grams WHERE len(phrase) = 1 GROUP BY lang),
+candidates AS (SELECT lang, phrase, f AS a FROM grams WHERE len(phrase) > 1 AND f >= 10),
+cuts AS (
+    SELECT c.lang, c.phrase, c.a, k, l.f AS l, r.f AS r,
+        ((1000000::HUGEINT * c.a * c.a) // (l.f::HUGEINT * r.f))::BIGINT AS score
+    FROM (SELECT *, unnest(range(1, len(phrase))) AS k FROM candidates) c
+    JOIN grams l ON l.lang = c.lang AND l.phrase = c.phrase[:k]
+    JOIN grams r ON r.lang = c.lang AND r.phrase = c.phrase[k + 1:]
+),
+best AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+),
+inside AS (
+    SELECT lang, phrase[i:i + 1] AS phrase, max(a) AS longer
+    FROM (SELECT *, unnest([1, 2]) AS i FROM candidates WHERE len(phrase) = 3) GROUP BY ALL
+),
+ranked AS (
+    SELECT b.lang, array_to_string(b.phrase, ' ') AS phrase, b.a, l, r, n, score,
+        row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, b.a DESC, array_to_string(b.phrase, ' ')) AS rank
+    FROM best b JOIN totals USING (lang) LEFT JOIN inside i ON i.lang = b.lang AND i.phrase = b.phrase
+    WHERE longer IS NULL OR 100 * longer < 50 * b.a
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+"""
+
+ORACLES = {"op3_line_dedup": LINE_DEDUP, "op6_url_filter": URL_FILTER, "op12_phrase_collocation": PHRASES}

@@ -1,0 +1,146 @@
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from layercake.llm import collocation
+from tests.llm.conftest import lower, words
+
+
+def brute(rows, least=10, top=2000, most=3):
+    """Rows as by ``phrases`` of (lang, text), by counting tuples."""
+    f, n = Counter(), Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split("[.,;:!?\n\x0b\x0c\r]", lower(text)):
+            found = re.findall("[^ \t]+", piece)
+            n[lang] += len(found)
+            for k in range(1, most + 1):
+                f.update((lang, *found[i : i + k]) for i in range(len(found) - k + 1))
+    candidates = {p: a for p, a in f.items() if len(p) > 2 and a >= least}
+    longer = Counter()
+    for p, a in candidates.items():
+        for i in range(1, len(p)):
+            for j in range(i + 2, len(p) + 1):
+                if (i, j) != (1, len(p)):
+                    longer[p[0], *p[i:j]] = max(longer[p[0], *p[i:j]], a)
+    out = defaultdict(list)
+    for p, a in candidates.items():
+        if 100 * longer[p] >= 50 * a:
+            continue
+        cuts = []
+        for k in range(2, len(p)):
+            l, r = f[p[:k]], f[p[0], *p[k:]]
+            cuts.append((1000000 * a * a // (l * r), k, l, r))
+        score, _, l, r = min(cuts)
+        out[p[0]].append((-score, -a, " ".join(p[1:]).encode(), l, r))
+    return sorted(
+        (lang, rank, p.decode(), -a, l, r, n[lang], -s)
+        for lang, own in out.items()
+        for rank, (s, a, p, l, r) in enumerate(sorted(own)[:top], 1)
+    )
+
+
+def found(spark, rows, **how):
+    docs = spark.createDataFrame([(t, l, 1, "b") for l, t in rows], "text string, lang string, range int, blob string")
+    return sorted(tuple(r) for r in collocation.phrases(docs, **how).collect())
+
+
+def corpus(n, seed, vocabulary=12):
+    pick = random.Random(seed)
+    tokens = [f"w{i}" for i in range(vocabulary)] + ["Ä", "B\x01", "\x00", "été", "x\U0001f600"]
+    ends = [*[" "] * 20, "\t", "  ", ". ", ",", "\n"]
+    # Some pairs go together more often than by chance.
+    return "".join(pick.choice([*tokens, "new york", "n w"]) + pick.choice(ends) for _ in range(n))
+
+
+# One chunk and range; many chunks that are cut into many ranges.
+HOWS = [{}, {"chunk_words": 60, "range_arcs": 40, "sample_arcs": 7}]
+
+
+@pytest.mark.parametrize("how", HOWS)
+def test_equals_counting(spark, how):
+    rows = [("en", corpus(900, s)) for s in range(8)] + [("de", corpus(600, s, 6)) for s in range(5)]
+    rows += [(None, corpus(80, 50, 4)), ("und", corpus(80, 51, 4)), ("", corpus(90, 52, 3))]
+    expected = brute(rows)
+    assert len(expected) > 200 and found(spark, rows, **how) == expected
+    assert found(spark, rows, top=5, **how) == brute(rows, top=5)
+
+
+@pytest.mark.parametrize("how", HOWS)
+def test_longer_phrases(spark, how):
+    rows = [("en", corpus(900, s, 1)) for s in range(4)] + [("en", "a b c d e f\n" * 9)]
+    expected = brute(rows, most=5, least=4)
+    assert any(len(r[2].split(" ")) == 5 for r in expected)
+    assert found(spark, rows, most_words=5, least_count=4, **how) == expected
+
+
+@pytest.mark.parametrize("how", HOWS)
+def test_odd_rows(spark, odd_rows, how):
+    rows = [("en", t) for _, t in odd_rows] + [(None, "a b. a b\na b c"), ("fr", "x" * 70_000 + " y"), ("fr", " . , \t")]
+    rows += [("en", "New York, NEW york new York")] * 20 + [("z", "one")]
+    expected = brute(rows)
+    assert any(r[2] == "new york" for r in expected) and found(spark, rows, **how) == expected
+    assert found(spark, [], **how) == [] == found(spark, [("en", None), (None, " ")], **how)
+
+
+def test_hot_word(spark):
+    """One word starts most phrases: its paths are cut into several ranges."""
+    text = " . ".join(f"the w{i % 97} w{i % 89}" for i in range(9000))
+    rows = [("en", text), ("en", words(500, 3, 20))]
+    assert found(spark, rows, chunk_words=500, range_arcs=100, sample_arcs=5) == brute(rows)
+
+
+def paths_of(rows):
+    """The paths of distinct tuples of texts (with counts), as ``counted`` gives them."""
+    held = []
+    for i, (lang, text) in enumerate(rows):
+        held += list(collocation.tokens(pa.array([text]), pa.array([lang], pa.large_string())))
+    return collocation.counted(held, 3)
+
+
+def listed(paths):
+    """{(label, ...): weight} of paths."""
+    out, above = {}, [()]
+    for parent, label, weight in paths.depths:
+        names = paths.vocabulary.take(pa.array(label)).to_pylist()
+        above = [(*above[p], x) for p, x in zip(parent, names, strict=True)]
+        out |= dict(zip(above, weight.tolist(), strict=True))
+    return out
+
+
+def test_automata():
+    one = paths_of([("en", corpus(400, 1)), ("de", corpus(100, 2))])
+    two = paths_of([("en", corpus(300, 3)), ("fr", corpus(10, 4))])
+    first, second = listed(one), listed(two)
+    automaton = collocation.Automaton(collocation.build(one))
+    # The automaton has all paths, and fewer arcs than there are paths.
+    assert listed(automaton.paths()) == first
+    assert sum(len(d[1]) for d in automaton.depths) < one.arcs()
+    both = collocation.union([collocation.build(one), collocation.build(two)])
+    assert listed(both) == {p: first.get(p, 0) + second.get(p, 0) for p in first.keys() | second.keys()}
+    assert list(listed(both)) == sorted(listed(both), key=lambda p: (len(p), p))
+    # Pieces divide the weights among ranges, by the order of paths.
+    pick = random.Random(5)
+    for boundaries in (sorted(pick.sample(sorted(first), 20)), [("a",)], [("zz", "zz")], [("en", "w1", "nothing"), ("en", "w2")]):
+        seen = Counter()
+        for r, piece in collocation.pieces(one, boundaries):
+            for p, weight in listed(piece).items():
+                assert weight == 0 or sum(b <= p for b in boundaries) == r
+                seen[p] += weight
+        assert {p: c for p, c in seen.items() if c} == {p: c for p, c in first.items() if c}
+    for size in (2, 3, 4):
+        asked = [p for p in first if len(p) == size] + [("en",) + ("?",) * (size - 1), ("xx",) + ("w1",) * (size - 1)]
+        columns = [pa.array(c, pa.large_string()) for c in zip(*asked)]
+        assert automaton.weights(columns).tolist() == [first.get(p, 0) for p in asked]
+    assert automaton.weights([pa.array(["en"], pa.large_string())] * 9).tolist() == [0]
+
+
+def test_register_compares_states(monkeypatch):
+    """States with equal hashes that differ stay apart."""
+    monkeypatch.setattr(collocation.w, "mix", lambda x: np.zeros_like(x))
+    paths = paths_of([("en", corpus(200, 9))])
+    assert listed(collocation.Automaton(collocation.build(paths)).paths()) == listed(paths)
