@@ -13,6 +13,8 @@ from layercake.operators.dedup import keep_least
 
 _SEEN = "__seen"
 _MASK = "__mask"
+# Column that tells how a row of an upsert came about; see ``upsert_non_null``.
+CHANGE = "__change"
 
 
 def _all(conditions):
@@ -60,19 +62,24 @@ def _absent(batch, target, keys, null_safe, target_unique=False):
     return batch.join(stored, _equal(keys, "__t_", null_safe), "left_anti")
 
 
-def _check_columns(df, names, what):
+def check_columns(df, names, what):
+    """Raise ``ValueError`` if ``df`` lacks one of the named columns."""
     unknown = [n for n in dict.fromkeys(names) if n not in df.columns]
     if unknown:
         raise ValueError(f"no such column of the {what}: {', '.join(unknown)}")
 
 
+def missing(old, new, keys):
+    """One row for each key of ``new`` that ``old`` lacks; ``old`` is unique, NULL keys are equal."""
+    return _absent(keep_least(new, keys), old, keys, null_safe=True, target_unique=True)
+
+
 def insert_missing(old, new, keys):
     """``keep_first([old, new], keys)`` for an ``old`` that is already unique.
 
     Stored rows pass through untouched; only the batch is deduplicated.
     """
-    fresh = _absent(keep_least(new, keys), old, keys, null_safe=True, target_unique=True)
-    return old.unionByName(fresh, allowMissingColumns=True)
+    return old.unionByName(missing(old, new, keys), allowMissingColumns=True)
 
 
 def _with_plain_keys(df, keys):
@@ -93,12 +100,16 @@ def _with_plain_keys(df, keys):
     )
 
 
-def upsert_non_null(old, new, keys, old_unique=False):
+def upsert_non_null(old, new, keys, old_unique=False, changes=False):
     """Upsert where a non-NULL batch value replaces the stored one, column by column.
 
     Both sides are reduced to one row per key first. A key with a NULL in it
     matches nothing; one row is kept per such key and the stored one wins. The
     result has one row per key, so it can be passed back with ``old_unique=True``.
+
+    ``changes`` adds a column ``CHANGE``, NULL where the row is the stored one as it was:
+    else a struct of ``kind`` (``inserted`` or ``updated``) and the stored values, by column.
+    It comes from the same join, so knowing what changed costs no further pass.
     """
     new = _shaped_like(new, old)
     # Both sides are unique once deduplicated, so a hot key cannot skew the join,
@@ -110,14 +121,21 @@ def upsert_non_null(old, new, keys, old_unique=False):
     batch = _renamed(keep_least(_with_plain_keys(new, keys), plain), "__n_")
     joined = stored.join(batch, _equal(plain, "__n_"), "full_outer")
     stored_wins = f"{_MASK} > 0 AND __n_{_MASK} IS NOT NULL"
-    return joined.selectExpr(
-        *[
-            f"if({_newest(_MASK)} & {1 << keys.index(c)} = 0, {_newest(c)}, NULL) AS `{c}`"
-            if c in keys
-            else f"if({stored_wins}, `{c}`, {_newest(c)}) AS `{c}`"
-            for c in old.columns
-        ]
-    )
+    values = [
+        f"if({_newest(_MASK)} & {1 << keys.index(c)} = 0, {_newest(c)}, NULL) AS `{c}`"
+        if c in keys
+        else f"if({stored_wins}, `{c}`, {_newest(c)}) AS `{c}`"
+        for c in old.columns
+    ]
+    if changes:
+        rest = [c for c in old.columns if c not in keys]
+        differs = " OR ".join(f"NOT ({_newest(c)} <=> `{c}`)" for c in rest) or "false"
+        before = "".join(f", '{c}', `{c}`" for c in rest)
+        values.append(
+            f"CASE WHEN {_MASK} IS NULL THEN named_struct('kind', 'inserted'{before})"
+            f" WHEN {_MASK} = 0 AND ({differs}) THEN named_struct('kind', 'updated'{before}) END AS {CHANGE}"
+        )
+    return joined.selectExpr(*values)
 
 
 def merge_into(
@@ -141,7 +159,7 @@ def merge_into(
     """
     insert_columns = update_columns if insert_columns is None else insert_columns
     for df, what in ((target, "target"), (source, "source")):
-        _check_columns(df, [*keys, *update_columns, *insert_columns], what)
+        check_columns(df, [*keys, *update_columns, *insert_columns], what)
     # Rows with a NULL key match nothing and are inserted as they are. Set apart,
     # they leave both joins the same source, whose shuffle Spark then does once.
     no_null = _all([F.col(k).isNotNull() for k in keys])
@@ -192,7 +210,7 @@ def update_where(df, condition, assignments):
     evaluated on the row as it was before the update. Assigning to a column that
     ``df`` lacks raises ``ValueError``.
     """
-    _check_columns(df, assignments, "table")
+    check_columns(df, assignments, "table")
     hit = F.expr(condition) if isinstance(condition, str) else condition
     hit = F.coalesce(hit, F.lit(False))
     types = dict((f.name, f.dataType) for f in df.schema.fields)

@@ -7,9 +7,13 @@ inner joins and drops them.
 
 from pyspark.sql import functions as F
 
-from layercake.operators import distinct_keys, keep_least, label_lookup, merge_into, weighted_labels
+from layercake.operators import CHANGE, distinct_keys, keep_least, label_lookup, merge_into, weighted_labels
 from layercake.schemas import GOLD, SILVER
 
+# What is counted per playlist, with the columns it is found in.
+COUNTED = {"track": "track_uri", "artist": "artist_uri", "album": "album_uri"}
+TIMED = "timed"
+
 
 def summarise(entries):
     """Distinct tracks, artists and albums and the total duration per playlist.
@@ -26,6 +30,86 @@ def summarise(entries):
     )
 
 
+def _use_rows(uses, duration, sign):
+    """The rows one entry adds to ``uses`` or takes from it, as an array of structs."""
+
+    def row(kind, uri, number, amount):
+        return F.struct(
+            F.lit(kind).alias("kind"),
+            uri.alias("uri"),
+            number.cast("long").alias("uses"),
+            amount.cast("long").alias("amount"),
+        )
+
+    timed = F.when(duration.isNotNull(), F.lit(sign)).otherwise(0)
+    rows = [row(kind, uses[c], F.lit(sign), F.lit(0)) for kind, c in COUNTED.items()]
+    rows.append(row(TIMED, F.lit(""), timed, F.coalesce(duration * sign, F.lit(0))))
+    return F.filter(F.array(*rows), lambda r: r["uri"].isNotNull())
+
+
+def _added(rows):
+    """Uses of equal playlist, kind and URI added up; those that are used no more go."""
+    summed = rows.groupBy("playlist_id", "kind", "uri").agg(
+        F.sum("uses").alias("uses"), F.sum("amount").alias("amount")
+    )
+    return summed.where((F.col("uses") > 0) | (F.col("kind") == TIMED))
+
+
+def uses_build(entries):
+    """How often each playlist uses each track, artist and album, and its durations.
+
+    The counts of a playlist are the numbers of its rows, and unlike those they can be
+    brought up to date by the entries that changed. Kind ``timed`` has one row per playlist, with
+    the number and sum of the durations that are known. Entries without a playlist are left out.
+    """
+    uris = {c: F.col(c) for c in COUNTED.values()}
+    rows = entries.where("playlist_id IS NOT NULL").select(
+        "playlist_id", F.inline(_use_rows(uris, F.col("duration_ms"), 1))
+    )
+    return _added(rows)
+
+
+def uses_refresh(uses, changed):
+    """``uses_build`` after an upsert, from what it was and the changed entries.
+
+    ``changed`` has entries as they are now, with what they were in ``CHANGE``. An entry adds its own
+    URIs and takes away those it had, so a URI goes with its last use.
+    """
+    now = {c: F.col(c) for c in COUNTED.values()}
+    was = {c: F.col(f"{CHANGE}.{c}") for c in COUNTED.values()}
+    gone = F.when(
+        F.col(f"{CHANGE}.kind") == "updated",
+        _use_rows(was, F.col(f"{CHANGE}.duration_ms"), -1),
+    ).otherwise(F.filter(_use_rows(was, F.lit(None).cast("long"), -1), lambda r: F.lit(False)))
+    both = F.concat(_use_rows(now, F.col("duration_ms"), 1), gone)
+    delta = changed.where("playlist_id IS NOT NULL").select("playlist_id", F.inline(both))
+    return _added(uses.unionByName(_added_all(delta)))
+
+
+def _added_all(rows):
+    """As ``_added``, but with what adds up to less than one; small, so combined before it meets the rest."""
+    return rows.groupBy("playlist_id", "kind", "uri").agg(F.sum("uses").alias("uses"), F.sum("amount").alias("amount"))
+
+
+def summarise_uses(uses):
+    """``summarise`` of the entries that ``uses`` counts: each distinct URI is one row there, so
+    these are plain counts, which combine before the shuffle whatever the size of a playlist."""
+
+    def number(kind):
+        return F.count_if(F.col("kind") == kind)
+
+    timed = F.col("kind") == TIMED
+    return uses.groupBy("playlist_id").agg(
+        *(number(kind).alias(f"num_{kind}s") for kind in COUNTED),
+        F.sum(F.when(timed & (F.col("uses") > 0), F.col("amount"))).alias("total_duration_ms"),
+    )
+
+
+def playlists_from_uses(uses, playlists):
+    """``playlists_rebuild`` from the uses of entries."""
+    return summarise_uses(uses).join(playlists, "playlist_id").select(*GOLD["playlists"])
+
+
 def playlists_build(entries, playlists):
     """Summary LEFT JOIN playlists, as on a first build.
 
@@ -136,6 +220,14 @@ def playlists_refresh(gold, changed, entries, playlists):
     return kept.unionByName(playlists_rebuild(touched, described))
 
 
+def playlists_patch(gold, changed, uses, playlists):
+    """``playlists_refresh`` from the uses of entries after the batch."""
+    kept, _ = _split(gold, changed)
+    _, touched = _split(uses, changed)
+    _, described = _split(playlists, changed)
+    return kept.unionByName(playlists_from_uses(touched, described))
+
+
 def tracks_refresh(gold, changed, entries, songs, albums, artists):
     """``tracks_rebuild`` recomputed only for the ``changed`` playlist ids.
 

@@ -1,6 +1,6 @@
 """Applying a later batch to the silver layer."""
 
-from layercake.operators import insert_missing, keep_first, merge_into, upsert_non_null
+from layercake.operators import CHANGE, insert_missing, keep_first, merge_into, missing, upsert_non_null
 from layercake.plans import silver
 from layercake.schemas import ENTRY_MERGE_KEYS, SILVER, SILVER_KEYS
 
@@ -8,14 +8,17 @@ from layercake.schemas import ENTRY_MERGE_KEYS, SILVER, SILVER_KEYS
 DIMENSIONS = ("songs", "albums", "artists")
 
 
-def upsert_table(name, old, new, unique=False):
+def upsert_table(name, old, new, unique=False, changes=False):
     """The new version of one silver table; its rows are unique on ``SILVER_KEYS``.
 
-    ``unique`` says that ``old`` already is, which spares its deduplication.
+    ``unique`` says that ``old`` already is, which spares its deduplication. ``changes`` adds the
+    column ``CHANGE`` of ``upsert_non_null`` to a table that takes the batch's values.
     """
     keys = SILVER_KEYS[name]
     if name not in DIMENSIONS:
-        merged = upsert_non_null(old, new, keys, old_unique=unique)
+        merged = upsert_non_null(old, new, keys, old_unique=unique, changes=changes)
+        if changes:
+            return merged.select(*SILVER[name], CHANGE)
     elif unique:
         merged = insert_missing(old, new, keys)
     else:
@@ -23,6 +26,11 @@ def upsert_table(name, old, new, unique=False):
     return merged.select(*SILVER[name])
 
 
+def new_rows(name, old, new):
+    """What a batch adds to a dimension that is unique: its rows whose key is not stored."""
+    return missing(old, new.select(*SILVER[name]), SILVER_KEYS[name])
+
+
 def upsert_silver(tables, raw_playlists, raw_tracks, unique=()):
     """All five silver tables after a batch.
 

@@ -6,13 +6,15 @@ from layercake.sources.files import (
     with_declared,
     write_table,
 )
-from layercake.sources.lake import Batch, Lake
+from layercake.sources.lake import BUCKET, Batch, Lake, distinct_buckets, together
 from layercake.sources.report import preview, preview_tables, storage_report
 from layercake.sources.workspace import new_folder, stage
 
 __all__ = [
+    "BUCKET",
     "Batch",
     "Lake",
+    "distinct_buckets",
     "export_json",
     "new_folder",
     "preview",
@@ -22,6 +24,7 @@ __all__ = [
     "read_table",
     "stage",
     "storage_report",
+    "together",
     "with_declared",
     "write_table",
 ]

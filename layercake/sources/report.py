@@ -20,7 +20,7 @@ def storage_report(lake, layers=LAYERS, all_versions=False):
     parts = [spark.createDataFrame(counts, "layer string, tables long, bytes long")]
     for layer in layers:
         tables = {t: e for t, e in entries.items() if t.startswith(layer + "/")}
-        paths = [f"{lake.root}/{t}" if all_versions else e.path for t, e in tables.items()]
+        paths = [p for t, e in tables.items() for p in ([f"{lake.root}/{t}"] if all_versions else e.paths())]
         if paths:
             files = (
                 spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)

@@ -151,7 +151,7 @@ def test_failed_batch_leaves_the_lake_as_it_was(spark, batches, tmp_path, monkey
     def fail(*args):
         raise RuntimeError("no gold")
 
-    for name in ("playlists_refresh", "playlists_rebuild", "playlists_merge"):
+    for name in ("playlists_patch", "playlists_rebuild", "playlists_merge"):
         monkeypatch.setattr(gold, name, fail)
     for job in (jobs.upsert_batch, jobs.merge_batch):
         with pytest.raises(RuntimeError):
