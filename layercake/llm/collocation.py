@@ -32,8 +32,8 @@ MOST_WORDS = 3
 LEAST_COUNT = 10
 TOP = 2000
 UNKNOWN = "und"
-CHUNK_WORDS = 1_500_000
-RANGE_ARCS = 1_000_000
+CHUNK_WORDS = 600_000
+RANGE_ARCS = 500_000
 SAMPLE_ARCS = 8192  # one of so many arcs is a path that boundaries are chosen from
 MOST_RANGES = 1 << 20  # bounds what is broadcast; beyond it ranges grow
 BOUNDARY_WORD = 32  # characters of a word in a boundary, which need not be a word that there is
@@ -87,43 +87,53 @@ def _sorted_vocabulary(strings):
 
 
 def tokens(column, langs):
-    """(words, piece of each, language of each) of slices of an Arrow column; a piece has one number."""
+    """(words, piece of each, language of each) of slices of an Arrow column; a piece has one number.
+
+    Words and languages are pairs of codes and the strings they stand for.
+    """
     for at, end, data, offsets in w.slices(column):
         data = w.LOWER[data]
         inside = ~(ENDS | GAPS)
         starts, ends, first = w.spans(data, offsets, inside)
         if not len(starts):
             continue
-        row = np.repeat(np.arange(end - at), np.diff(first))
+        row = np.repeat(np.arange(end - at, dtype=np.int32), np.diff(first))
         # Both rise: the sum differs if one does.
-        piece = np.cumsum(ENDS[data])[starts] + row
+        piece = np.cumsum(ENDS[data], dtype=np.int32)[starts] + row
         letters = data[inside[data]]
-        lengths = np.concatenate([[0], np.cumsum(ends - starts)])
-        found = pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(lengths.astype(np.int64)), pa.py_buffer(letters)])
-        yield found, piece, langs.slice(at, end - at).take(pa.array(row))
+        lengths = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
+        found = pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(lengths), pa.py_buffer(letters)])
+        found, own = found.dictionary_encode(), langs.slice(at, end - at).dictionary_encode()
+        yield (
+            (found.indices.to_numpy(), found.dictionary),
+            piece,
+            (own.indices.to_numpy()[row], own.dictionary),
+        )
 
 
 def counted(held, most_words):
     """The paths of (words, pieces, languages) of several slices."""
     shift, pieces = 0, []
     for _, piece, _ in held:
-        pieces.append(piece + shift)
+        pieces.append(piece.astype(np.int64) + shift)
         shift = int(pieces[-1][-1]) + 1
     piece = np.concatenate(pieces)
-    found = pa.concat_arrays([x for x, _, _ in held])
-    langs = pa.concat_arrays([x for _, _, x in held])
-    langs, found = langs.dictionary_encode(), found.dictionary_encode()
-    vocabulary, rank = _sorted_vocabulary(pa.concat_arrays([langs.dictionary, found.dictionary]))
-    lang, label = rank[langs.indices.to_numpy()], rank[found.indices.to_numpy() + len(langs.dictionary)]
+    strings = [d for words, _, langs in held for d in (words[1], langs[1])]
+    vocabulary, rank = _sorted_vocabulary(pa.concat_arrays(strings))
+    at, label, lang = 0, [], []
+    for words, _, langs in held:
+        for (codes, own), out in ((words, label), (langs, lang)):
+            out.append(rank[at : at + len(own)].astype(np.int32)[codes])
+            at += len(own)
+    label, lang = np.concatenate(label), np.concatenate(lang)
     size = np.int64(len(vocabulary))
-    keys, _, at = _summed(lang, np.zeros(len(lang), np.int64))
+    keys, _, at = _summed(lang.astype(np.int64), np.zeros(len(lang), np.int64))
     depths = [(np.zeros(len(keys), np.int64), keys, np.zeros(len(keys), np.int64))]
     for k in range(most_words):
         n = len(label) - k
         if n <= 0:
             break
-        whole = piece[:n] == piece[k:]
-        place = np.flatnonzero(whole)
+        place = np.flatnonzero(piece[:n] == piece[k:])
         keys, sums, inverse = _summed(at[place] * size + label[place + k], np.ones(len(place), np.int64))
         depths.append((keys // size, keys % size, sums))
         at = np.full(len(label), -1, np.int64)
@@ -311,26 +321,31 @@ def pieces(paths, boundaries):
     at = cuts(paths, boundaries)
     edges = [np.concatenate([[0], a, [len(p[0])]]) for a, p in zip(at, paths.depths, strict=True)]
     some = np.flatnonzero(np.any([np.diff(e) > 0 for e in edges], axis=0))
+    number = np.zeros(len(paths.vocabulary), np.int64)
     for r in some:
         depths, below = [], np.zeros(0, np.int64)
         for d in range(len(paths.depths) - 1, -1, -1):
             low, high = int(edges[d][r]), int(edges[d][r + 1])
             parent, label, weight = paths.depths[d]
-            # Parents of what is kept lie before or inside the range, and are sorted.
-            index = np.unique(np.concatenate([below, np.arange(low, high)]))
-            own = np.where((index >= low) & (index < high), weight[index], 0)
+            # Parents of what is kept are sorted, and lie before the range or in it.
+            above = below[below < low]
+            index = np.concatenate([above, np.arange(low, high)])
+            own = np.concatenate([np.zeros(len(above), np.int64), weight[low:high]])
             depths.append([index, parent[index], label[index], own])
-            below = np.unique(parent[index]) if d else below
+            below = depths[-1][1]
+            below = below[np.diff(below, prepend=-1) > 0]
         depths.reverse()
         for d in range(len(depths) - 1, 0, -1):
             depths[d][1] = np.searchsorted(depths[d - 1][0], depths[d][1])
         while depths and not len(depths[-1][0]):
             depths.pop()
-        used = np.unique(np.concatenate([d[2] for d in depths]))
-        yield int(r), Paths(
-            paths.vocabulary.take(pa.array(used)),
-            [(p, np.searchsorted(used, label), own) for _, p, label, own in depths],
-        )
+        for _, _, label, _ in depths:
+            number[label] = 1
+        used = np.flatnonzero(number)
+        number[used] = np.arange(len(used))
+        kept = [(parent, number[label], own) for _, parent, label, own in depths]
+        number[used] = 0
+        yield int(r), Paths(paths.vocabulary.take(pa.array(used)), kept)
 
 
 def _phrases(paths, depth, index):
@@ -369,7 +384,7 @@ def _building(most_words, chunk_words, step):
             langs = batch.column("lang").cast(pa.large_string()).fill_null(UNKNOWN)
             for part in tokens(batch.column("text"), langs):
                 held.append(part)
-                total += len(part[0])
+                total += len(part[1])
                 if total >= chunk_words:
                     yield emit(held)
                     held, total = [], 0
