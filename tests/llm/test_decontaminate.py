@@ -106,3 +106,39 @@ def test_query_equals_brute_force(spark):
         for i, n, hit, items, bad in brute(table("documents", "doc_id"), table("benchmark", "item_id"))
     ]
     assert sorted(tuple(r) for r in QUERIES["op8_decontamination"](spark, sf).collect()) == sorted(expected)
+
+
+def test_repetitive_texts_are_matched_once_a_place():
+    import time
+
+    import pyarrow as pa
+
+    begun = time.time()
+    block = decontaminate.Block(decontaminate.pack(["r", "s"], ["la " * 5000, "la lu " * 40]))
+    counts, matches = decontaminate._found(block, pa.array(["la " * 20_000, "la " * 4000 + "lu", "la lu " * 100]))
+    assert counts.to_pylist() == [20_000, 4001, 200] and time.time() - begun < 60
+    first, second, third = ([(m["item"], m["start"], m["length"]) for m in own] for own in matches.to_pylist())
+    # The item lies at each of the places that have room for it, and at the last ones in part within those.
+    assert first == [("r", i, 5000) for i in range(15_001)]
+    assert second == [("r", 0, 4000)]
+    assert third == [("s", i, 80) for i in range(0, 121, 2)]
+
+
+def test_order_of_places():
+    pick = random.Random(5)
+    for most in (1, 70, 300):
+        own = [pick.choice([1, 1, 1, 2]) for _ in range(400)] + [1] * 200
+        raw = b"".join(x.to_bytes(4, "big") for x in own)
+        places = pick.sample(range(600), 300)
+        assert [own[p : p + most] for p in decontaminate.ordered(raw, places, most)] == sorted(own[p : p + most] for p in places)
+        ended = decontaminate.ordered(raw, places, most, 4 * 590)
+        assert [own[p : min(p + most, 590)] for p in ended] == sorted(own[p : min(p + most, 590)] for p in places)
+
+
+def test_many_blocks_and_clashing_names(make_docs, case):
+    rows, items, bench = case
+    rows = rows[5:60]
+    docs = make_docs(rows).withColumnRenamed("gone", "matches before")
+    out = decontaminate.attach_matches(docs, bench, block_chars=25)
+    assert out.columns[-2:] == ["n_words", "matches"] and "matches before" in out.columns
+    assert found(docs, bench, block_chars=25) == brute(rows, items)
