@@ -125,13 +125,11 @@ def test_a_toxic_word_counts_in_a_long_text():
 def phrases(text, learned):
     """Longest phrases of ``learned`` that ``text`` is cut into, piece by piece, by brute force."""
     count = 0
-    for at in range(0, len(text), langid.PIECE):
-        piece = text[at : at + langid.PIECE]
-        while piece:
-            size = 1
-            while size < len(piece) and piece[: size + 1] in learned and piece[:size] in learned:
-                size += 1
-            count, piece = count + 1, piece[size:]
+    while text:
+        size = 1
+        while size < len(text) and text[: size + 1] in learned and text[:size] in learned:
+            size += 1
+        count, text = count + 1, text[size:]
     return count
 
 
@@ -159,6 +157,56 @@ def test_phrases_equal_brute_force():
             assert scores[0] == pytest.approx(max(own.values()) / sum(own.values()))
 
 
+def parsed(model, sample):
+    """Phrases of one text by the model's own parts, piece by piece."""
+    kinds = [model.classes()[ord(c)] for c in sample]
+    rows = -(-len(kinds) // langid.PIECE)
+    pieces = np.full((rows, langid.PIECE), model.width - 1)
+    pieces.ravel()[: len(kinds)] = kinds
+    return model.phrases(pieces, np.arange(rows) - 1).T.tolist()
+
+
+def test_phrases_go_on_over_pieces(monkeypatch):
+    monkeypatch.setattr(langid, "PIECE", 16)
+    pick = np.random.default_rng(4)
+    learned = "".join(pick.choice(list("abcd "), 600, p=[0.3, 0.3, 0.15, 0.15, 0.1]))
+    learned = langid.normalised(learned)
+    model = langid.Model({"x": learned, "y": "ab " * 40})
+    samples = [learned, learned[100:400] + "q" + learned[50:300], "ab " * 70, "q" * 40, learned[:200] * 3]
+    samples += ["".join(pick.choice(list("abcdq"), 200)) for _ in range(20)]
+    for sample in samples:
+        got = [sum(x) for x in zip(*parsed(model, sample))]
+        assert got == [phrases(sample, langid.normalised(t)) for t in (learned, "ab " * 40)]
+    assert sum(x for x, _ in parsed(model, learned)) == 1
+
+
+def test_large_alphabets_and_many_languages():
+    pick = np.random.default_rng(5)
+    letters = [chr(c) for c in range(0x4E00, 0x4E00 + 3000)]
+    wide = "".join(pick.choice(letters, 24_000))
+    texts = {f"l{i:02d}": " ".join("".join(pick.choice(list("abcdefgh"), 5)) for _ in range(300)) for i in range(50)}
+    model = langid.Model({**texts, "wide": wide})
+    held = sum(e.keys.nbytes + e.to.nbytes for e in model.edges)
+    assert held < 30_000_000
+    column = words.pa.array([wide[500:900], texts["l07"][40:400], texts["l33"][:300]])
+    names, scores = langid.predict(model, model.classes(), column)
+    assert list(names) == ["wide", "l07", "l33"] and min(scores) > 0.5
+
+
+def test_sample_of_repeated_rows(spark):
+    """One text two thousand times, under one id and under many: it is one row of the sample."""
+    rows = [(1, "der hund und die katze", "de")] * 1000 + [(i, "der hund und die katze", "de") for i in range(1000)]
+    rows += [(5, f"le chat numero {'a' * (i % 50)}", "fr") for i in range(500)] + [(6, "x" * 90_000 + "yz", "xx")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(docs)
+    assert model.languages == ["de", "fr", "xx"]
+    one = langid.Model({"de": " der hund und die katze"})
+    assert len(one.edges[0].keys) == len(model.edges[0].keys)
+    # A long text is learned from all over.
+    assert {"y", "z"} <= set(model.alphabet)
+    assert langid.fit(docs, languages=1).languages == ["de"]
+
+
 def test_automaton_knows_all_substrings_and_no_others():
     text = "abracadabra abba"
     moves = langid.suffix_automaton(text)
