@@ -32,6 +32,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LEAST_CHARS = 10
 SHARD_KEYS = 200_000
 LEAST_SHARDS = 64
+RETURNED = 64  # one in so many documents is taken back and comes again in ``load``
 SLOTS = 4
 KICKS = 500
 
@@ -200,16 +201,21 @@ def empty(spark, id_type, shards):
 def insert(index, docs, id_col="doc_id", text_col="text"):
     """The index with ``docs`` in it; lines of a document that is in it already are added to it.
 
-    ``index`` may be None: the number of shards then follows the number of keys of ``docs``.
+    ``index`` may be None: the number of shards then follows the number of keys of ``docs``. It
+    doubles when the shards have grown to twice ``SHARD_KEYS``.
     """
     spark = docs.sparkSession
     new = staged(edges(docs, id_col, text_col), "line-refs")
-    if index is None:
+    first = index is None
+    if first:
         index = empty(spark, docs.schema[id_col].dataType, max(LEAST_SHARDS, -(-new.count() // SHARD_KEYS)))
-        first = True
     else:
-        first = False
-        new = staged(new.join(index.refs, ["key", "doc"], "left_anti"), "line-refs")
+        # Only documents that come again can have a pair that is there already.
+        ids = new.select("doc").distinct().join(index.refs.select("doc").distinct(), "doc", "left_semi")
+        again = staged(ids, "line-again")
+        if not again.isEmpty():
+            known = index.refs.join(again, "doc", "left_semi").select("key", "doc")
+            new = staged(new.join(known, ["key", "doc"], "left_anti"), "line-refs")
     # One row per key, made before and after the shuffle by key.
     batch = new.groupBy("key").agg(F.count("*").alias("refs"), F.min("doc").alias("owner"))
     batch = batch.select(_shard(index.shards), "key", "refs", "owner")
@@ -225,31 +231,53 @@ def insert(index, docs, id_col="doc_id", text_col="text"):
     rows = probed.where("key is not null")
     fresh = rows.where("not seen").select("shard", "key", "refs", "owner")
     known = rows.where("seen").select("shard", "key", "refs", "owner")
+    filters = probed.where("key is null").select("shard", "filter", "n")
     if first:  # a shard without a filter has seen nothing
         counts = fresh
     else:
         merged = index.counts.unionByName(known).groupBy("shard", "key")
         counts = merged.agg(F.sum("refs").alias("refs"), F.min("owner").alias("owner")).unionByName(fresh)
         counts = staged(counts, "line-counts")
-    filters = probed.where("key is null").select("shard", "filter", "n")
-    if filters.where("filter is null").limit(1).count():
-        filters = staged(build_filters(counts), "line-filters")
-    elif not first:
         # A key that a filter took for known without reason is not in it yet.
         wrong = known.join(index.counts, "key", "left_anti")
         filters = staged(_change(filters, wrong, "insert"), "line-filters")
-    return Index(index.refs.unionByName(new) if not first else new, counts, filters, index.shards)
+    index = Index(index.refs.unionByName(new) if not first else new, counts, filters, index.shards)
+    return _grown(_repaired(index))
+
+
+def _repaired(index):
+    """The index with the filters that had no room made anew from the exact table."""
+    broken = index.filters.where("filter is null").select("shard")
+    if broken.isEmpty():
+        return index
+    made = build_filters(index.counts.join(broken, "shard", "left_semi"))
+    index.filters = staged(index.filters.where("filter is not null").unionByName(made), "line-filters")
+    return index
+
+
+def _grown(index):
+    """The index with more shards, if they have become large."""
+    total, shards = index.filters.agg(F.sum("n")).first()[0] or 0, index.shards
+    while total > 2 * SHARD_KEYS * shards:
+        shards *= 2
+    if shards == index.shards:
+        return index
+    counts = staged(index.counts.select(_shard(shards), "key", "refs", "owner"), "line-counts")
+    return Index(index.refs, counts, staged(build_filters(counts), "line-filters"), shards)
 
 
 def _change(filters, keys, what):
-    """Filters with the keys entered or taken out."""
+    """Filters with the keys entered or taken out; null for one that has no room for them."""
 
     def change(own, held):
+        if not len(own) or held["filter"].iloc[0] is None:
+            return held.assign(n=held["n"] + (len(own) if what == "insert" else 0))
         made = CuckooFilter.of(held["filter"].iloc[0])
-        hashes = hash_of(own["key"]) if len(own) else np.zeros(0, np.uint64)
-        if len(hashes):
-            getattr(made, what)(hashes)
-        return held.assign(filter=[made.blob()], n=held["n"] + (0 if what == "insert" else -len(own)))
+        # An insertion that fails has moved other entries already, so nothing of it can be kept.
+        done = getattr(made, what)(hash_of(own["key"]))
+        return held.assign(
+            filter=[None if done is False else made.blob()], n=held["n"] + (len(own) if what == "insert" else -len(own))
+        )
 
     # New names for the columns, as both sides may come from one table.
     own = keys.select(F.col("shard").alias("s"), F.col("key").alias("key"))
@@ -259,6 +287,20 @@ def _change(filters, keys, what):
     )
 
 
+def load(docs, batches, id_col="doc_id", text_col="text"):
+    """The index of ``docs``, which come in ``batches`` by the hash of their id.
+
+    As in use, the first batch finds empty filters and the later ones ask them; and the documents of a
+    further, small batch come, are taken back and come again.
+    """
+    part = F.pmod(F.xxhash64(F.col(id_col), F.lit(1)), F.lit(batches))
+    index = None
+    for i in range(batches):
+        index = insert(index, docs.where(part == i), id_col, text_col)
+    late = docs.where(F.pmod(F.xxhash64(F.col(id_col), F.lit(2)), F.lit(RETURNED)) == 0)
+    return insert(delete(index, late, id_col), late, id_col, text_col)
+
+
 def delete(index, ids, id_col="doc_id"):
     """The index without the documents whose ids are in ``ids``; ids it does not have do nothing."""
     gone = ids.select(F.col(id_col).alias("doc")).where("doc is not null").distinct()
@@ -274,7 +316,7 @@ def delete(index, ids, id_col="doc_id"):
     counts = index.counts.join(changed, "key", "left_anti").select("shard", "key", "refs", "owner")
     counts = staged(counts.unionByName(changed.where("refs > 0")), "line-counts")
     filters = staged(_change(index.filters, changed.where("refs = 0"), "delete"), "line-filters")
-    return Index(refs, counts, filters, index.shards)
+    return _repaired(Index(refs, counts, filters, index.shards))
 
 
 def _key(line):
@@ -322,11 +364,13 @@ def apply(index, docs, id_col="doc_id", text_col="text"):
     smallest id, there as often as they occur. Null texts and texts without a dropped line
     are left as they are; a null or empty text is one empty line. Rows with the same id are
     one document, rows with a null id none: they lose nothing. Other columns are kept, but
-    those called ``n_lines`` and ``n_dropped`` are replaced.
+    those called ``n_lines`` and ``n_dropped`` are replaced. Texts may be of any length; an empty
+    table gives an empty result.
     """
     rest = [c for c in docs.columns if c not in (id_col, text_col, "n_lines", "n_dropped")]
     inner = docs.select(
-        F.col(id_col).alias("id"), F.col(text_col).alias("text"), *(F.col(c).alias(f"c{i}") for i, c in enumerate(rest))
+        *(F.col(f"`{c}`").alias(a) for c, a in ((id_col, "id"), (text_col, "text"))),
+        *(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rest)),
     )
     gone = repeated(index)
     joined = inner.join(gone, inner["id"] == gone["doc"], "left").drop("doc")

@@ -39,7 +39,7 @@ def op2_jaccard_join(spark, sf_dir):
 def op3_line_dedup(spark, sf_dir):
     ship(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = lines.apply(lines.insert(None, docs), docs)
+    found = lines.apply(lines.load(docs, batches=2), docs)
     kept = F.coalesce("text", F.lit(""))
     return found.select("doc_id", "n_lines", "n_dropped", _sha256(kept).alias("kept_sha256"))
 

@@ -87,6 +87,47 @@ def test_full_filters_are_made_anew(make_docs, monkeypatch):
     assert contents(index) == contents(lines.insert(None, make_docs(small + more)))
 
 
+def test_a_crowded_filter_is_made_anew_within_an_insertion(make_docs, monkeypatch):
+    """Keys that a filter takes for known and cannot enter: the shard is made anew from the exact table."""
+    monkeypatch.setattr(lines, "LEAST_SHARDS", 1)
+    index = lines.insert(None, make_docs([(1, "\n".join(f"line number {i}" for i in range(10)))]))
+    crowded = lines.CuckooFilter(2)
+    spark = index.counts.sparkSession
+    keys = [bytes(r["key"]) for r in index.counts.collect()]
+    crowded.table[:] = 1 + np.arange(crowded.table.size).reshape(crowded.table.shape)
+    filters = spark.createDataFrame([(0, crowded.blob(), 10)], lines._filter_schema())
+    own = spark.createDataFrame([(0, k) for k in keys], "shard int, key binary")
+    (row,) = lines._change(filters, own, "insert").collect()
+    assert row["filter"] is None and row["n"] == 20
+    index.filters = spark.createDataFrame([(0, None, 10)], lines._filter_schema())
+    contents(lines._repaired(index))
+
+
+def test_shards_grow(make_docs, monkeypatch):
+    monkeypatch.setattr(lines, "LEAST_SHARDS", 1)
+    monkeypatch.setattr(lines, "SHARD_KEYS", 100)
+    small = [(1, "\n".join(f"line number {i}" for i in range(10)))]
+    more = [(2, "\n".join(f"line number {i}" for i in range(5, 1000)))]
+    index = lines.insert(lines.insert(None, make_docs(small)), make_docs(more))
+    assert index.shards == 8 and index.counts.select("shard").distinct().count() == 8
+    assert contents(index)[0] == contents(lines.insert(None, make_docs(small + more)))[0]
+
+
+def test_load_in_batches(make_docs, odd_rows, monkeypatch):
+    monkeypatch.setattr(lines, "RETURNED", 3)
+    docs = make_docs(some_rows(odd_rows))
+    for batches in (1, 3):
+        index = lines.load(docs, batches)
+        assert contents(index)[0] == contents(lines.insert(None, docs))[0]
+        assert found(index, docs) == brute(some_rows(odd_rows))
+
+
+def test_names_with_dots(make_docs):
+    docs = make_docs([(1, "a line of text\nb"), (2, "a line of text")]).withColumnRenamed("gone", "go.ne")
+    out = lines.apply(lines.insert(None, docs), docs)
+    assert out.columns == [*docs.columns, "n_lines", "n_dropped"] and out.count() == 2
+
+
 def test_empty_table(make_docs):
     docs = make_docs([])
     assert found(lines.insert(None, docs), docs) == []
