@@ -16,6 +16,10 @@ Rows with equal sets are one row from the start. Groups of near copies would sti
 pair for each two members. So a few rounds multiply each column with one of its rows only
 (its pivot); rows that turn out linked need no more pairs among themselves, and the last
 round, which is exact, only has pairs of rows that are not yet known to be connected.
+
+What is left of columns with many rows is multiplied in blocks: the rows of a column are dealt into
+blocks of bounded size, each two blocks meet in one task, which adds up the overlaps of their rows
+as dense products over blocks of columns, and only pairs that reach the bound leave it.
 """
 
 from fractions import Fraction
@@ -23,6 +27,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,6 +44,12 @@ MOST_FREQUENT = 1 << 19  # bounds the broadcast of frequent columns: 8 MB
 SHARED = 8  # columns that a pair has to share among the first ones, if its heads are long enough
 CHUNK = 4_000_000
 BLOCKS = 8
+HEAVY = 32  # rows from which on a column is multiplied in blocks of rows
+BLOCK_ROWS = 1024  # rows of a block, and the places they fill together
+BLOCK_CELLS = 1 << 18
+BLOCK_COLUMNS = 2048
+CHUNK_LINKS = 1_000_000
+LINK_TASKS = 64
 
 
 def shingles(hashes, size=SHINGLE):
@@ -183,6 +194,102 @@ def _multiplying(size, t):
     return run
 
 
+def overlaps(a, b):
+    """For each row of ``a`` and of ``b`` (lists of fingerprints) a bound of their overlap from above.
+
+    The sparse rows become dense a block of columns at a time, and the products are added up.
+    """
+    lengths = [[len(x) for x in rows] for rows in (a, b)]
+    values = np.concatenate([*a, *b]) if a or b else np.zeros(0, np.int32)
+    own, columns = np.unique(values, return_inverse=True)
+    row = np.concatenate([np.repeat(np.arange(len(n)), n) for n in lengths]).astype(np.int64)
+    first = int(sum(lengths[0]))
+    # Only columns of both sides count.
+    both = np.zeros((2, len(own)), bool)
+    both[0, columns[:first]] = both[1, columns[first:]] = True
+    number = np.cumsum(both.all(axis=0)) - 1
+    kept = both.all(axis=0)[columns]
+    total = np.zeros((len(a), len(b)), np.float32)
+    for at in range(0, int(number[-1]) + 1 if len(number) else 0, BLOCK_COLUMNS):
+        dense = []
+        for side, rows in ((slice(0, first), a), (slice(first, None), b)):
+            column = number[columns[side]] - at
+            here = kept[side] & (column >= 0) & (column < BLOCK_COLUMNS)
+            # Fingerprints of a row that are equal count together, so the bound stays one from above.
+            cells = np.bincount(row[side][here] * BLOCK_COLUMNS + column[here], minlength=len(rows) * BLOCK_COLUMNS)
+            dense.append(cells.reshape(len(rows), BLOCK_COLUMNS).astype(np.float32))
+        total += dense[0] @ dense[1].T
+    return total
+
+
+def _block_pairs(t):
+    """Pairs of rows from two blocks (or one) that may be similar and are not of one part."""
+
+    def run(table):
+        side = table.column("c").to_numpy()
+        low = int(table.column("i")[0].as_py())
+        alone = table.column("i")[0] == table.column("j")[0]
+        a = np.flatnonzero(side == low)
+        b = a if alone else np.flatnonzero(side != low)
+        flat = table.column("fp").combine_chunks()
+        offsets, data = flat.offsets.to_numpy(), flat.values.to_numpy(zero_copy_only=False)
+        rows = [data[offsets[k] : offsets[k + 1]] for k in range(len(flat))]
+        n = table.column("n").to_numpy().astype(np.int64)
+        part = table.column("part").combine_chunks().dictionary_encode().indices.to_numpy()
+        total = overlaps([rows[k] for k in a], [rows[k] for k in b])
+        keep = total >= needed(n[a][:, None], n[b][None, :], t)
+        keep &= part[a][:, None] != part[b][None, :]
+        if alone:
+            keep = np.triu(keep, 1)
+        x, y = np.nonzero(keep)
+        x, y = pa.array(a[x]), pa.array(b[y])
+        doc, own = table.column("doc").combine_chunks(), table.column("part").combine_chunks()
+        return pa.Table.from_arrays([doc.take(x), doc.take(y), own.take(x), own.take(y)], ["a", "b", "ca", "cb"])
+
+    return run
+
+
+def _fingerprinting(size):
+    def run(batches):
+        for batch in batches:
+            found = [(own >> np.uint64(32)).astype(np.uint32).view(np.int32) for _, own in sets(batch.column("text"), size)]
+            lengths = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
+            values = np.concatenate(found) if found else np.zeros(0, np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc"), pa.ListArray.from_arrays(pa.array(lengths), pa.array(values))], ["doc", "fp"]
+            )
+
+    return run
+
+
+def _blocked(heavy, texts, size, t):
+    """Pairs that may be similar (a, b, ca, cb) among the rows of each heavy column.
+
+    Columns with the same least row are multiplied together, which near copies share. Each row
+    goes to as many tasks as its group has blocks, as a number of four bytes per column.
+    """
+    kind = dict(heavy.dtypes)["doc"]
+    owners = staged(heavy.groupBy("col").agg(F.min("doc").alias("owner")), "jaccard-owners")
+    members = staged(heavy.join(owners, "col").select("owner", "doc", "n", "part").distinct(), "jaccard-members")
+    groups = members.groupBy("owner").agg(
+        F.min("part").alias("lo"),
+        F.max("part").alias("hi"),
+        F.ceil(F.greatest(F.count("*") / BLOCK_ROWS, F.sum("n") / BLOCK_CELLS)).cast("int").alias("blocks"),
+    )
+    groups = staged(groups.where("lo <> hi").select("owner", "blocks"), "jaccard-groups")
+    ids = members.select(F.col("doc").alias("id")).distinct()
+    prints = texts.join(ids, texts["doc"] == ids["id"], "left_semi").select("doc", "text")
+    prints = staged(prints.mapInArrow(_fingerprinting(size), f"doc {kind}, fp array<int>"), "jaccard-prints")
+    placed = members.join(groups, "owner").withColumn("c", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
+    copies = placed.join(prints, "doc").select(
+        "owner", "doc", "n", "part", "fp", "c", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("d")
+    )
+    copies = copies.select("owner", F.least("c", "d").alias("i"), F.greatest("c", "d").alias("j"), "c", "doc", "n", "part", "fp")
+    return copies.groupBy("owner", "i", "j").applyInArrow(
+        _block_pairs(t), f"a {kind}, b {kind}, ca {kind}, cb {kind}"
+    )
+
+
 def _frequent(sketch):
     """Frequent columns, sorted, and the rank of each by frequency: the most frequent ones, if many."""
     found = staged(
@@ -204,14 +311,54 @@ def _frequent(sketch):
     return cols[by_value], by_value.astype(np.int64)
 
 
+def stars(u, v):
+    """Links that connect the same numbers, each of them with the least it is connected to."""
+    least = np.arange(max(u.max(initial=-1), v.max(initial=-1)) + 1)
+    while True:
+        # Every number and the one it points to take the least of both ends, then all point on.
+        a, b = least[u], least[v]
+        low, high = np.minimum(a, b), np.maximum(a, b)
+        if (low == high).all():
+            return least
+        np.minimum.at(least, high, low)
+        while (least[least] != least).any():
+            least = least[least]
+
+
+def _contracting(batches):
+    """Links of a task as stars, a chunk of them at a time."""
+
+    def contracted(held):
+        held = pa.Table.from_batches(held).combine_chunks()
+        both = pa.chunked_array([*held.column("u").chunks, *held.column("v").chunks]).combine_chunks().dictionary_encode()
+        ids = both.dictionary.sort()
+        at = pc.index_in(both.dictionary, ids).to_numpy(zero_copy_only=False)[both.indices.to_numpy()]
+        least = stars(at[: held.num_rows], at[held.num_rows :])
+        far = np.flatnonzero(least != np.arange(len(least)))
+        return pa.RecordBatch.from_arrays([ids.take(pa.array(far)), ids.take(pa.array(least[far]))], ["u", "v"])
+
+    held, rows = [], 0
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= CHUNK_LINKS:
+            yield contracted(held)
+            held, rows = [], 0
+    if rows:
+        yield contracted(held)
+
+
 def components(links, name="links"):
     """(doc, component): for every document with a link the least one it is connected to.
 
-    Large-star and small-star steps in turn, each written to the shared folder, until the
+    Tasks make stars of the links they have, which leaves few; then large-star and small-star
+    steps in turn, each written to the shared folder, until the
     links are stars. What the driver sees is one checksum per step.
     """
-    edges = staged(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), name)
-    before = None
+    edges = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+    edges = edges.mapInArrow(_contracting, edges.schema).distinct()
+    edges = staged(edges.coalesce(LINK_TASKS).mapInArrow(_contracting, edges.schema).distinct(), name)
+    before = _checksum(edges)
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
@@ -221,12 +368,16 @@ def components(links, name="links"):
         small = large.join(least, "u")
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
         edges = staged(small.where("u <> v").distinct(), name)
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(now) == before:
+        now = _checksum(edges)
+        if now == before:
             return edges.select(F.col("u").alias("doc"), F.col("v").alias("component")).union(
                 edges.select(F.col("v").alias("doc"), F.col("v").alias("component")).distinct()
             )
-        before = tuple(now)
+        before = now
+
+
+def _checksum(edges):
+    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
 
 def _multiplied(pairs, texts, size, t):
@@ -267,6 +418,7 @@ def links(docs, id_col="doc_id", text_col="text", size=SHINGLE, t=SIMILARITY, ro
     heads = heads.withColumn("k", key).withColumn("rows", F.count("*").over(Window.partitionBy("k")))
     heads = heads.where("often or rows > 1").select("col", "doc", "n", "pos")
     heads = staged(heads.join(reps, heads["doc"] == reps["rep"], "left_semi"), "jaccard-heads")
+    held.destroy()
     shared = heads.groupBy("col").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo <> hi").select("col")
     heads = staged(heads.join(staged(shared, "jaccard-columns"), "col", "left_semi"), "jaccard-heads")
     ids = staged(heads.select("doc").distinct(), "jaccard-ids")
@@ -299,14 +451,25 @@ def links(docs, id_col="doc_id", text_col="text", size=SHINGLE, t=SIMILARITY, ro
         known = known.select("col", "doc", "n", "pos", F.coalesce("to", "part").alias("part"))
         known = staged(known, "jaccard-known")
         copies = copies.union(merged.select("part", "to"))
-    mixed = known.groupBy("col").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi").select("col")
-    known = staged(known.join(staged(mixed, "jaccard-columns"), "col", "left_semi"), "jaccard-rest")
-    other = known.select(
+    mixed = known.groupBy("col").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count("*").alias("rows"))
+    mixed = staged(mixed.where("lo <> hi").select("col", "rows"), "jaccard-columns")
+    known = staged(known.join(mixed, "col"), "jaccard-rest")
+    # A pair that shares a heavy column is found in its blocks; the others share light columns only, of
+    # which no count is missing then.
+    light = known.where(F.col("rows") < HEAVY)
+    other = light.select(
         "col", F.col("doc").alias("b"), F.col("n").alias("m"), F.col("pos").alias("pos_b"), F.col("part").alias("cb")
     )
-    paired = known.join(other, "col")
+    paired = light.join(other, "col")
     paired = paired.where((F.col("part") != F.col("cb")) & (F.col("doc") < F.col("b")) & _possible(t))
-    new = _multiplied(_candidates(paired, t), texts, size, t)
+    blocked = _blocked(known.where(F.col("rows") >= HEAVY), texts, size, t)
+    blocked = blocked.select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
+        F.when(F.col("a") < F.col("b"), F.col("ca")).otherwise(F.col("cb")).alias("ca"),
+        F.when(F.col("a") < F.col("b"), F.col("cb")).otherwise(F.col("ca")).alias("cb"),
+    )
+    maybe = staged(_candidates(paired, t).union(blocked).distinct(), "jaccard-maybe")
+    new = _multiplied(maybe, texts, size, t)
     # A part is connected by the links that made it, so a link between parts is enough.
     copies = copies.union(new.select(F.least("ca", "cb"), F.greatest("ca", "cb")).distinct())
     return sizes.select("id", "n"), copies

@@ -70,6 +70,78 @@ def test_random_texts_near_the_bound(make_docs, seed):
     assert found(make_docs(rows)) == brute(rows)
 
 
+def test_blocks_of_heavy_columns(make_docs, monkeypatch):
+    """Many near copies of which a part is similar to none: blocks of a few rows, and what leaves them."""
+    monkeypatch.setattr(jaccard, "HEAVY", 3)
+    monkeypatch.setattr(jaccard, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(jaccard, "BLOCK_CELLS", 900)
+    base = words(60, 1, 10**6)
+    rows = [(i, edited(base, pick, i)) for i, pick in enumerate([1, 2, 3, 4, 5, 6] * 25)]
+    assert found(make_docs(rows)) == brute(rows)
+
+
+def near_copies(n):
+    """Copies of which a third are linked to nothing, though all share most of a passage."""
+    base = words(80, 1, 10**6)
+    return [(i, edited(base, 9 if i % 3 == 0 else 1, i)) for i in range(n)]
+
+
+def test_pairs_of_near_copies_stay_in_the_blocks(make_docs, monkeypatch):
+    counted = []
+    real = jaccard._multiplied
+
+    def multiplied(pairs, *rest):
+        counted.append(pairs.count())
+        return real(pairs, *rest)
+
+    monkeypatch.setattr(jaccard, "_multiplied", multiplied)
+    rows = near_copies(2000)
+    found_rows = found(make_docs(rows))
+    assert len({c for _, _, c in found_rows}) > 600
+    # Two million pairs share passages; few are compared by their texts.
+    assert max(counted) < 60_000, counted
+    monkeypatch.setattr(jaccard, "_multiplied", real)
+    small = near_copies(150)
+    assert found(make_docs(small)) == brute(small)
+
+
+def test_overlaps_are_exact_or_above():
+    pick = np.random.default_rng(3)
+    rows = [pick.integers(0, 60, pick.integers(0, 40)).astype(np.int32) for _ in range(30)]
+    total = jaccard.overlaps(rows[:12], rows[12:])
+    for i, a in enumerate(rows[:12]):
+        for j, b in enumerate(rows[12:]):
+            shared = set(a.tolist()) & set(b.tolist())
+            assert total[i, j] == sum((a == x).sum() * (b == x).sum() for x in shared) >= len(shared)
+    assert jaccard.overlaps([], rows[:2]).shape == (0, 2)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_stars_and_components(spark, seed):
+    pick = random.Random(seed)
+    edges = [(pick.randrange(300), pick.randrange(300)) for _ in range(200)] + [(0, i) for i in range(400, 900)]
+    edges += [(i, i + 1) for i in range(1000, 1060)]
+    parent = list(range(1100))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        low, high = sorted((root(a), root(b)))
+        parent[high] = low
+    u, v = (np.array(x) for x in zip(*edges))
+    least = jaccard.stars(u, v)
+    assert all(least[x] == root(x) for x in range(len(least)))
+    for kind in ("long", "string"):
+        name = (lambda x: f"{x:05d}") if kind == "string" else int
+        frame = spark.createDataFrame([(name(a), name(b)) for a, b in edges], f"a {kind}, b {kind}").repartition(7)
+        linked = {x for a, b in edges if a != b for x in (a, b)}
+        assert {tuple(r) for r in jaccard.components(frame).collect()} == {(name(x), name(root(x))) for x in linked}
+    assert jaccard.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
 def test_same_id_with_two_texts_is_one_document(make_docs):
     a, b = words(40, 1, 10**6), words(40, 2, 10**6)
     rows = [(5, a), (5, b), (3, a), (9, b)]
