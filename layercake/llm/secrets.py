@@ -4,9 +4,14 @@ Long tokens get the smallest alphabet that has their characters; so do the parts
 with separators in it, of which the longest that passes counts. Three tests ask whether a token
 could be random text of that encoding: chi-squared for an even use of the alphabet, runs of
 its lower and upper half, and correlation of neighbours. Their p-values are combined, and
-among tokens of like length the Benjamini-Hochberg procedure finds those that are not random,
-with a bounded share of random ones among them. The rest is reported if it is long enough to
-carry ``LEAST_BITS``. DataFrame operations only; texts are never moved.
+among tokens of like length the Benjamini-Hochberg procedure finds those that are not random.
+
+What is left could be random, but short plain words could be, too. So tokens are also tested
+against ordinary text: pairs of neighbouring characters are counted in the different short words of the
+whole table, and a token is compared with those words by how unlikely its pairs are. The p-value is
+the share of words that are as unlikely, and the same procedure, again by length, picks the tokens that
+are reported: its bound is on the share of ordinary words among them. DataFrame operations
+only; texts are never moved.
 """
 
 import math
@@ -47,8 +52,15 @@ ENCODINGS = (
     ("base64url", UPPER + LOWER + DIGITS + "-_", 64, r"^[A-Za-z0-9_-]+$"),
     ("mixed", UPPER + LOWER + DIGITS + "+/-_", 66, r"^[A-Za-z0-9+/_-]+$"),
 )
+LETTERS = UPPER + LOWER + DIGITS + "+/-_"
+# Words that ordinary text is learned from, and the least length of those that tokens are compared with.
+WORD = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{2,15}(?![A-Za-z0-9+/_-])"
+WORD_CHARS = 8
+Z_STEP = 0.25
+Z_STEPS = 400
 LEAST_BITS = 80
-FALSE_SHARE = 0.05
+FALSE_SHARE = 0.05  # of random tokens among those that are left out as not random
+WORD_SHARE = 0.01  # of ordinary words among what is reported
 STEPS = 20  # p-values are counted in steps of 1/20 of a power of ten
 
 
@@ -152,8 +164,61 @@ def randomness(codes, k):
     return _let(half, lambda h: F.exp(-h) * (1 + h))  # chi-squared with four degrees
 
 
-def _tokens(text):
-    """Long tokens and their parts: array of (start, end, encoding, p)."""
+def _pairs(text):
+    """Numbers of the pairs of neighbouring characters of a text of ``LETTERS``."""
+
+    def of(codes):
+        ahead = F.slice(codes, 2, F.size(codes) - 1)
+        return F.zip_with(F.slice(codes, 1, F.size(codes) - 1), ahead, lambda a, b: a * len(LETTERS) + b)
+
+    return _let(F.transform(F.split(text, ""), lambda c: F.instr(F.lit(LETTERS), c) - 1), of)
+
+
+def _unlikely(text, plain):
+    """How many standard deviations the pairs of a text are less likely than those of ordinary text, in steps."""
+    costs = F.array(*(F.lit(c) for c in plain["costs"]))
+
+    def of(pairs):
+        n = F.size(pairs).cast("double")
+        total = F.aggregate(pairs, F.lit(0.0), lambda s, p: s + F.element_at(costs, p + 1))
+        z = (total - n * plain["mean"]) / (F.sqrt(F.greatest(n, F.lit(1.0))) * plain["spread"])
+        return F.greatest(F.lit(0), F.least(F.lit(Z_STEPS), F.floor(z / Z_STEP))).cast("int")
+
+    return _let(_pairs(text), of)
+
+
+def ordinary(text):
+    """What ordinary text is like, from the different short words of a column of texts; None without any.
+
+    ``costs`` has the bits of each pair of characters, ``mean`` and ``spread`` those of the pairs there
+    are, ``tail`` for each step of ``_unlikely`` how many words reach it.
+    """
+    words = staged(text.select(F.explode(F.regexp_extract_all(F.col("text"), F.lit(WORD), F.lit(0))).alias("w")).distinct(), "secret-words")
+    size = len(LETTERS)
+    counts = [0.0] * (size * size)
+    for row in words.select(F.explode(_pairs(F.col("w"))).alias("p")).groupBy("p").count().collect():  # at most 66 * 66
+        counts[row["p"]] = float(row["count"])
+    total = sum(counts)
+    if not total:
+        return None
+    costs = []
+    for a in range(size):
+        own = counts[a * size : (a + 1) * size]
+        costs += [-math.log2((c + 0.5) / (sum(own) + 0.5 * size)) for c in own]
+    mean = sum(n * c for n, c in zip(counts, costs, strict=True)) / total
+    spread = math.sqrt(sum(n * (c - mean) ** 2 for n, c in zip(counts, costs, strict=True)) / total)
+    plain = {"costs": costs, "mean": mean, "spread": max(spread, 0.1)}
+    long = words.where(F.char_length("w") >= WORD_CHARS).groupBy(_unlikely(F.col("w"), plain).alias("z")).count()
+    tail = [0] * (Z_STEPS + 2)
+    for row in long.collect():
+        tail[row["z"]] = row["count"]
+    for z in range(Z_STEPS, -1, -1):
+        tail[z] += tail[z + 1]
+    return {**plain, "tail": tail}
+
+
+def _tokens(text, plain):
+    """Long tokens and their parts: array of (start, end, encoding, p, z)."""
 
     def read(s):
         token = F.rtrim(F.substring(text, s["start"] + 1, s["end"] - s["start"]), F.lit("="))
@@ -185,8 +250,9 @@ def _tokens(text):
         codes = F.transform(F.split(s["token"], ""), lambda c: F.instr(s["kind"]["letters"], c) - 1)
         p = _let(codes, lambda x: randomness(x, k))
         return F.struct(
-            s["start"].alias("start"), s["end"].alias("end"), s["kind"]["name"].alias("encoding"), p.alias("p")
-        )
+            s["start"].alias("start"), s["end"].alias("end"), s["kind"]["name"].alias("encoding"), p.alias("p"),
+            (_unlikely(s["token"], plain) if plain else F.lit(0)).alias("z"),
+        )
 
     tokens = F.flatten(F.transform(F.transform(_found(text, TOKEN), read), parts))
     inferred = F.transform(tokens, infer)
@@ -221,24 +287,47 @@ def _limits(found, share):
     return limits
 
 
-def scan(docs, id_col="doc_id", text_col="text", share=FALSE_SHARE):
+def _reported(found, plain, share):
+    """For each length band the step of ``z`` from which tokens count as no ordinary words."""
+    each = found.select(F.explode("tokens").alias("t"))
+    counted = each.groupBy(_band(F.col("t")).alias("band"), F.col("t.z").alias("z")).count()
+    rows, limits = {}, {}
+    for row in counted.collect():  # at most 401 steps for each of a few bands
+        rows.setdefault(row["band"], []).append((row["z"], row["count"]))
+    for band, steps in rows.items():
+        total, reached = sum(c for _, c in steps), 0
+        for z, count in sorted(steps, reverse=True):
+            reached += count
+            if (1 + plain["tail"][z]) / (1 + plain["tail"][0]) <= share * reached / total:
+                limits[band] = z
+    return limits
+
+
+def scan(docs, id_col="doc_id", text_col="text", share=FALSE_SHARE, word_share=WORD_SHARE):
     """``id_col``, ``base`` and ``spans`` for every row of ``docs``.
 
     Both are arrays of (start, rank, end, kind), sorted: ``base`` has what the patterns find,
     ``spans`` that and the kind ``random``, which does not overlap it. Positions are code
     points, the end exclusive. Null and empty texts have none. Repeated rows and null ids
-    are kept; other columns are not looked at. An empty table gives an empty result.
+    are kept; other columns are not looked at. An empty table gives an empty result. Where no text
+    has an ordinary word of ``WORD_CHARS`` characters there is nothing to compare with, and only the patterns count.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
+    plain = ordinary(docs.select(text.alias("text")))
     base = F.array_sort(
         F.concat(_spans(text, "assign", ASSIGN, 2), _spans(text, "access", ACCESS_LONG), _spans(text, "hex", HEX_LONG))
     )
-    found = staged(docs.select(F.col(id_col).alias("id"), base.alias("base"), _tokens(text).alias("tokens")), "secret-spans")
+    found = staged(docs.select(F.col(id_col).alias("id"), base.alias("base"), _tokens(text, plain).alias("tokens")), "secret-spans")
     limits = _limits(found, share)
-    known = F.create_map(*(F.lit(x) for pair in limits.items() for x in pair)) if limits else None
+    least = _reported(found, plain, word_share) if plain else {}
+
+    def of_band(limits, t):
+        """The limit of the band of a token; null without one."""
+        return F.create_map(*(F.lit(x) for pair in limits.items() for x in pair))[_band(t)] if limits else F.lit(None).cast("int")
 
     def random(t):
-        passed = F.lit(True) if known is None else F.coalesce(_step(t["p"]) < known[_band(t)], F.lit(True))
+        passed = F.coalesce(_step(t["p"]) < of_band(limits, t), F.lit(True))
+        passed &= F.coalesce(t["z"] >= of_band(least, t), F.lit(False))
         free = ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"]))
         return passed & free
 

@@ -44,6 +44,20 @@ def test_base_spans_equal_brute_force(make_docs, odd_rows):
     assert sorted(((i, base) for i, base, _ in found(make_docs(rows))), key=repr) == expected
 
 
+def prose(n, seed):
+    """Ordinary text: invented words of syllables, some of them as long as a key."""
+    pick = random.Random(seed)
+    parts = "an bel co dar en fi gor he in ka lo men nu or pal qua ri sto ti un ver wi xa yo zen the ing tion".split()
+    made = ["".join(pick.choice(parts) for _ in range(pick.choice((1, 2, 2, 3, 4, 5, 8)))) for _ in range(n)]
+    return " ".join(w.capitalize() if pick.random() < 0.1 else w for w in made)
+
+
+def texts(real):
+    """Each key in some ordinary text, and more such text."""
+    rows = [(i, f"{prose(30, i)} {t} {prose(9, i + 0.5)}") for i, t in enumerate(real)]
+    return rows + [(9000 + i, prose(400, -i)) for i in range(40)]
+
+
 def keys(kind, n, size):
     pick = random.Random(f"{kind}{size}")
     letters = {"base64": string.ascii_letters + string.digits + "+/", "base36": string.digits + string.ascii_lowercase}[kind]
@@ -58,8 +72,7 @@ def keys(kind, n, size):
 def test_random_keys_are_found_and_regular_tokens_are_not(make_docs):
     real = keys("base64", 60, 40) + keys("base36", 60, 32)
     odd = [c * 30 + "1" for c in "qwz"] + ["abcabcabc123" * 3, "Version1" * 5, "xyz1" * 9, "AbAbAbAbAbAbAbAbAbAb12"] * 5
-    rows = [(i, f"{words(9, i)} {t} {words(5, i)}") for i, t in enumerate(real + odd)]
-    rows += [(9000 + i, words(40, i)) for i in range(5)] + [(9100, "tiontiantindtionbleofthe " * 20)]
+    rows = [*texts(real + odd), (9100, "tiontiantindtionbleofthe " * 20)]
     by_id = {i: [s for s in spans if s[3] == "random"] for i, _, spans in found(make_docs(rows))}
     hits = [bool(by_id[i]) for i in range(len(real))]
     assert sum(hits) / len(hits) > 0.9
@@ -78,7 +91,7 @@ def test_keys_that_lack_digits_or_cases_and_keys_in_paths_are_found(make_docs):
         "mixed": (letters + string.digits + "+/-_", 40),
     }
     real = [("".join(pick.choices(own, k=size)), kind) for kind, (own, size) in kinds.items() for _ in range(40)]
-    rows = [(i, f"{words(9, i)} {t} {words(5, i)}") for i, (t, _) in enumerate(real)]
+    rows = texts([t for t, _ in real])
     path = "com/user_data/k9Xv2QmT7bLpZr4WnYc8Hd3F"
     far = "srv/application_data/configuration_data/production_data/k9Xv2QmT7bLpZr4WnYc8Hd3F"
     rows += [(900, path), (901, far), (902, "-" * 40), (903, "a_name_that_is_made_of_several_plain_words_and_is_long")]
@@ -95,9 +108,59 @@ def test_keys_that_lack_digits_or_cases_and_keys_in_paths_are_found(make_docs):
 
 def test_added_spans_leave_base_spans_alone(make_docs):
     key = keys("base64", 1, 40)[0]
-    ((_, base, spans),) = found(make_docs([(1, f"\U0001f600 token={key} and {key}")]))
+    text = f"\U0001f600 token={key} and {key}"
+    by_id = {i: (base, spans) for i, base, spans in found(make_docs([*texts([]), (1, text)]))}
+    base, spans = by_id[1]
     assert [s[3] for s in base] == ["assign"] and base[0][:1] == (2,)
     assert [s[3] for s in spans] == ["assign", "random"]
+    # Alone there is no ordinary text that the token could differ from.
+    ((_, base, spans),) = found(make_docs([(1, text)]))
+    assert spans == base and len(base) == 1
+
+
+def test_ordinary_words_are_not_reported(make_docs):
+    """Long words of plain text are left alone while keys of every alphabet among them are found."""
+    pick = random.Random(12)
+    kinds = [string.ascii_lowercase, string.ascii_letters, string.ascii_letters + string.digits, string.digits + "abcdef"]
+    real = ["".join(pick.choices(k, k=n)) for k in kinds for n in (20, 24, 32) for _ in range(12)]
+    rows = texts(real)
+    long = sum(len(w) >= 16 for _, t in rows for w in t.split())
+    assert long > 800
+    spans = {i: [s[:3:2] for s in own] for i, _, own in found(make_docs(rows))}
+    hits = sum(any(t[a:b] == key for a, b in spans[i]) for (i, t), key in zip(rows, real))
+    reported = sum(len(own) for own in spans.values())
+    assert hits / len(real) > 0.9 and (reported - hits) / reported < 0.05
+
+
+def test_unlikely_steps_equal_brute_force(spark):
+    """The model of ordinary text and the steps of tokens, counted again in Python."""
+    import math
+
+    rows = [(prose(50, i),) for i in range(6)] + [("a1 b2-c3/d4+e5 été averyveryverylongword",)]
+    model = secrets.ordinary(spark.createDataFrame(rows, "text string"))
+    short = {w for (t,) in rows for w in re.findall("[A-Za-z0-9+/_-]+", t) if 2 <= len(w) <= 15}
+    letters = secrets.LETTERS
+    count, first = {}, {}
+    for w in short:
+        for a, b in zip(w, w[1:]):
+            count[a, b] = count.get((a, b), 0) + 1
+            first[a] = first.get(a, 0) + 1
+    cost = lambda a, b: -math.log2((count.get((a, b), 0) + 0.5) / (first.get(a, 0) + 33))
+    n = sum(count.values())
+    mean = sum(c * cost(*p) for p, c in count.items()) / n
+    spread = math.sqrt(sum(c * (cost(*p) - mean) ** 2 for p, c in count.items()) / n)
+    assert model["mean"] == pytest.approx(mean) and model["spread"] == pytest.approx(spread)
+
+    def step(w):
+        own = [cost(a, b) for a, b in zip(w, w[1:])]
+        return max(0, min(400, math.floor((sum(own) - len(own) * mean) / (math.sqrt(len(own)) * spread) / 0.25)))
+
+    tokens = [*sorted(short), "Zq0Zq0Zq0Zq0Zq0Zq0", "a" * 30, letters]
+    frame = spark.createDataFrame([(w,) for w in tokens], "w string")
+    got = [tuple(r) for r in frame.select("w", secrets._unlikely(F.col("w"), model)).collect()]
+    assert got == [(w, step(w)) for w in tokens]
+    long = [step(w) for w in short if len(w) >= 8]
+    assert model["tail"][:20] == [sum(z >= k for z in long) for k in range(20)]
 
 
 @pytest.mark.parametrize("k", [16, 36, 64])
