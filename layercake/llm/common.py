@@ -30,22 +30,20 @@ def crc_of(column):
 
 
 def bounded_sample(df, key, rows):
-    """About ``rows`` rows of ``df``, the same ones every time; all where there are fewer.
+    """At most ``rows`` distinct rows of ``df``, the same ones every time; all where there are fewer.
 
-    Rows are taken by a hash of ``key``. Counting is the only job, and nothing is
-    sorted or collected. The bound is an expectation: the spread is its square root.
+    Those with the least hash of ``key`` are taken.
     """
     return weighted_sample(df, key, rows).drop("weight")
 
 
 def weighted_sample(df, key, rows):
     """``bounded_sample`` with a column ``weight``: how many rows of ``df`` each stands for."""
-    total = df.count()
-    if total <= rows:
-        return df.withColumn("weight", F.lit(1.0))
-    share = int(rows / total * (1 << 31))
-    chosen = df.where(F.pmod(F.xxhash64(F.col(key)), F.lit(1 << 31)) < share)
-    return chosen.withColumn("weight", F.lit((1 << 31) / share if share else 1.0))
+    unique = df.groupBy(*df.columns).agg(F.count("*").alias("weight"))
+    total = unique.count()
+    order = F.pmod(F.xxhash64(F.col(key)), F.lit(1 << 31))
+    chosen = unique.orderBy(order, *df.columns).limit(rows)  # the first of each task, then of these
+    return chosen.withColumn("weight", F.col("weight") * F.lit(max(1.0, total / max(rows, 1))))
 
 
 def ship(spark):

@@ -175,11 +175,13 @@ def _training(seeds):
 def fit(docs, labels, id_col="doc_id", text_col="text", label_col="toxic", seeds=None, rows=TRAIN_ROWS):
     """The chain for ``seeds`` (lists of words by category), ``coded`` and ``toxic``.
 
-    Trained in one task on a sample of about ``rows`` labelled texts, half of them toxic if
+    Trained in one task on a sample of at most ``rows`` labelled texts, half of them toxic if
     there are so many. Texts weigh what they stand for among all labels, so that scores are
-    probabilities at the ratio of the labels, whatever the size of the table. Which categories a labelled toxic text has follows from the seeds it
-    has; the models see words of all kinds and so also learn those that go along with them.
-    Rows with a null id, text or label are not used. Texts with the same id share a fold.
+    probabilities at the ratio of the labels, whatever the size of the table. Which categories
+    a labelled toxic text has follows from the seeds it has; the models see words of all
+    kinds and so also learn those that go along with them.
+    Rows with a null id, text or label are not used. An id is used once for each label it has,
+    with the least of its texts and the weight of all its rows.
     Without any labelled row the model scores everything 0.
     """
     seeds = SEEDS if seeds is None else seeds
@@ -187,7 +189,9 @@ def fit(docs, labels, id_col="doc_id", text_col="text", label_col="toxic", seeds
     y = y.where("k is not null and y in (0, 1)")
     y = weighted_sample(y.where("y = 1"), "k", rows // 2).union(weighted_sample(y.where("y = 0"), "k", rows // 2))
     x = docs.select(F.col(id_col).alias("k"), F.col(text_col).alias("t")).where("k is not null and t is not null")
-    sample = x.join(F.broadcast(y), "k").select("i", "t", "y", "weight").repartition(1)  # bounded by `rows`
+    # An id with several texts stands with the least, so `rows` bounds the sample.
+    sample = x.join(F.broadcast(y), "k").groupBy("i", "k", "y", "weight").agg(F.min("t").alias("t"))
+    sample = sample.select("i", "t", "y", "weight").repartition(1)
     found = sample.mapInArrow(_training(seeds), "model binary").first()
     flat = unpack(found[0]) if found else []
     models = []

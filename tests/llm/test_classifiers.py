@@ -31,7 +31,7 @@ def test_quality_learns_from_labels_only_where_told(tables):
     kept = labels.where(crc_of("doc_id") % 5 != 0)
     flipped = labels.withColumn("quality", F.when(crc_of("doc_id") % 5 == 0, 1 - F.col("quality")).otherwise(F.col("quality")))
     a, b = quality.fit(docs, kept), quality.fit(docs, flipped.where(crc_of("doc_id") % 5 != 0))
-    assert all((x == y).all() for x, y in zip(a, b))
+    assert all(np.all(x == y) for x, y in zip(a, b, strict=True))
 
 
 def test_quality_score_is_that_of_the_mean_vector():
@@ -243,3 +243,27 @@ def test_language_of_odd_input(spark, make_docs, odd_rows):
     empty = langid.fit(make_docs([]))
     assert {r["lang_pred"] for r in langid.identify(make_docs(odd_rows), empty).collect()} == {"und"}
     assert langid.identify(make_docs([]), model).count() == 0
+
+
+def test_samples_are_bounded_whatever_is_repeated(spark):
+    from layercake.llm.common import weighted_sample
+
+    rows = [(1, 1)] * 3000 + [(i, i % 2) for i in range(2, 400)] + [(7, 0)] * 50
+    found = weighted_sample(spark.createDataFrame(rows, "k long, y int"), "k", 100).collect()
+    assert len(found) == 100 == len({(r["k"], r["y"]) for r in found})
+    whole = weighted_sample(spark.createDataFrame(rows, "k long, y int"), "k", 1000).collect()
+    assert {(r["k"], r["y"]): r["weight"] for r in whole}[1, 1] == 3000
+    assert sum(r["weight"] for r in whole) == len(rows)
+
+
+def test_repeated_documents_and_labels_are_learned_once(spark):
+    texts = [(i, "good plain words here" if i % 2 else "spam spam spam offer") for i in range(40)]
+    docs = spark.createDataFrame(texts + [(1, "good plain words here")] * 500, "doc_id long, text string")
+    labels = [(i, i % 2, 1 - i % 2) for i in range(40)]
+    schema = "doc_id long, quality int, toxic int"
+    once = spark.createDataFrame(labels, schema)
+    often = spark.createDataFrame(labels + [labels[1]] * 700, schema)
+    a, b = (quality.fit(docs, y) for y in (once, often))
+    assert (a[0] == b[0]).all() and a[1] == b[1]
+    names, models = toxicity.fit(docs, often)
+    assert names[-1] == "toxic" and len(models) == 4
