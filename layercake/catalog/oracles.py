@@ -232,6 +232,21 @@ JOIN artists_123 r ON e.artist_uri = r.artist_uri""",
 ORACLES |= {
     "storage_report": """SELECT layer, tables, true AS has_files, true AS adds_up
 FROM (VALUES ('bronze', 2::BIGINT), ('silver', 5), ('gold', 2), ('total', 9)) AS t(layer, tables)""",
+    "guarded_read": _with(
+        """SELECT * FROM (
+  SELECT 'bronze/tracks' AS "table", true AS found,
+    'pid, pos, track_uri, track_name, album_uri, album_name, artist_uri, artist_name, duration_ms' AS columns,
+    (SELECT count(*) FROM tracks_1) AS rows
+  UNION ALL SELECT 'silver/playlists', true, 'playlist_id, name, collaborative, description', (SELECT count(*) FROM plists_1)
+  UNION ALL SELECT 'silver/albums', true, 'album_uri, album_name, artist_uri', (SELECT count(*) FROM albums_1)
+  UNION ALL SELECT 'gold/playlists', false, NULL, NULL)"""
+    ),
+    "job_upsert_again": _with(
+        f"""SELECT *, true AS kept FROM ({_gold("entries_12", "plists_12", "INNER")})""", _plists_12, _entries_12
+    ),
+    "gold_uses": _with(
+        f"SELECT * FROM {_summary('entries_123')}", _plists_12, _entries_12, _entries_123
+    ),
     # A refresh and a rebuild give the same table, and so do the jobs.
     "gold_playlists_refresh": ORACLES["three_batches"],
     "gold_tracks_refresh": _tracks_123,

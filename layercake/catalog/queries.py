@@ -9,6 +9,7 @@ from layercake.schemas import RAW_PLAYLISTS, SILVER_KEYS
 from layercake.sources import (
     Lake,
     export_json,
+    inventory,
     new_folder,
     preview,
     read_json,
@@ -99,6 +100,14 @@ def storage(spark, sf_dir):
     )
 
 
+def guarded_read(spark, sf_dir):
+    """The tables of a lake that has bronze and silver, and one that it lacks."""
+    lake = Lake(spark, new_folder(spark, "guarded-read"))
+    jobs.ingest_bronze(lake, fx.playlists(spark, sf_dir), fx.tracks(spark, sf_dir))
+    jobs.build_silver(lake)
+    return inventory(lake, ["bronze/tracks", "silver/playlists", "silver/albums", "gold/playlists"])
+
+
 # Bronze and silver
 
 
@@ -286,6 +295,24 @@ def job_merge_playlists(spark, sf_dir):
     return lake.read("gold/playlists")
 
 
+def job_upsert_again(spark, sf_dir):
+    """Gold after a batch that comes twice: the second time nothing differs and nothing is written."""
+    lake, paths = _lake(spark, sf_dir, 2)
+    jobs.upsert_batch(lake, *paths[2])
+    before = lake.entries()
+    jobs.upsert_batch(lake, *paths[2])
+    after = lake.entries()
+    moved = [t for t in before if before[t].parts != after[t].parts or before[t].path and not before[t].parts]
+    kept = F.lit(all(t.startswith("bronze/") for t in moved))
+    return lake.read("gold/playlists").withColumn("kept", kept)
+
+
+def gold_uses(spark, sf_dir):
+    """Playlists by their counts, from the uses of entries that were brought up to date by batches."""
+    lake = _upserted(spark, sf_dir)
+    return gold.summarise_uses(lake.read(jobs.USES))
+
+
 def point_update_gold(spark, sf_dir):
     lake, _ = _lake(spark, sf_dir)
     patch = {"name": f"'{NEW_NAME}'", "collaborative": "'true'"}
@@ -325,6 +352,7 @@ QUERIES = {
     "write_roundtrip": write_roundtrip,
     "replace_in_place": replace_in_place,
     "storage_report": storage,
+    "guarded_read": guarded_read,
     "bronze_tracks": bronze_tracks,
     "silver_songs": silver_songs,
     "silver_albums": silver_albums,
@@ -359,5 +387,7 @@ QUERIES = {
     "job_upsert_playlists": job_upsert_playlists,
     "job_upsert_tracks": job_upsert_tracks,
     "job_merge_playlists": job_merge_playlists,
+    "job_upsert_again": job_upsert_again,
+    "gold_uses": gold_uses,
     "point_update_gold": point_update_gold,
 }

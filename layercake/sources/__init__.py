@@ -7,7 +7,7 @@ from layercake.sources.files import (
     write_table,
 )
 from layercake.sources.lake import BUCKET, Batch, Lake, distinct_buckets, together
-from layercake.sources.report import preview, preview_tables, storage_report
+from layercake.sources.report import inventory, preview, preview_tables, storage_report
 from layercake.sources.workspace import new_folder, stage
 
 __all__ = [
@@ -16,6 +16,7 @@ __all__ = [
     "Lake",
     "distinct_buckets",
     "export_json",
+    "inventory",
     "new_folder",
     "preview",
     "preview_tables",

@@ -4,6 +4,8 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
+from layercake.sources.lake import together
+
 LAYERS = ("bronze", "silver", "gold")
 TOTAL = "total"
 
@@ -54,6 +56,23 @@ def preview(df, order_by, n=10):
     return df.orderBy(*[F.col(c).asc_nulls_last() for c in columns]).limit(n)
 
 
+def inventory(lake, tables):
+    """Which of the named tables there are, with their columns and numbers of rows; NULL for a missing one.
+
+    Rows are counted from the metadata of the files, all tables at the same time.
+    """
+    entries = lake.entries()
+
+    def described(name):
+        if name not in entries:
+            return name, False, None, None
+        table = lake.read(name, entries)
+        return name, True, ", ".join(table.columns), table.count()
+
+    rows = together(lake.spark, [lambda n=n: described(n) for n in tables])
+    return lake.spark.createDataFrame(rows, "table string, found boolean, columns string, rows long")
+
+
 def preview_tables(lake, tables, n=13):
     """Print schema and some rows of each table; say so and go on where one is missing."""
     entries = lake.entries()

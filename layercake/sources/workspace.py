@@ -6,12 +6,20 @@ from layercake.sources.files import read_table, write_table
 
 
 def _base(spark):
-    """``spark.checkpoint.dir``, else a folder of the session's warehouse."""
+    """``spark.checkpoint.dir``, else a folder of the session's warehouse.
+
+    On a cluster a warehouse in a local folder is refused: executors would each write to their own disk.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     configured = configured or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    master = spark.sparkContext.master
+    alone = master == "local" or master.startswith("local[")
+    if not alone and (warehouse.startswith("file:") or "://" not in warehouse):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return warehouse + "/_work"
 
 
 def new_folder(spark, name):

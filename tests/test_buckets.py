@@ -149,6 +149,31 @@ def test_random_batches(spark, lake, tmp_path):
         assert rows(lake.read("gold/playlist_tracks")) == rows(gold.tracks_rebuild(s["playlist_tracks"], *names))
 
 
+def test_merge_writes_its_buckets(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"), buckets=32)
+    playlists, tracks = [playlist(i) for i in range(60)], [entry(i, p, f"t{p}") for i in range(60) for p in range(4)]
+    whole = Lake(spark, str(tmp_path / "whole"), buckets=1)
+    batches = [
+        write(tmp_path, "one", playlists, tracks),
+        write(tmp_path, "two", [playlist(3, "other")], [entry(3, 9, "t1"), entry(3, 5, "new")]),
+        write(tmp_path, "three", [playlist(700)], [entry(700, 0, "t0"), entry(4, 7, "t2", duration=9)]),
+    ]
+    for made in (lake, whole):
+        jobs.build_lake(made, *batches[0])
+        jobs.upsert_batch(made, *write(tmp_path, "same", playlists[:1], tracks[:4]))
+        for n in (1, 2):
+            jobs.merge_batch(made, *batches[n])
+    version = lake.entries()["gold/playlists"].snapshot
+    for table in ("silver/playlists", "silver/playlist_tracks", "gold/playlists"):
+        assert rows(lake.read(table)) == rows(whole.read(table))
+        assert 1 <= len(files(lake, table, version)) <= 2
+        assert sum(len(b) for _, b in lake.entries()[table].parts) > 20
+        s = [lake.read(f"silver/{n}") for n in ("playlist_tracks", "playlists")]
+        assert rows(lake.read("gold/playlists")) == rows(gold.playlists_rebuild(*s))
+    jobs.merge_batch(lake, *write(tmp_path, "none", [], []))
+    assert rows(lake.read("gold/playlists")) == rows(whole.read("gold/playlists"))
+
+
 def test_point_update_writes_one_bucket(spark, lake):
     before = {t: rows(lake.read(t)) for t in ("silver/playlists", "gold/playlists")}
     jobs.point_update(lake, "playlist_id = 11", {"name": "'x'"})

@@ -103,8 +103,9 @@ def test_storage_report(spark, lake):
 class _Session:
     """A session with the given settings, as far as the workspace looks at it."""
 
-    def __init__(self, **conf):
+    def __init__(self, master="yarn", **conf):
         self.conf = conf
+        self.master = master
         self.sparkContext = self
 
     def getCheckpointDir(self):
@@ -116,6 +117,12 @@ def test_folders_follow_the_session():
     shared = _Session(**warehouse, **{"spark.checkpoint.dir": "hdfs:///tmp/"})
     assert new_folder(shared, "x").startswith("hdfs:///tmp/x-")
     assert new_folder(_Session(**warehouse), "x").startswith("hdfs:///warehouse/_work/x-")
+    for local in ("/tmp/warehouse", "file:///tmp/warehouse"):
+        own = {"spark.sql.warehouse.dir": local}
+        assert new_folder(_Session("local[4]", **own), "x").startswith(local)
+        for master in ("yarn", "local-cluster[2,1,1024]", "spark://host:7077"):
+            with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+                new_folder(_Session(master, **own), "x")
 
 
 def test_a_fixed_place_is_reused(spark, tmp_path):
