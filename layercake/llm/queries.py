@@ -254,12 +254,13 @@ judged AS (
              WHEN (o.host = 'example.com' OR ends_with(o.host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
              WHEN (o.host = 'org' OR ends_with(o.host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
              WHEN (o.host = 'net' OR ends_with(o.host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule,
-        coalesce(h2.mean, d2.mean, (SELECT mean FROM base)) AS mean,
+        coalesce(h2.mean, d2.mean, t.mean, (SELECT mean FROM base)) AS mean,
         sqrt(coalesce(h2.var, d2.var + d2.mean * (1 - d2.mean) / (1 + (SELECT s FROM h1)),
+            t.var + t.mean * (1 - t.mean) * (1 / (1 + (SELECT s FROM d1)) + 1 / (1 + (SELECT s FROM h1))),
             (SELECT var + mean * (1 - mean) * (1 / (1 + (SELECT s FROM s1)) + 1 / (1 + (SELECT s FROM d1))
                 + 1 / (1 + (SELECT s FROM h1))) FROM base))) AS spread
     FROM own o LEFT JOIN levels v ON v.host = o.host LEFT JOIN h2 ON h2.host = o.host
-        LEFT JOIN d2 ON d2.domain = v.domain
+        LEFT JOIN d2 ON d2.domain = v.domain LEFT JOIN s2 t ON t.suffix = v.suffix
 )
 SELECT page_id, host, path, rule,
     CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'

@@ -33,6 +33,28 @@ def test_query_equals_sql(spark, duck, name):
     assert expected and sorted((tuple(r) for r in frame.select(columns).collect()), key=repr) == expected
 
 
+def test_url_sql_has_the_level_of_suffixes(spark, tmp_path):
+    """Pages of domains without outcomes, under a bad suffix and a good one, in both."""
+    pages, labels = [], []
+    for host, bad in [(f"w.evil{i}.bad", 1) for i in range(30)] + [(f"w.fine{i}.com", 0) for i in range(30)]:
+        for _ in range(6):
+            labels.append((len(pages), 1 - bad, 0))
+            pages.append((len(pages), f"http://{host}/{len(pages)}"))
+    for host in ("w.new.bad", "new.com", "x.other", "sub.w.evil1.bad"):
+        pages.append((len(pages), f"https://{host}/"))
+    spark.createDataFrame(pages, "page_id long, url string").write.parquet(str(tmp_path / "pages.parquet"))
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    connection = duckdb.connect()
+    for table in ("pages", "labels"):
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{tmp_path}/{table}.parquet/*.parquet'")
+    frame = QUERIES["op6_url_filter"](spark, str(tmp_path))
+    result = connection.execute(ORACLES["op6_url_filter"])
+    columns = [d[0] for d in result.description]
+    rows = sorted(result.fetchall(), key=repr)
+    assert sorted((tuple(r) for r in frame.select(columns).collect()), key=repr) == rows
+    assert {r["host"]: r["verdict"] for r in frame.collect()}["w.new.bad"] == "block"
+
+
 def test_all_are_registered():
     assert {*QUERIES, "pipeline"} <= set(entry_module.queries())
     assert set(ORACLES) <= set(entry_module.oracle_sql())
