@@ -133,7 +133,7 @@ def mix(docs, targets, fraction, id_col="doc_id", text_col="text", axes=None, we
         weight = F.size(F.filter(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != ""))
     new = {"cell", "probability", "sampled"}
     kept = [c for c in docs.columns if c not in new]
-    inner = docs.select(F.struct(*kept).alias("row"), F.col(id_col).alias("key"), *(c.alias(f"v{i}") for i, c in enumerate(axes.values())), weight.alias("w"))
+    inner = docs.select(F.struct(*(F.col(f"`{c}`") for c in kept)).alias("row"), F.col(id_col).alias("key"), *(c.alias(f"v{i}") for i, c in enumerate(axes.values())), weight.alias("w"))
     values = {axis: F.col(f"v{i}") for i, axis in enumerate(axes)}
     planned = plan(_cells(inner.select("w", *(f"v{i}" for i in range(len(axes)))), values, targets, F.col("w")), axes, targets, fraction)
     cells = _cells(inner, values, targets, F.col("w"))
