@@ -1,4 +1,11 @@
-"""A corpus made ready for training, in five stages, each written before the next reads it."""
+"""A corpus made ready for training, in five stages, each written before the next reads it.
+
+Every stage takes all its predecessor kept and looks at the columns it names only. Rows with a null id
+are documents of their own: they lose no line and are no copies. Null and empty texts have no words
+and no benchmark passage; the classifier scores them by its bias, and the last stage never draws them.
+Repeated rows stay or go together, but for the same id with several texts, of which lines are dropped
+each by itself. Texts may be of any length, and an empty table gives an empty one.
+"""
 
 from pyspark.sql import functions as F
 
