@@ -52,6 +52,9 @@ CHUNK_LINKS = 1_000_000
 LINK_TASKS = 64
 
 
+_MARKS = [T.StructField("n", T.LongType()), T.StructField("marks", T.ArrayType(T.LongType()))]
+
+
 def shingles(hashes, size=SHINGLE):
     """Sorted distinct columns of a text; one for the whole text if it is shorter."""
     if not len(hashes):
@@ -380,8 +383,56 @@ def _checksum(edges):
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
 
-def _multiplied(pairs, texts, size, t):
-    """Of the pairs (a, b, ca, cb) those that are similar."""
+def _marking(size):
+    """The size of each row and its parity bitmap: 2 to 4 bits a column, at least 64, in long words."""
+
+    def run(batches):
+        for batch in batches:
+            sizes, marks = [], []
+            for _, own in sets(batch.column("text"), size):
+                bits = 64 << max(0, (2 * len(own) - 1).bit_length() - 6)
+                odd = np.bincount((own & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+                marks.append(np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64))
+                sizes.append(len(own))
+            ends = np.concatenate([[0], np.cumsum([len(m) for m in marks])]).astype(np.int32)
+            flat = np.concatenate(marks) if marks else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc"), pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
+                ["doc", "n", "marks"],
+            )
+
+    return run
+
+
+def _plausible(pairs, marks, t):
+    """Of the pairs (a, b, ca, cb) those that their bitmaps do not rule out.
+
+    Where two bitmaps differ, the rows have a column that is not common; so the overlap is at most half of
+    what their sizes exceed the number of such places by. The wider bitmap is folded to the other's width.
+    """
+    num, den = t.numerator, t.denominator
+
+    def side(name):
+        return marks.select(F.col("doc").alias(name), F.col("n").alias(f"n{name}"), F.col("marks").alias(f"m{name}"))
+
+    def folded(x, y):
+        half = F.size(y)
+        both = F.zip_with(F.slice(x, 1, half), F.slice(x, half + 1, half), lambda p, q: p.bitwiseXOR(q))
+        return F.when(F.size(x) > half, both).otherwise(x)
+
+    joined = pairs.join(side("a"), "a").join(side("b"), "b")
+    ma, mb = F.col("ma"), F.col("mb")
+    # Similar rows are of like size, and their widths the same or next to each other.
+    differ = F.zip_with(folded(ma, mb), folded(mb, ma), lambda p, q: F.bit_count(F.coalesce(p.bitwiseXOR(q), F.lit(0))))
+    joined = joined.withColumn("differ", F.aggregate(differ, F.lit(0), lambda s, x: s + x))
+    least = F.expr(f"({num} * (na + nb) + {num + den - 1}) div {num + den}")
+    sized = den * F.least("na", "nb") >= num * F.greatest("na", "nb")
+    return joined.where(sized & (F.col("na") + F.col("nb") - F.col("differ") >= 2 * least)).select("a", "b", "ca", "cb")
+
+
+def _multiplied(pairs, texts, marks, size, t):
+    """Of the pairs (a, b, ca, cb) those that are similar; only plausible ones are brought to their texts."""
+    pairs = staged(_plausible(pairs, marks, t), "jaccard-plausible")
     a = texts.select(F.col("doc").alias("a"), F.col("text").alias("ta"))
     b = texts.select(F.col("doc").alias("b"), F.col("text").alias("tb"))
     joined = pairs.join(a, "a").join(b, "b").select("a", "b", "ca", "cb", "ta", "tb")
@@ -413,10 +464,22 @@ def links(docs, id_col="doc_id", text_col="text", size=SHINGLE, t=SIMILARITY, ro
     )
     heads = given.where("id is not null").mapInArrow(_heading(held, size, t), schema)
     # A rare column takes part if it has two rows. A frequent one does in any case; its rows are
-    # spread instead of counted together.
+    # spread instead of counted together. Rows are kept short, as most go no further than this.
     key = F.when(F.col("often"), F.xxhash64("col", "doc")).otherwise(F.col("col"))
-    heads = heads.withColumn("k", key).withColumn("rows", F.count("*").over(Window.partitionBy("k")))
-    heads = heads.where("often or rows > 1").select("col", "doc", "n", "pos")
+    heads = heads.select(
+        key.alias("k"), "doc", F.expr("shiftleft(cast(n as long), 32) + pos").alias("places"), F.when(F.col("often"), F.col("col")).alias("col")
+    )
+    # Of a column with two rows its window has both, and so tells whether they can be similar.
+    same = Window.partitionBy("k")
+    heads = heads.withColumns(
+        {"rows": F.count("*").over(same), "low": F.min("places").over(same), "high": F.max("places").over(same)}
+    )
+    both = {"n": _size("low"), "pos": _place("low"), "m": _size("high"), "pos_b": _place("high")}
+    useful = (F.col("rows") > 2) | ((F.col("rows") == 2) & _possible(t))
+    heads = heads.withColumns(both).where(F.col("col").isNotNull() | useful)
+    heads = heads.select(
+        F.coalesce("col", "k").alias("col"), "doc", _size("places").alias("n"), _place("places").alias("pos")
+    )
     heads = staged(heads.join(reps, heads["doc"] == reps["rep"], "left_semi"), "jaccard-heads")
     held.destroy()
     shared = heads.groupBy("col").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo <> hi").select("col")
@@ -424,6 +487,8 @@ def links(docs, id_col="doc_id", text_col="text", size=SHINGLE, t=SIMILARITY, ro
     ids = staged(heads.select("doc").distinct(), "jaccard-ids")
     texts = given.join(ids, given["id"] == ids["doc"]).select("doc", "text")
     texts = staged(texts, "jaccard-texts")
+    marks = texts.mapInArrow(_marking(size), T.StructType([T.StructField("doc", kind), *_MARKS]))
+    marks = staged(marks, "jaccard-marks")
 
     known = heads.withColumn("part", F.col("doc"))
     for turn in range(rounds):
@@ -444,7 +509,7 @@ def links(docs, id_col="doc_id", text_col="text", size=SHINGLE, t=SIMILARITY, ro
         pivots = staged(pivots, "jaccard-pivots")  # written, so that a join can split a hot column
         mixed = known.join(pivots, "col")  # columns of one part have no pair left to find
         paired = mixed.where((F.col("part") != F.col("cb")) & _possible(t))
-        new = _multiplied(_candidates(paired, t), texts, size, t)
+        new = _multiplied(_candidates(paired, t), texts, marks, size, t)
         merged = components(new.select(F.col("ca").alias("a"), F.col("cb").alias("b")), "jaccard-merged")
         merged = staged(merged, "jaccard-merged").withColumnsRenamed({"doc": "part", "component": "to"})
         known = mixed.drop("b", "m", "pos_b", "cb").join(merged, "part", "left")
@@ -469,12 +534,20 @@ def links(docs, id_col="doc_id", text_col="text", size=SHINGLE, t=SIMILARITY, ro
         F.when(F.col("a") < F.col("b"), F.col("cb")).otherwise(F.col("ca")).alias("cb"),
     )
     maybe = staged(_candidates(paired, t).union(blocked).distinct(), "jaccard-maybe")
-    new = _multiplied(maybe, texts, size, t)
+    new = _multiplied(maybe, texts, marks, size, t)
     # A part is connected by the links that made it, so a link between parts is enough.
     copies = copies.union(new.select(F.least("ca", "cb"), F.greatest("ca", "cb")).distinct())
     return sizes.select("id", "n"), copies
 
 
+def _size(places):
+    return F.expr(f"cast(shiftright({places}, 32) as int)")
+
+
+def _place(places):
+    return F.expr(f"cast({places} & 4294967295 as int)")
+
+
 def _needed(t):
     """Least overlap of similar rows of ``n`` and ``m`` columns."""
     num, den = t.numerator, t.denominator

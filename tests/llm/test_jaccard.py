@@ -98,13 +98,28 @@ def test_pairs_of_near_copies_stay_in_the_blocks(make_docs, monkeypatch):
     rows = near_copies(2000)
     found_rows = found(make_docs(rows))
     assert len({c for _, _, c in found_rows}) > 600
-    # Two million pairs share passages; few are compared by their texts.
+    # Two million pairs share passages; few are compared at all.
     assert max(counted) < 60_000, counted
     monkeypatch.setattr(jaccard, "_multiplied", real)
     small = near_copies(150)
     assert found(make_docs(small)) == brute(small)
 
 
+def test_bitmaps_rule_out_no_similar_pair(spark):
+    pick = random.Random(9)
+    base = [words(n, n, 10**6) for n in (1, 5, 6, 20, 36, 68, 132)]
+    rows = [(i, edited(base[i % len(base)], pick.randrange(5), i)) for i in range(140)]
+    texts = spark.createDataFrame(rows, "doc long, text string")
+    schema = jaccard.T.StructType([jaccard.T.StructField("doc", jaccard.T.LongType()), *jaccard._MARKS])
+    marks = texts.mapInArrow(jaccard._marking(5), schema)
+    pairs = [(a, b, a, b) for a, b in itertools.combinations(range(140), 2)]
+    kept = jaccard._plausible(spark.createDataFrame(pairs, "a long, b long, ca long, cb long"), marks, jaccard.SIMILARITY)
+    kept = {(r["a"], r["b"]) for r in kept.collect()}
+    sets = [shingle_set(t) for _, t in rows]
+    similar = {(a, b) for a, b, _, _ in pairs if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+    assert similar and similar <= kept and len(kept) < 2 * len(similar)
+
+
 def test_overlaps_are_exact_or_above():
     pick = np.random.default_rng(3)
     rows = [pick.integers(0, 60, pick.integers(0, 40)).astype(np.int32) for _ in range(30)]
