@@ -21,6 +21,7 @@ BUCKETS = 1 << 18
 DIM = 16
 GRAMS = (3, 5)
 TRAIN_ROWS = 5_000
+SLICE_BYTES = 500_000  # of texts that are scored at a time; each byte takes about a hundred in memory
 EPOCHS = 8
 RATE = 0.5
 # A vector takes part with its share of the mean, about one in a thousand, which its gradient is times as
@@ -142,7 +143,7 @@ def collapse(model):
 
 def scores(table, bias, column):
     out = np.zeros(len(column))
-    for at, end, data, offsets in words.slices(column):
+    for at, end, data, offsets in words.slices(column, SLICE_BYTES):
         total, count = np.zeros(end - at), np.zeros(end - at)
         for first, ids in features(data, offsets, len(table)):
             sums = np.concatenate([[0.0], np.cumsum(table[ids], dtype=np.float64)])
