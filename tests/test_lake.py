@@ -4,6 +4,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from layercake.sources import files
 from layercake.sources import (
     Lake,
     export_json,
@@ -14,6 +15,7 @@ from layercake.sources import (
     read_json,
     stage,
     storage_report,
+    together,
     write_table,
 )
 
@@ -135,3 +137,28 @@ def test_write_table_replaces(spark, tmp_path):
     for n in (3, 1):
         write_table(spark.range(n), str(tmp_path / "t"))
     assert ids(spark.read.parquet(str(tmp_path / "t"))) == [0]
+
+
+def test_json_export_is_compressed_and_split(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "EXPORTED_ROWS", 400)
+    frame = spark.range(0, 1000, 1, 1).selectExpr("id", "'track:' || id AS track_uri", "nullif(id, 7) AS pos")
+    export_json(frame, str(tmp_path / "j"))
+    parts = list((tmp_path / "j").glob("part-*"))
+    assert len(parts) == 3 and all(p.name.endswith(".json.gz") for p in parts)
+    back = read_json(spark, str(tmp_path / "j"), frame.schema)
+    assert sorted(back.collect()) == sorted(frame.collect())
+
+
+def test_writes_remove_their_shuffles_and_put_the_setting_back(spark, tmp_path):
+    def write(n):
+        grouped = spark.range(1000).selectExpr(f"id % {n} AS k").groupBy("k").count()
+        write_table(grouped, str(tmp_path / f"t{n}"))
+        return spark.read.parquet(str(tmp_path / f"t{n}")).count()
+
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    with files.shuffles_removed(spark):
+        assert spark.conf.get(name) == "true"
+        assert together(spark, [lambda n=n: write(n) for n in (3, 5, 7)]) == [3, 5, 7]
+        assert spark.conf.get(name) == "true"
+    assert spark.conf.get(name, None) == before
