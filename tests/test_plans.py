@@ -129,6 +129,16 @@ def test_summary_is_spread_by_uri_before_the_playlist(tables):
     assert "track_uri" in lines[1] and "artist_uri" in lines[1] and "album_uri" in lines[1]
 
 
+def test_keys_of_whole_tables_are_not_broadcast(tables):
+    raw = tables.select(
+        "playlist_id", F.lit("n").alias("name"), F.lit("true").alias("collaborative"), F.lit("d").alias("description")
+    )
+    assert "Broadcast" not in plan_of(gold.playlists_build(tables, raw))
+    merged = plan_of(merge_into(tables, tables, ["playlist_id"], tables.columns))
+    (anti,) = [line for line in merged.splitlines() if "LeftAnti" in line]
+    assert "SortMergeJoin" in anti
+
+
 def test_merge_into_a_unique_target_reads_each_side_once(tables, shuffling):
     batch = tables.limit(10)
     keys = ["playlist_id", "track_uri"]
