@@ -129,6 +129,14 @@ def test_summary_is_spread_by_uri_before_the_playlist(tables):
     assert "track_uri" in lines[1] and "artist_uri" in lines[1] and "album_uri" in lines[1]
 
 
+def test_summary_has_no_row_for_the_duration_alone(spark, tables):
+    assert "Expand" not in plan_of(gold.summarise(tables))
+    rows = [(1, "a", None, None, 5), (1, "a", "r", None, None), (1, None, "r", "x", 7), (None, None, None, None, None)]
+    names = "playlist_id long, track_uri string, artist_uri string, album_uri string, duration_ms long"
+    found = gold.summarise(spark.createDataFrame(rows, names)).collect()
+    assert {tuple(r) for r in found} == {(1, 1, 1, 1, 12), (None, 0, 0, 0, None)}
+
+
 def test_keys_of_whole_tables_are_not_broadcast(tables):
     raw = tables.select(
         "playlist_id", F.lit("n").alias("name"), F.lit("true").alias("collaborative"), F.lit("d").alias("description")
