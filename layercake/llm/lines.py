@@ -134,9 +134,15 @@ class Index:
     shards: int
 
 
+def _lowered(text):
+    """A-Z lower-cased; ``translate`` goes through a text by character, so plain ASCII is spared it."""
+    ascii_only = F.octet_length(text) == F.char_length(text)
+    return F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
+
+
 def key_of(line):
-    clean = F.translate(F.btrim(line, F.lit(BLANKS)), UPPER, LOWER)
-    return F.when(F.char_length(clean) >= LEAST_CHARS, F.unhex(F.md5(clean)))
+    clean = F.btrim(line, F.lit(BLANKS))
+    return F.when(F.char_length(clean) >= LEAST_CHARS, F.unhex(F.md5(_lowered(clean))))
 
 
 def edges(docs, id_col="doc_id", text_col="text"):
@@ -144,8 +150,9 @@ def edges(docs, id_col="doc_id", text_col="text"):
     lines = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(id_col).alias("doc"), F.explode(F.split(text_col, "\n", -1)).alias("line")
     )
-    keyed = lines.select(key_of(F.col("line")).alias("key"), "doc").where("key is not null")
-    return keyed.distinct()
+    # By length, as Spark would compute the keys twice to see which are null.
+    long = lines.where(F.char_length(F.btrim("line", F.lit(BLANKS))) >= LEAST_CHARS)
+    return long.select(key_of(F.col("line")).alias("key"), "doc").distinct()
 
 
 def _shard(shards):

@@ -162,3 +162,14 @@ def test_counter_is_exact(make_docs):
     (row,) = lines.insert(None, make_docs(rows)).counts.collect()
     assert (row["refs"], row["owner"]) == (200, 0)
     assert Counter(r[3] for r in found(lines.insert(None, make_docs(rows)), make_docs(rows))) == {1: 199, 0: 1}
+
+
+def test_keys_are_computed_once_and_lower_only_a_to_z(spark):
+    texts = ["  ABCDEFGHIJ\t\n\u00c0BCDEFGHIJK\nshort", "\u0130STANBUL IS A TOWN\nabcdefghij", "K\u212a" * 6, None, "\u00a0ABCDEFGHI"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    frame = lines.edges(docs)
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("md5(") == 1
+    wanted = {(n, lines._key(x)) for n, text in enumerate(texts) for x in (text or "").split("\n") if lines._key(x)}
+    assert len(wanted) == 6
+    assert {(r["doc"], bytes(r["key"])) for r in frame.collect()} == wanted
