@@ -32,6 +32,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LEAST_CHARS = 10
 SHARD_KEYS = 200_000
 LEAST_SHARDS = 64
+FILTERED_ROWS = 256  # texts that are Python objects at a time
 RETURNED = 64  # one in so many documents is taken back and comes again in ``load``
 SLOTS = 4
 KICKS = 500
@@ -336,25 +337,30 @@ _TO_LOWER = str.maketrans(UPPER, LOWER)
 
 def _filtering(batches):
     for batch in batches:
-        lines, dropped, texts = [], [], []
-        for text, gone in zip(batch.column("text").to_pylist(), batch.column("gone").to_pylist()):
-            own = (text or "").split("\n")
-            lines.append(len(own))
-            if gone:
-                away = set(gone)
-                own = [x for x in own if _key(x) not in away]
-                text = "\n".join(own)
-            dropped.append(lines[-1] - len(own))
-            texts.append(text)
-        yield pa.RecordBatch.from_arrays(
-            [
-                *(batch.column(c) for c in batch.schema.names if c not in ("text", "gone")),
-                pa.array(texts, pa.string()),
-                pa.array(lines, pa.int64()),
-                pa.array(dropped, pa.int64()),
-            ],
-            [*(c for c in batch.schema.names if c not in ("text", "gone")), "text", "lines", "dropped"],
-        )
+        for at in range(0, batch.num_rows, FILTERED_ROWS):
+            yield _filtered(batch.slice(at, FILTERED_ROWS))
+
+
+def _filtered(batch):
+    lines, dropped, texts = [], [], []
+    for text, gone in zip(batch.column("text").to_pylist(), batch.column("gone").to_pylist()):
+        own = (text or "").split("\n")
+        lines.append(len(own))
+        if gone:
+            away = set(gone)
+            own = [x for x in own if _key(x) not in away]
+            text = "\n".join(own)
+        dropped.append(lines[-1] - len(own))
+        texts.append(text)
+    return pa.RecordBatch.from_arrays(
+        [
+            *(batch.column(c) for c in batch.schema.names if c not in ("text", "gone")),
+            pa.array(texts, pa.string()),
+            pa.array(lines, pa.int64()),
+            pa.array(dropped, pa.int64()),
+        ],
+        [*(c for c in batch.schema.names if c not in ("text", "gone")), "text", "lines", "dropped"],
+    )
 
 
 def repeated(index):

@@ -1,6 +1,6 @@
 """Words of Arrow text columns, as NumPy arrays over the UTF-8 bytes.
 
-A column is handled in slices of a few MB, whatever the size of the batch, so the
+A column is handled in slices of half a MB, whatever the size of the batch, so the
 memory of a task follows the longest text and not the number of rows. All hashes
 are 64 bits wide and the same on every machine.
 """
@@ -8,7 +8,7 @@ are 64 bits wide and the same on every machine.
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 500_000  # hashing takes about fifty in memory for each
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _MIX = np.uint64(0xFF51AFD7ED558CCD)

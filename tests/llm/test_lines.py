@@ -3,6 +3,7 @@
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from layercake.llm import lines
@@ -173,3 +174,15 @@ def test_keys_are_computed_once_and_lower_only_a_to_z(spark):
     wanted = {(n, lines._key(x)) for n, text in enumerate(texts) for x in (text or "").split("\n") if lines._key(x)}
     assert len(wanted) == 6
     assert {(r["doc"], bytes(r["key"])) for r in frame.collect()} == wanted
+
+
+def test_few_texts_are_python_objects_at_a_time():
+    many = 3 * lines.FILTERED_ROWS + 1
+    batch = pa.RecordBatch.from_pydict(
+        {"id": list(range(many)), "text": ["a line of text\nb"] * many, "gone": [[lines._key("a line of text")], None] * (many // 2) + [None]}
+    )
+    out = list(lines._filtering([batch]))
+    assert [b.num_rows for b in out] == [lines.FILTERED_ROWS] * 3 + [1]
+    rows = [r for b in out for r in b.to_pylist()]
+    assert [r["id"] for r in rows] == list(range(many))
+    assert rows[0] == {"id": 0, "text": "b", "lines": 2, "dropped": 1} and rows[1]["dropped"] == 0
