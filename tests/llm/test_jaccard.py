@@ -3,11 +3,13 @@
 import itertools
 import random
 import re
+import time
 
 import numpy as np
 import pytest
 
 from layercake.llm import jaccard
+from layercake.llm.common import staged
 from layercake.llm.queries import QUERIES
 from tests.llm.conftest import lower, words
 
@@ -188,3 +190,17 @@ def test_query_equals_brute_force(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
     result = QUERIES["op2_jaccard_join"](spark, sf).select("doc_id", "n_shingles", "component_id")
     assert sorted((tuple(r) for r in result.collect()), key=repr) == brute(rows)
+
+
+def test_steps_remove_their_shuffle_files(spark):
+    def files():
+        disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return set(re.findall(r"shuffle_\S+\.data", disk.getAllFiles().mkString("\n")))
+
+    before = files()
+    counted = staged(spark.range(5000).repartition(3).selectExpr("id % 7 AS k").groupBy("k").count(), "test-shuffles")
+    until = time.time() + 10
+    while files() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not files() - before
+    assert counted.count() == 7
