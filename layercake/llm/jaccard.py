@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from layercake.llm import words
-from layercake.llm.common import staged
+from layercake.llm.common import release, staged
 
 SHINGLE = 5
 SIMILARITY = Fraction(3, 4)
@@ -266,7 +266,7 @@ def _fingerprinting(size):
 
 
 def _blocked(heavy, texts, size, t):
-    """Pairs that may be similar (a, b, ca, cb) among the rows of each heavy column.
+    """Pairs that may be similar (a, b, ca, cb) among the rows of each heavy column, and the tables they are read from.
 
     Columns with the same least row are multiplied together, which near copies share. Each row
     goes to as many tasks as its group has blocks, as a number of four bytes per column.
@@ -288,9 +288,8 @@ def _blocked(heavy, texts, size, t):
         "owner", "doc", "n", "part", "fp", "c", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("d")
     )
     copies = copies.select("owner", F.least("c", "d").alias("i"), F.greatest("c", "d").alias("j"), "c", "doc", "n", "part", "fp")
-    return copies.groupBy("owner", "i", "j").applyInArrow(
-        _block_pairs(t), f"a {kind}, b {kind}, ca {kind}, cb {kind}"
-    )
+    pairs = copies.groupBy("owner", "i", "j").applyInArrow(_block_pairs(t), f"a {kind}, b {kind}, ca {kind}, cb {kind}")
+    return pairs, (owners, members, groups, prints)
 
 
 def _frequent(sketch):
@@ -308,6 +307,7 @@ def _frequent(sketch):
         least = row["h"]
     rows = found.where(F.col("hits") >= least).toPandas()
     cols, hits = rows["col"].to_numpy(np.int64).view(np.uint64), rows["hits"].to_numpy(np.int64)
+    release(found)
     order = np.lexsort((cols, hits))
     cols = cols[order]
     by_value = np.argsort(cols)
@@ -352,17 +352,24 @@ def _contracting(batches):
 
 
 def components(links, name="links"):
-    """(doc, component): for every document with a link the least one it is connected to.
+    """(doc, component): for every document with a link the least one it is connected to."""
+    edges = connected(links, name)
+    return edges.select(F.col("u").alias("doc"), F.col("v").alias("component")).union(
+        edges.select(F.col("v").alias("doc"), F.col("v").alias("component")).distinct()
+    )
+
+
+def connected(links, name="links"):
+    """Links (u, v) of every document to the least one it is connected to, which itself is no ``u``.
 
     Tasks make stars of the links they have, which leaves few; then large-star and small-star
-    steps in turn, each written to the shared folder, until the
-    links are stars. What the driver sees is one checksum per step.
+    steps in turn, each written to the shared folder, until the links are stars, with
+    the least of each as its centre. What the driver sees is whether they are, once per step.
     """
     edges = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     edges = edges.mapInArrow(_contracting, edges.schema).distinct()
     edges = staged(edges.coalesce(LINK_TASKS).mapInArrow(_contracting, edges.schema).distinct(), name)
-    before = _checksum(edges)
-    while True:
+    while not _are_stars(edges):
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -370,17 +377,18 @@ def components(links, name="links"):
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u")
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
-        edges = staged(small.where("u <> v").distinct(), name)
-        now = _checksum(edges)
-        if now == before:
-            return edges.select(F.col("u").alias("doc"), F.col("v").alias("component")).union(
-                edges.select(F.col("v").alias("doc"), F.col("v").alias("component")).distinct()
-            )
-        before = now
+        # A task has all links of a number to lesser ones here, so its stars join up chains as well.
+        small = small.where("u <> v").mapInArrow(_contracting, edges.schema)
+        before, edges = edges, staged(small.distinct(), name)
+        release(before)
+    return edges
 
 
-def _checksum(edges):
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+def _are_stars(edges):
+    """Whether the lesser end of each link has no lesser one itself, and the greater end no other link."""
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("up")).union(edges.select("v", F.lit(0)))
+    ends = ends.groupBy("x").agg(F.sum("up").alias("up"), F.count("*").alias("n"))
+    return ends.where("up > 1 OR up = 1 AND n > 1").agg(F.count("*")).first()[0] == 0
 
 
 def _marking(size):
@@ -431,13 +439,13 @@ def _plausible(pairs, marks, t):
 
 
 def _multiplied(pairs, texts, marks, size, t):
-    """Of the pairs (a, b, ca, cb) those that are similar; only plausible ones are brought to their texts."""
-    pairs = staged(_plausible(pairs, marks, t), "jaccard-plausible")
+    """Of the pairs (a, b, ca, cb) those that are similar, and the plausible ones, which alone are brought to their texts."""
+    plausible = staged(_plausible(pairs, marks, t), "jaccard-plausible")
     a = texts.select(F.col("doc").alias("a"), F.col("text").alias("ta"))
     b = texts.select(F.col("doc").alias("b"), F.col("text").alias("tb"))
-    joined = pairs.join(a, "a").join(b, "b").select("a", "b", "ca", "cb", "ta", "tb")
+    joined = plausible.join(a, "a").join(b, "b").select("a", "b", "ca", "cb", "ta", "tb")
     kind = dict(pairs.dtypes)["a"]
-    return joined.mapInArrow(_multiplying(size, t), f"a {kind}, b {kind}, ca {kind}, cb {kind}")
+    return joined.mapInArrow(_multiplying(size, t), f"a {kind}, b {kind}, ca {kind}, cb {kind}"), plausible
 
 
 def links(docs, id_col="doc_id", text_col="text", size=SHINGLE, t=SIMILARITY, rounds=ROUNDS):
@@ -480,17 +488,20 @@ def links(docs, id_col="doc_id", text_col="text", size=SHINGLE, t=SIMILARITY, ro
     heads = heads.select(
         F.coalesce("col", "k").alias("col"), "doc", _size("places").alias("n"), _place("places").alias("pos")
     )
-    heads = staged(heads.join(reps, heads["doc"] == reps["rep"], "left_semi"), "jaccard-heads")
+    every = staged(heads.join(reps, heads["doc"] == reps["rep"], "left_semi"), "jaccard-heads")
     held.destroy()
-    shared = heads.groupBy("col").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo <> hi").select("col")
-    heads = staged(heads.join(staged(shared, "jaccard-columns"), "col", "left_semi"), "jaccard-heads")
+    shared = every.groupBy("col").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo <> hi").select("col")
+    shared = staged(shared, "jaccard-columns")
+    heads = staged(every.join(shared, "col", "left_semi"), "jaccard-heads")
+    release(every, shared)
     ids = staged(heads.select("doc").distinct(), "jaccard-ids")
     texts = given.join(ids, given["id"] == ids["doc"]).select("doc", "text")
     texts = staged(texts, "jaccard-texts")
+    release(ids)
     marks = texts.mapInArrow(_marking(size), T.StructType([T.StructField("doc", kind), *_MARKS]))
     marks = staged(marks, "jaccard-marks")
 
-    known = heads.withColumn("part", F.col("doc"))
+    known, stored = heads.withColumn("part", F.col("doc")), heads
     for turn in range(rounds):
         # First the row with fewest rarer columns, which of near copies has least of its own; then any.
         rank = [F.col("pos")] if turn == 0 else []
@@ -509,16 +520,20 @@ def links(docs, id_col="doc_id", text_col="text", size=SHINGLE, t=SIMILARITY, ro
         pivots = staged(pivots, "jaccard-pivots")  # written, so that a join can split a hot column
         mixed = known.join(pivots, "col")  # columns of one part have no pair left to find
         paired = mixed.where((F.col("part") != F.col("cb")) & _possible(t))
-        new = _multiplied(_candidates(paired, t), texts, marks, size, t)
-        merged = components(new.select(F.col("ca").alias("a"), F.col("cb").alias("b")), "jaccard-merged")
-        merged = staged(merged, "jaccard-merged").withColumnsRenamed({"doc": "part", "component": "to"})
+        new, plausible = _multiplied(_candidates(paired, t), texts, marks, size, t)
+        merged = connected(new.select(F.col("ca").alias("a"), F.col("cb").alias("b")), "jaccard-merged")
+        release(plausible)
+        merged = merged.select(F.col("u").alias("part"), F.col("v").alias("to"))
         known = mixed.drop("b", "m", "pos_b", "cb").join(merged, "part", "left")
         known = known.select("col", "doc", "n", "pos", F.coalesce("to", "part").alias("part"))
         known = staged(known, "jaccard-known")
+        release(stored, pivots)
+        stored = known
         copies = copies.union(merged.select("part", "to"))
     mixed = known.groupBy("col").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count("*").alias("rows"))
     mixed = staged(mixed.where("lo <> hi").select("col", "rows"), "jaccard-columns")
     known = staged(known.join(mixed, "col"), "jaccard-rest")
+    release(stored, mixed)
     # A pair that shares a heavy column is found in its blocks; the others share light columns only, of
     # which no count is missing then.
     light = known.where(F.col("rows") < HEAVY)
@@ -527,14 +542,16 @@ def links(docs, id_col="doc_id", text_col="text", size=SHINGLE, t=SIMILARITY, ro
     )
     paired = light.join(other, "col")
     paired = paired.where((F.col("part") != F.col("cb")) & (F.col("doc") < F.col("b")) & _possible(t))
-    blocked = _blocked(known.where(F.col("rows") >= HEAVY), texts, size, t)
+    blocked, parts = _blocked(known.where(F.col("rows") >= HEAVY), texts, size, t)
     blocked = blocked.select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
         F.when(F.col("a") < F.col("b"), F.col("ca")).otherwise(F.col("cb")).alias("ca"),
         F.when(F.col("a") < F.col("b"), F.col("cb")).otherwise(F.col("ca")).alias("cb"),
     )
     maybe = staged(_candidates(paired, t).union(blocked).distinct(), "jaccard-maybe")
-    new = _multiplied(maybe, texts, marks, size, t)
+    release(known, *parts)
+    new, _ = _multiplied(maybe, texts, marks, size, t)
+    release(maybe, marks)
     # A part is connected by the links that made it, so a link between parts is enough.
     copies = copies.union(new.select(F.least("ca", "cb"), F.greatest("ca", "cb")).distinct())
     return sizes.select("id", "n"), copies
@@ -589,7 +606,7 @@ def _candidates(paired, t):
     left = F.least(F.col("n") - F.col("i"), F.col("m") - F.col("j"))
     kept = counted.where(F.col("shared") + left >= _needed(t))
     kept = kept.where(F.col("shared") >= _wanted(t))
-    return kept.select(F.col("doc").alias("a"), "b", F.col("part").alias("ca"), "cb").distinct()
+    return kept.select(F.col("doc").alias("a"), "b", F.col("part").alias("ca"), "cb")
 
 
 def deduplicate(docs, id_col="doc_id", text_col="text", size=SHINGLE, t=SIMILARITY):

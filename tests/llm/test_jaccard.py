@@ -204,3 +204,31 @@ def test_steps_remove_their_shuffle_files(spark):
         time.sleep(0.1)
     assert not files() - before
     assert counted.count() == 7
+
+
+def test_replaced_tables_are_released(make_docs, monkeypatch):
+    tables = {}
+    real = jaccard.staged
+
+    def staged(df, name):
+        made = real(df, name)
+        tables.setdefault(name, []).append(made.staged_at)
+        return made
+
+    monkeypatch.setattr(jaccard, "staged", staged)
+    docs = make_docs(near_copies(60))
+    found(docs)
+    read = docs.sparkSession.read.parquet
+    for name in ("frequent", "heads", "ids", "marks", "pivots", "known", "rest", "members", "prints", "maybe"):
+        assert [read(path).count() for path in tables[f"jaccard-{name}"]] == [0] * len(tables[f"jaccard-{name}"]), name
+
+
+def test_links_that_are_stars_take_no_step(spark, monkeypatch):
+    steps = []
+    real = jaccard.staged
+    monkeypatch.setattr(jaccard, "staged", lambda df, name: steps.append(name) or real(df, name))
+    frame = spark.createDataFrame([(i, i % 3) for i in range(3, 90)], "a long, b long").coalesce(1)
+    assert {tuple(r) for r in jaccard.components(frame).collect()} == {(i, i % 3) for i in range(90)}
+    assert len(steps) == 1
+    frame = spark.createDataFrame([(1, 2), (2, 3)], "a long, b long").repartition(2)
+    assert {tuple(r) for r in jaccard.components(frame).collect()} == {(1, 1), (2, 1), (3, 1)}
