@@ -162,3 +162,14 @@ def test_writes_remove_their_shuffles_and_put_the_setting_back(spark, tmp_path):
         assert together(spark, [lambda n=n: write(n) for n in (3, 5, 7)]) == [3, 5, 7]
         assert spark.conf.get(name) == "true"
     assert spark.conf.get(name, None) == before
+
+
+def test_tables_are_written_packed(spark, lake, tmp_path):
+    table = spark.range(100).repartition(2)
+    lake.publish({"silver/numbers": table})
+    write_table(table, str(tmp_path / "table"))
+    write_table(table, str(tmp_path / "plain"), compression="none")
+    for frame in (lake.read("silver/numbers"), spark.read.parquet(str(tmp_path / "table")), stage(spark, table, "numbers")):
+        assert all(f.endswith(".zstd.parquet") for f in frame.inputFiles())
+        assert ids(frame) == list(range(100))
+    assert not any("zstd" in f for f in spark.read.parquet(str(tmp_path / "plain")).inputFiles())
