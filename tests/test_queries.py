@@ -58,3 +58,14 @@ def test_every_query_is_registered_and_has_sql():
 def test_entry(spark):
     frame = entry_module.entry(spark)
     assert frame.count() > 0
+
+
+@pytest.mark.parametrize("name", ["gold_tracks_refresh", "gold_playlists_refresh"])
+def test_refresh_writes_no_table_that_is_read_once(spark, monkeypatch, name):
+    from layercake.catalog import queries
+
+    names = []
+    real = queries.stage
+    monkeypatch.setattr(queries, "stage", lambda s, df, n: names.append(n) or real(s, df, n))
+    QUERIES[name](spark, SF_DIR)
+    assert len(names) == len(set(names))
