@@ -11,6 +11,9 @@ phrases share are stored once.
   words that follow a hot word. The pieces of a range are united and equal paths add their weights.
   Boundaries come from evenly spaced paths of all automata, so that a range has about
   ``RANGE_ARCS`` arcs before it is united, whatever the text.
+* Cutting is done in two steps, or there were as many pieces as chunks times ranges. Chunks are cut into
+  about as many blocks of ranges as there are ranges in a block; the pieces of a few chunks in a
+  block are united and cut into its ranges.
 * The parts of candidates are looked up by composition: all parts that fall into a range walk
   through its automaton at the same time.
 
@@ -18,15 +21,17 @@ Words are compared as text, never by hash, and counts are 64-bit integers, so al
 """
 
 from bisect import bisect_right
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from layercake.llm import words as w
-from layercake.llm.common import staged
+from layercake.llm.common import release, staged
 
 MOST_WORDS = 3
 LEAST_COUNT = 10
@@ -34,6 +39,7 @@ TOP = 2000
 UNKNOWN = "und"
 CHUNK_WORDS = 600_000
 RANGE_ARCS = 500_000
+MERGED_RANGES = 2  # what is united in the first step has about as many arcs as so many ranges
 SAMPLE_ARCS = 8192  # one of so many arcs is a path that boundaries are chosen from
 MOST_RANGES = 1 << 20  # bounds what is broadcast; beyond it ranges grow
 BOUNDARY_WORD = 32  # characters of a word in a boundary, which need not be a word that there is
@@ -394,16 +400,47 @@ def _building(most_words, chunk_words, step):
     return run
 
 
+def _block_size(ranges):
+    """Ranges of a block, and the parts its chunks are dealt into, which are united one by one."""
+    size = isqrt(max(0, ranges - 1)) + 1
+    return size, -(-size // MERGED_RANGES)
+
+
 def _cutting(held):
+    """The pieces of each chunk by block of ranges; the part follows the place of the chunk in the table."""
+
     def run(batches):
+        size, parts = _block_size(len(held.value) + 1)
+        boundaries, at = held.value[size - 1 :: size], TaskContext.get().partitionId()
         for batch in batches:
             for blob in batch.column("blob"):
-                found = [(r, build(p)) for r, p in pieces(Automaton(blob.as_py()).paths(), held.value)]
+                found = [(r, build(p)) for r, p in pieces(Automaton(blob.as_py()).paths(), boundaries)]
                 if found:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([r for r, _ in found], pa.int32()), pa.array([b for _, b in found], pa.binary())],
-                        ["range", "blob"],
+                        [
+                            pa.array([r for r, _ in found], pa.int32()),
+                            pa.array([at % parts] * len(found), pa.int32()),
+                            pa.array([b for _, b in found], pa.binary()),
+                        ],
+                        ["block", "part", "blob"],
                     )
+                at += 1
+
+    return run
+
+
+def _dividing(held):
+    """Unites pieces of a block and cuts them into its ranges."""
+
+    def run(key, table):
+        size, _ = _block_size(len(held.value) + 1)
+        first = key[0].as_py() * size
+        paths = union([b.as_py() for b in table.column("blob")])
+        found = [(first + r, build(p)) for r, p in pieces(paths, held.value[first : first + size - 1])]
+        return pa.Table.from_arrays(
+            [pa.array([r for r, _ in found], pa.int32()), pa.array([b for _, b in found], pa.binary())],
+            ["range", "blob"],
+        )
 
     return run
 
@@ -531,11 +568,13 @@ def phrases(
     built = given.where("text IS NOT NULL").mapInArrow(building, "arcs long, blob binary, path array<string>")
     built = staged(built, "phrase-chunks")
     held = spark.sparkContext.broadcast(_boundaries(built, range_arcs))
-    cut = built.where("blob IS NOT NULL").select("blob").mapInArrow(_cutting(held), "range int, blob binary")
-    united = cut.groupBy("range").applyInArrow(
+    cut = built.where("blob IS NOT NULL").select("blob").mapInArrow(_cutting(held), "block int, part int, blob binary")
+    divided = cut.groupBy("block", "part").applyInArrow(_dividing(held), "range int, blob binary")
+    united = divided.groupBy("range").applyInArrow(
         _uniting(least_count), "range int, lang string, phrase array<string>, a long, blob binary"
     )
     united = staged(united, "phrase-ranges")
+    release(built)
     automata = united.where("blob IS NOT NULL").select("range", "blob")
     candidates = united.where("phrase IS NOT NULL").select("lang", "phrase", "a")
     totals = united.where("blob IS NULL AND phrase IS NULL").groupBy("lang").agg(F.sum("a").alias("n"))

@@ -1,6 +1,7 @@
 import random
 import re
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -139,6 +140,34 @@ def test_automata():
     assert automaton.weights([pa.array(["en"], pa.large_string())] * 9).tolist() == [0]
 
 
+def test_pieces_grow_slower_than_chunks_times_ranges(monkeypatch):
+    monkeypatch.setattr(collocation.TaskContext, "get", lambda: SimpleNamespace(partitionId=lambda: 0))
+    paths = [paths_of([("en", corpus(100, s))]) for s in range(60)]
+    whole = listed(collocation.union([collocation.build(p) for p in paths]))
+    made = {}
+    for n in (15, 60):
+        boundaries = sorted(whole)[5 :: len(whole) // (6 * n)][: 6 * n]
+        held = SimpleNamespace(value=boundaries)
+        blobs = [pa.record_batch([pa.array([collocation.build(p)], pa.binary())], ["blob"]) for p in paths[:n]]
+        cut = [row for batch in collocation._cutting(held)(iter(blobs)) for row in batch.to_pylist()]
+        groups, divided = {}, []
+        for row in cut:
+            groups.setdefault((row["block"], row["part"]), []).append(row["blob"])
+        for (block, part), own in groups.items():
+            table = pa.table({"blob": pa.array(own, pa.binary())})
+            divided += collocation._dividing(held)((pa.scalar(block), pa.scalar(part)), table).to_pylist()
+        made[n] = len(cut) + len(divided)
+    # Four times the chunks and ranges: sixteen times the pieces if each chunk were cut into all ranges.
+    assert made[60] < 9 * made[15]
+    # Nothing is lost, and a range has what lies between its boundaries.
+    seen = Counter()
+    for row in divided:
+        for p, weight in listed(collocation.Automaton(row["blob"]).paths()).items():
+            assert weight == 0 or sum(b <= p for b in boundaries) == row["range"]
+            seen[p] += weight
+    assert {p: c for p, c in seen.items() if c} == {p: c for p, c in whole.items() if c}
+
+
 def test_register_compares_states(monkeypatch):
     """States with equal hashes that differ stay apart."""
     monkeypatch.setattr(collocation.w, "mix", lambda x: np.zeros_like(x))
