@@ -251,3 +251,20 @@ def test_hot_bucket_is_cut(spark, tmp_path):
     most = max(len(list(f.glob("part-*"))) for f in Path(lake.root, "silver/t/v=1").glob(f"{BUCKET}=*"))
     assert most > 4 and lake.read("silver/t").count() == 400_000
     assert lake.read("silver/t", buckets={0, 1, 2, 3}).agg(F.sum("k")).first() == table.agg(F.sum("k")).first()
+
+
+def test_few_buckets_are_written_without_a_shuffle(spark, tmp_path, monkeypatch):
+    """A task writes its rows to the folders of all buckets, without a sort; many buckets are dealt out first."""
+    hints = []
+    kind, real = type(spark.range(1)), type(spark.range(1)).hint
+    monkeypatch.setattr(kind, "hint", lambda df, *a: hints.append(a[0]) or real(df, *a))
+    table = spark.range(2000).select(F.col("id").alias("k"), F.lit("v").alias("v"))
+    for buckets, expected in ((16, 0), (17, 1)):
+        lake = Lake(spark, str(tmp_path / f"lake-{buckets}"), buckets=buckets)
+        lake.publish({"silver/t": table}, bucket_on={"silver/t": "k"})
+        assert hints.count("rebalance") == expected
+        assert rows(lake.read("silver/t")) == rows(table)
+        assert len(files(lake, "silver/t", 1)) == buckets == sum(len(b) for _, b in lake.entries()["silver/t"].parts)
+        one = lake.read("silver/t", buckets={3})
+        assert 0 < one.count() < 400 and one.join(table, "k", "left_anti").isEmpty()
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"

@@ -266,3 +266,14 @@ def test_json_tables_and_inferred_schema(spark, duck, batches, tmp_path):
 def test_silver_functions_match_their_schema(spark):
     built = silver.build(fx.playlists(spark, SF_DIR), fx.tracks(spark, SF_DIR))
     assert {name: df.columns for name, df in built.items()} == SILVER
+
+
+def test_a_rebuild_counts_entries_once(spark, batches, tmp_path, monkeypatch):
+    """Summaries that are written with the uses of entries come from these."""
+    lake = Lake(spark, str(tmp_path / "lake"))
+    jobs.build_lake(lake, *batches[1])
+    monkeypatch.setattr(gold, "summarise", lambda entries: pytest.fail("entries are counted twice"))
+    jobs.upsert_batch(lake, *batches[2])
+    monkeypatch.undo()
+    assert rows(lake.read("gold/playlists")) == full_gold(lake)["gold/playlists"]
+    assert jobs._current("gold/playlists", lake.entries())

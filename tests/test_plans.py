@@ -161,3 +161,11 @@ def test_filters_and_columns_reach_the_scan(tables):
     assert "ReadSchema: struct<playlist_id:bigint,pos:bigint>" in plan
     summary = plan_of(gold.summarise(tables))
     assert "filler" not in summary
+
+
+def test_uses_are_brought_up_to_date_with_one_shuffle(tables):
+    uses = gold.uses_build(tables)
+    entries = tables.drop("filler")
+    changed = upsert_non_null(entries, entries.withColumn("duration_ms", F.lit(2).cast("long")), ["playlist_id", "pos"], changes=True)
+    alone = [plan_of(f).count("Exchange hashpartitioning") for f in (uses, changed, gold.uses_refresh(uses, changed))]
+    assert alone[2] == alone[0] + alone[1] + 1
